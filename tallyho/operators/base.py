@@ -149,8 +149,8 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS_LIMIT) -> DataF
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def build_base(spark: SparkSession, spec: CheckSpec, runs=None, materialize: bool = True) -> Base:
-    """Aggregate both tables for a run set.
+def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame:
+    """The (unmaterialized) union of both side aggregates for a run set.
 
     ``runs``: a list of period labels (literal IN filters, pushed to the
     scan), a DataFrame with a ``run_week`` column (semi-join on the needed
@@ -204,7 +204,12 @@ def build_base(spark: SparkSession, spec: CheckSpec, runs=None, materialize: boo
         combined = combined.unionByName(p, allowMissingColumns=True)
 
     # ``dashboard`` is stored as data so joins on it stay equi-joins after reading back.
-    combined = combined.withColumn("dashboard", F.lit(spec.dashboard))
+    return combined.withColumn("dashboard", F.lit(spec.dashboard))
+
+
+def build_base(spark: SparkSession, spec: CheckSpec, runs=None, materialize: bool = True) -> Base:
+    """Aggregate both tables once and write the result to the shared scratch folder."""
+    combined = aggregate_plan(spark, spec, runs)
     path = None
     if materialize:
         path = scratch_path(spark, f"base-{spec.dashboard}")

@@ -74,12 +74,29 @@ def _d(name: str) -> T.StructField:
     return T.StructField(name, T.DoubleType(), True)
 
 
+def sql_literal(v, dtype: T.DataType) -> str:
+    """A typed Spark SQL literal for a configuration value."""
+    type_name = dtype.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {type_name})"
+    if isinstance(dtype, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, float) and v != v or v in (float("inf"), float("-inf")):
+        return f"CAST('{v}' AS {type_name})"
+    return f"CAST({v!r} AS {type_name})"
+
+
 def expand(df: DataFrame, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """Repeat every row of ``df`` once per configuration row (rows are registry-sized)."""
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
-    ]
-    return df.select("*", F.inline(F.array(*structs)))
+    """Repeat every row of ``df`` once per configuration row (rows are registry-sized).
+
+    The literal array is passed as one SQL expression, so a large registry
+    costs one driver→JVM call instead of one per cell.
+    """
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"'{f.name}', {sql_literal(v, f.dataType)}" for v, f in zip(row, schema.fields)) + ")"
+        for row in rows
+    )
+    return df.select("*", F.expr(f"inline(array({structs}))"))
 
 
 def to_results(df: DataFrame) -> DataFrame:
