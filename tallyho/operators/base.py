@@ -30,15 +30,13 @@ from tallyho.functions.periods import grain_of, lookback_labels_py
 from tallyho.session import scratch_path
 from tallyho.sources.tables import keep, resolve
 
-DASH, SRC, LATEST = "dash", "src", "latest"
+DASH, SRC, LATEST, RUN = "dash", "src", "latest", "run"
 WEEK_LEVEL = ""  # ``dim`` value of the (wk) grouping set
 
 # Above this many rows a runs/period frame is joined without a broadcast hint.
 BROADCAST_ROWS_LIMIT = 100_000
 
-RUNS_SCHEMA = T.StructType(
-    [T.StructField("dashboard", T.StringType(), False), T.StructField("run_week", T.StringType(), False)]
-)
+RUNS_SCHEMA = T.StructType([T.StructField("run_week", T.StringType(), False)])
 
 
 def sum_input(df: DataFrame, expr: str) -> Column:
@@ -137,11 +135,11 @@ class Base:
     path: str | None
 
 
-def _runs_frame(spark: SparkSession, dashboard: str, runs) -> DataFrame:
+def _runs_frame(spark: SparkSession, runs) -> DataFrame:
     if isinstance(runs, DataFrame):
-        return runs.select(F.lit(dashboard).alias("dashboard"), F.col("run_week").cast("string").alias("run_week")).distinct()
+        return runs.select(F.col("run_week").cast("string").alias("run_week")).where(F.col("run_week").isNotNull()).distinct()
     uniq = list(dict.fromkeys(str(r) for r in runs))
-    return spark.createDataFrame([(dashboard, w) for w in uniq], RUNS_SCHEMA)
+    return spark.createDataFrame([(w,) for w in uniq], RUNS_SCHEMA)
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS_LIMIT) -> DataFrame:
@@ -196,8 +194,16 @@ def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame
             with_rules=False,
         )
         parts = [dash_agg, src_agg]
-    if runs is not None and spec.freshness_seq is not None:
-        parts.append(latest_period(dash_df, spec))
+    # An explicit run set travels with the aggregate (stored with its dashboard
+    # as data); so does the latest period, which needs its own two-column scan
+    # because the aggregate only covers the requested periods.  For "every
+    # period" both are derived from the small materialized table instead:
+    # deriving them here would re-scan the facts (column pruning makes the
+    # branches differ, so no exchange is reused).
+    if runs is not None:
+        parts.append(_runs_frame(spark, runs).select(F.lit(RUN).alias("side"), F.col("run_week").alias("wk")))
+        if spec.freshness_seq is not None:
+            parts.append(latest_period(dash_df, spec))
 
     combined = parts[0]
     for p in parts[1:]:
@@ -216,33 +222,26 @@ def build_base(spark: SparkSession, spec: CheckSpec, runs=None, materialize: boo
         combined.write.mode("error").parquet(path)
         combined = spark.read.parquet(path)
 
-    groups = combined.select(
+    facts = combined.where(F.col("side").isin(DASH, SRC))
+    groups = facts.select(
         "dashboard", "side", "wk", "dim", "key", "n_rows", *[F.col(f"r{j}") for j in range(len(spec.sanity))]
-    ).where(F.col("side") != LATEST)
+    )
     metrics = spec.metrics
     if metrics:
         stacked = F.inline(
             F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"m{i}").alias("total")) for i, m in enumerate(metrics)])
         )
-        totals = combined.where(F.col("side") != LATEST).select("dashboard", "side", "wk", "dim", "key", stacked)
+        totals = facts.select("dashboard", "side", "wk", "dim", "key", stacked)
     else:
         totals = combined.where(F.lit(False)).select(
             "dashboard", "side", "wk", "dim", "key", F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("total")
         )
 
     if runs is None:
-        latest = (
-            combined.where((F.col("side") == DASH) & (F.col("dim") == WEEK_LEVEL))
-            .groupBy("dashboard")
-            .agg(F.max("wk").alias("latest"))
-        )
-        run_frame = (
-            combined.where(F.col("dim") == WEEK_LEVEL)
-            .select("dashboard", F.col("wk").alias("run_week"))
-            .where(F.col("run_week").isNotNull())
-            .distinct()
-        )
+        weeks = combined.where(F.col("side").isin(DASH, SRC) & (F.col("dim") == WEEK_LEVEL) & F.col("wk").isNotNull())
+        run_frame = weeks.select("dashboard", F.col("wk").alias("run_week")).distinct()
+        latest = weeks.where(F.col("side") == DASH).groupBy("dashboard").agg(F.max("wk").alias("latest"))
     else:
         latest = combined.where(F.col("side") == LATEST).select("dashboard", F.col("wk").alias("latest"))
-        run_frame = _runs_frame(spark, spec.dashboard, runs)
+        run_frame = combined.where(F.col("side") == RUN).select("dashboard", F.col("wk").alias("run_week"))
     return Base(spec=spec, runs=run_frame, groups=groups, totals=totals, latest=latest, path=path)

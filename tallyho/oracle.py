@@ -480,6 +480,7 @@ def oracle() -> dict[str, str]:
     )
     sql["trend_daily"] = _day_trend_sql()
     sql["log_rows"] = _log_rows_sql(F1_CFG, "2024-02-05T06:00:00", "events_dashboard")
+    sql["rerun_on_arrival"] = sql["log_rows"]
     log = _f4_log(F1_CFG)
     sql["log_append_roundtrip"] = log + "SELECT run_id, COUNT(*) AS n_rows FROM log GROUP BY run_id"
     sql["latest_run"] = log + (

@@ -212,6 +212,23 @@ def drift_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return H.drift_frequency(_logged(spark, sf))
 
 
+def rerun_on_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """Events arrive as a file stream; every week they touch is re-validated and logged."""
+    from tallyho.functions.periods import week_label
+    from tallyho.streaming import start_rerun_stream
+
+    events = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
+    arrivals = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    log_path = scratch_path(spark, "rerun-log")
+    q = start_rerun_stream(
+        spark, lambda: X.events_registry(spark, sf), arrivals, week_label(F.col("ts")), log_path, run_timestamp=LOG_TS_1
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return H.read_log(spark, log_path).drop("detail")
+
+
 # ── report frames ───────────────────────────────────────────────────────────
 
 
@@ -258,6 +275,7 @@ QUERIES = {
     "suite_multi_dashboard": suite_multi_dashboard,
     "trend_daily": trend_daily,
     "log_rows": log_rows,
+    "rerun_on_arrival": rerun_on_arrival,
     "log_append_roundtrip": log_append_roundtrip,
     "latest_run": latest_run,
     "latest_run_summary": latest_run_summary,
