@@ -28,6 +28,17 @@ def resolve_run_week(dim_date: DataFrame, as_of: list[str], date_col: str = "ful
     return wide.select(stacked)
 
 
+def run_week_for(dim_date: DataFrame, run_week: str | None, today: str, date_col: str = "full_date", label_col: str = "fiscal_yr_and_wk_desc") -> str | None:
+    """The run week: the given parameter, else the latest label dated on or before ``today``.
+
+    Only the single resolved label reaches the driver.
+    """
+    if run_week:
+        return run_week
+    row = resolve_run_week(dim_date, [today], date_col, label_col).first()
+    return None if row is None else row["run_week"]
+
+
 def previous_labels(labels: DataFrame, n: int, grain: str = "week", label_col: str = "run_week") -> DataFrame:
     """(run_week, pos, prev_week): the n labels before each label, pos 1 = most recent."""
     g = grain_of(grain)
