@@ -212,3 +212,37 @@ def test_integer_metric_sums_do_not_overflow(spark):
     reg = registry(df, df, metrics=[{"name": "clicks", "checks": ["reconciliation"]}])
     r = by(Suite(spark, reg, runs=["2024-01"]).reconciliation(), "run_week")["2024-01"]
     assert r["status"] == "PASS" and r["expected_num"] == pytest.approx(1.8e19)
+
+
+def test_day_grain_suite_on_date_column(spark):
+    import datetime as dt
+
+    rows = [
+        (dt.date(2024, 3, 1), "a", Decimal("10.00")),
+        (dt.date(2024, 3, 2), "a", Decimal("10.00")),
+        (dt.date(2024, 3, 2), "b", Decimal("5.00")),
+        (dt.date(2024, 3, 3), "a", Decimal("30.00")),
+    ]
+    df = spark.createDataFrame(rows, "day date, platform string, spend decimal(18,2)")
+    reg = {
+        "dashboard": "daily",
+        "dashboard_table": df,
+        "source_table": df.where("platform = 'a'"),
+        "date_column": "day",
+        "grain": "day",
+        "lookback_weeks": 2,
+        "metrics": [{"name": "spend", "tolerance_pct": 1.0, "checks": ["reconciliation", "trend_sanity"]}],
+        "dimensions": [{"name": "platform", "completeness_check": True, "required_values": ["a", "b"]}],
+        "checks": {"sanity_range": {"rules": [{"name": "neg", "expression": "spend < 0"}]}},
+    }
+    s = Suite(spark, reg, runs=["2024-03-02", "2024-03-03"])
+    res = {(r["run_week"], r["check_name"]): r for r in s.check_results().collect()}
+    assert res[("2024-03-03", "freshness")]["status"] == "PASS"
+    assert res[("2024-03-02", "freshness")]["status"] == "FAIL"
+    assert res[("2024-03-02", "reconciliation")]["status"] == "FAIL"  # 15 vs 10
+    assert res[("2024-03-03", "reconciliation")]["status"] == "PASS"
+    t = res[("2024-03-03", "trend_sanity")]
+    assert t["expected_num"] == 12.5 and t["status"] == "FAIL"  # 30 vs avg(10, 15) = +140 %
+    assert res[("2024-03-03", "completeness")]["status"] == "DRIFT"  # b missing
+    p = res[("2024-03-02", "parts_sum")]  # b exists only in the dashboard: counted, never compared
+    assert (p["status"], p["expected"], p["actual"]) == ("PASS", "1", "2")
