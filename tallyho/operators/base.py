@@ -237,11 +237,21 @@ def build_base(spark: SparkSession, spec: CheckSpec, runs=None, materialize: boo
             "dashboard", "side", "wk", "dim", "key", F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("total")
         )
 
+    meta = combined
     if runs is None:
+        # Every period present is a run; the run set and the latest period are
+        # derived from the small materialized table (never from the facts) and
+        # written next to it, so each check starts from a plain scan.
         weeks = combined.where(F.col("side").isin(DASH, SRC) & (F.col("dim") == WEEK_LEVEL) & F.col("wk").isNotNull())
-        run_frame = weeks.select("dashboard", F.col("wk").alias("run_week")).distinct()
-        latest = weeks.where(F.col("side") == DASH).groupBy("dashboard").agg(F.max("wk").alias("latest"))
-    else:
-        latest = combined.where(F.col("side") == LATEST).select("dashboard", F.col("wk").alias("latest"))
-        run_frame = combined.where(F.col("side") == RUN).select("dashboard", F.col("wk").alias("run_week"))
+        run_rows = weeks.select("dashboard", F.lit(RUN).alias("side"), "wk").distinct()
+        latest_rows = (
+            weeks.where(F.col("side") == DASH).groupBy("dashboard").agg(F.max("wk").alias("wk")).select("dashboard", F.lit(LATEST).alias("side"), "wk")
+        )
+        meta = run_rows.unionByName(latest_rows)
+        if materialize:
+            meta_path = f"{path}-runs"
+            meta.write.mode("error").parquet(meta_path)
+            meta = spark.read.parquet(meta_path)
+    latest = meta.where(F.col("side") == LATEST).select("dashboard", F.col("wk").alias("latest"))
+    run_frame = meta.where(F.col("side") == RUN).select("dashboard", F.col("wk").alias("run_week"))
     return Base(spec=spec, runs=run_frame, groups=groups, totals=totals, latest=latest, path=path)
