@@ -114,3 +114,21 @@ def test_execution_order():
     assert [(c.seq, c.pivot) for c in spec.parts] == [(4, "p"), (5, "q")]
     assert [c.seq for c in spec.completeness] == [6]
     assert [c.seq for c in spec.sanity] == [7]
+
+
+def test_load_registry_yaml_and_missing_file():
+    import os
+
+    import pytest
+
+    from tallyho.config import load_registry
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    reg = load_registry(os.path.join(here, "examples", "events_dashboard.yaml"))
+    spec = normalize(reg)
+    assert [c.metric for c in spec.reconciliation] == ["spend", "interactions"]
+    assert [c.limit for c in spec.reconciliation] == [1.0, 1.0]
+    assert [p.pivot for p in spec.parts] == ["platform", "pillar", "platform", "pillar"]
+    assert spec.expected_changes[0].change == "appears" and spec.lookback == 4
+    with pytest.raises(FileNotFoundError):
+        load_registry(os.path.join(here, "examples", "absent.yaml"))
