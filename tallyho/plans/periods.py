@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tallyho.functions.periods import grain_of
 from tallyho.functions.scoring import PASS, TREND_DRIFT_FACTOR, round2, tier_ladder
 from tallyho.operators.base import DASH, WEEK_LEVEL, Base, sum_input
-from tallyho.sources.tables import keep
 
 
 def resolve_run_week(dim_date: DataFrame, as_of: list[str], date_col: str = "full_date", label_col: str = "fiscal_yr_and_wk_desc") -> DataFrame:
@@ -102,7 +101,3 @@ def trend_window(base: Base, n: int, limit: float) -> DataFrame:
         F.col("n_weeks").cast("bigint").alias("n_weeks"),
         F.when(graded, tier_ladder(F.abs(wow), F.lit(float(limit)), TREND_DRIFT_FACTOR)).otherwise(F.lit(PASS)).alias("status"),
     )
-
-
-def filtered(df: DataFrame, row_filter: str | None) -> DataFrame:
-    return keep(df, row_filter)

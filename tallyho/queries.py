@@ -7,8 +7,6 @@ fixtures`` and runs the library's plans; the column names match the SQL in
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,7 +179,7 @@ def trend_daily(spark: SparkSession, sf: str) -> DataFrame:
 # ── run log (F4: the F1 suite logged twice) ─────────────────────────────────
 
 
-def _logged(spark: SparkSession, sf: str, with_detail: bool = False) -> DataFrame:
+def _logged(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "runlog")
     for ts, tol in ((LOG_TS_1, 1.0), (LOG_TS_2, 5.0)):
         reg = X.events_registry(spark, sf)
@@ -285,7 +283,3 @@ QUERIES = {
     "triage_context": triage_context,
     "failed_runs": failed_runs,
 }
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
