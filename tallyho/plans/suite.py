@@ -87,9 +87,17 @@ def summarize(runs: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
-def run_suites(spark: SparkSession, registries: list[dict], runs=None) -> tuple[DataFrame, DataFrame]:
-    """Several dashboards: one base aggregate per dashboard, results unioned."""
-    suites = [Suite(spark, r, runs) for r in registries]
+def run_suites(spark: SparkSession, registries: list[dict], runs=None, parallel: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Several dashboards: one base aggregate per dashboard, results unioned.
+
+    The base aggregates are independent jobs over different tables; they are
+    submitted from a few driver threads at once so a large cluster works on
+    several dashboards' scans together.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(registries)))) as pool:
+        suites = list(pool.map(lambda r: Suite(spark, r, runs), registries))
     results = reduce(DataFrame.unionByName, [s.check_results() for s in suites])
     run_frames = reduce(DataFrame.unionByName, [s.runs for s in suites])
     return results, summarize(run_frames, results)

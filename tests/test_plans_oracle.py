@@ -54,3 +54,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:3] == ["run_week", "check_seq", "check_name"]
     assert df.count() > 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data absent")
+def test_base_aggregates_map_side_before_the_shuffle(spark):
+    """A hot key (here one segment holds a third of lineitem) is combined in each map task."""
+    spec = normalize(X.lineitem_registry(spark, SF))
+    plan = _plan(aggregate_plan(spark, spec, runs=None))
+    body = plan.split("\n\n")[0]
+    assert "Expand" in body
+    # partial aggregate below every exchange of the fact aggregates
+    assert body.count("HashAggregate") >= 2 * body.count("Exchange")
+    assert "partial_sum" in plan and "partial_count" in plan
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
