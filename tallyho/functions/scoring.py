@@ -82,3 +82,42 @@ def round2(x: Column) -> Column:
 
 def int_text(x: Column) -> Column:
     return x.cast("bigint").cast("string")
+
+
+# ── the same expressions as SQL text, for whole projections in one selectExpr ──
+# (building a projection column by column costs several driver→JVM calls per
+# operator; a SQL expression is one call however large it is)
+
+
+def pct_gap_sql(expected: str, actual: str) -> str:
+    return (
+        f"CASE WHEN {expected} = 0 THEN (CASE WHEN {actual} != 0 THEN 100.0D ELSE 0.0D END) "
+        f"ELSE abs({actual} - {expected}) / abs({expected}) * 100.0D END"
+    )
+
+
+def tier_ladder_sql(value: str, limit: str, drift_factor: float) -> str:
+    return (
+        f"CASE WHEN {value} <= {limit} THEN '{PASS}' WHEN {value} <= {limit} * {float(drift_factor)!r}D THEN '{DRIFT}' "
+        f"ELSE '{FAIL}' END"
+    )
+
+
+def count_ladder_sql(n: str) -> str:
+    return f"CASE WHEN {n} = 0 THEN '{PASS}' WHEN {n} = 1 THEN '{DRIFT}' ELSE '{FAIL}' END"
+
+
+def severity_sql(status: str = "status") -> str:
+    return f"CASE WHEN {status} = '{FAIL}' THEN '{SEVERITY[FAIL]}' WHEN {status} = '{DRIFT}' THEN '{SEVERITY[DRIFT]}' END"
+
+
+def round2_sql(x: str) -> str:
+    return f"coalesce(CAST(round(try_cast({x} AS DECIMAL(38,10)), 2) AS DOUBLE), round({x}, 2))"
+
+
+def float_text_sql(x: str) -> str:
+    plain = f"CAST(try_cast({x} AS DECIMAL(38,10)) AS STRING)"
+    return (
+        f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) ELSE coalesce("
+        f"regexp_replace(regexp_replace({plain}, '0+$', ''), '[.]$', '.0'), CAST({x} AS STRING)) END"
+    )

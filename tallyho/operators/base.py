@@ -67,6 +67,34 @@ def _period_literals(df: DataFrame, column: str, labels: list[str]) -> list:
     return list(labels)
 
 
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def str_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sum_inputs_sql(df: DataFrame, exprs: list[str]) -> list[str]:
+    """SQL for each metric prepared for an exact, overflow-free SUM (types from one analysis)."""
+    if not exprs:
+        return []
+    fields = df.selectExpr(*[f"({e}) AS m{i}" for i, e in enumerate(exprs)]).schema.fields
+    out = []
+    for e, f in zip(exprs, fields):
+        dtype = f.dataType
+        if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+            out.append(f"CAST(({e}) AS DECIMAL(38,0))")
+        elif isinstance(dtype, T.DecimalType):
+            out.append(f"({e})")
+        elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+            out.append(f"CAST(({e}) AS DOUBLE)")
+        else:
+            raise TypeError(f"metric {e!r} has non-numeric type {dtype.simpleString()}")
+    return out
+
+
 def side_aggregate(
     df: DataFrame,
     *,
@@ -86,33 +114,29 @@ def side_aggregate(
     dims = spec.dimensions
     metrics = spec.metrics
     rules = spec.sanity if with_rules else []
-    cols = [F.col(spec.date_column).cast("string").alias("wk")]
-    cols += [F.col(d).cast("string").alias(f"k{i}") for i, d in enumerate(dims)]
-    cols += [sum_input(t, m).alias(f"m{i}") for i, m in enumerate(metrics)]
-    cols += [F.expr(r.expression).cast("boolean").alias(f"r{j}") for j, r in enumerate(rules)]
-    p = t.select(*cols)
-
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    aggs += [F.coalesce(F.sum(f"m{i}"), F.lit(0)).cast("double").alias(f"m{i}") for i in range(len(metrics))]
-    aggs += [F.count_if(F.col(f"r{j}")).alias(f"r{j}") for j in range(len(rules))]
+    cols = [f"CAST({quote(spec.date_column)} AS STRING) AS wk"]
+    cols += [f"CAST({quote(d)} AS STRING) AS k{i}" for i, d in enumerate(dims)]
+    cols += [f"{s} AS m{i}" for i, s in enumerate(sum_inputs_sql(t, metrics))]
+    cols += [f"CAST(({r.expression}) AS BOOLEAN) AS r{j}" for j, r in enumerate(rules)]
+    p = t.selectExpr(*cols)
+
+    aggs = ["count(1) AS n_rows"]
+    aggs += [f"CAST(coalesce(sum(m{i}), 0) AS DOUBLE) AS m{i}" for i in range(len(metrics))]
+    aggs += [f"count_if(r{j}) AS r{j}" for j in range(len(rules))]
     keys = [f"k{i}" for i in range(len(dims))]
     if keys:
-        aggs += [F.grouping(k).alias(f"g{i}") for i, k in enumerate(keys)]
+        aggs += [f"grouping(k{i}) AS g{i}" for i in range(len(dims))]
         sets = [["wk"]] + [["wk", k] for k in keys]
-        g = p.groupingSets(sets, "wk", *keys).agg(*aggs)
+        g = p.groupingSets(sets, "wk", *keys).agg(*[F.expr(a) for a in aggs])
+        dim = "CASE " + " ".join(f"WHEN g{i} = 0 THEN {str_literal(d)}" for i, d in enumerate(dims)) + f" ELSE '{WEEK_LEVEL}' END"
+        key = "CASE " + " ".join(f"WHEN g{i} = 0 THEN k{i}" for i in range(len(dims))) + " END"
     else:
-        g = p.groupBy("wk").agg(*aggs)
-
-    dim: Column = F.lit(WEEK_LEVEL)
-    key: Column = F.lit(None).cast("string")
-    for i, d in enumerate(dims):
-        grouped = F.col(f"g{i}") == 0
-        dim = F.when(grouped, F.lit(d)).otherwise(dim)
-        key = F.when(grouped, F.col(f"k{i}")).otherwise(key)
-    out = [F.lit(side).alias("side"), F.col("wk"), dim.alias("dim"), key.alias("key"), F.col("n_rows")]
-    out += [F.col(f"m{i}") for i in range(len(metrics))]
-    out += [F.col(f"r{j}") for j in range(len(rules))]
-    return g.select(*out)
+        g = p.groupBy("wk").agg(*[F.expr(a) for a in aggs])
+        dim, key = f"'{WEEK_LEVEL}'", "CAST(NULL AS STRING)"
+    out = [f"{str_literal(side)} AS side", "wk", f"{dim} AS dim", f"{key} AS key", "n_rows"]
+    out += [f"m{i}" for i in range(len(metrics))]
+    out += [f"r{j}" for j in range(len(rules))]
+    return g.selectExpr(*out)
 
 
 def latest_period(df: DataFrame, spec: CheckSpec) -> DataFrame:
@@ -222,19 +246,16 @@ def build_base(spark: SparkSession, spec: CheckSpec, runs=None, materialize: boo
         combined.write.mode("error").parquet(path)
         combined = spark.read.parquet(path)
 
-    facts = combined.where(F.col("side").isin(DASH, SRC))
-    groups = facts.select(
-        "dashboard", "side", "wk", "dim", "key", "n_rows", *[F.col(f"r{j}") for j in range(len(spec.sanity))]
-    )
+    facts = combined.where(f"side IN ('{DASH}', '{SRC}')")
+    groups = facts.selectExpr("dashboard", "side", "wk", "dim", "key", "n_rows", *[f"r{j}" for j in range(len(spec.sanity))])
     metrics = spec.metrics
     if metrics:
-        stacked = F.inline(
-            F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"m{i}").alias("total")) for i, m in enumerate(metrics)])
-        )
-        totals = facts.select("dashboard", "side", "wk", "dim", "key", stacked)
+        # wide m0..mk → (metric, total) rows
+        pairs = ", ".join(f"{str_literal(m)}, m{i}" for i, m in enumerate(metrics))
+        totals = facts.selectExpr("dashboard", "side", "wk", "dim", "key", f"stack({len(metrics)}, {pairs}) AS (metric, total)")
     else:
-        totals = combined.where(F.lit(False)).select(
-            "dashboard", "side", "wk", "dim", "key", F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("total")
+        totals = combined.where("false").selectExpr(
+            "dashboard", "side", "wk", "dim", "key", "CAST(NULL AS STRING) AS metric", "CAST(NULL AS DOUBLE) AS total"
         )
 
     meta = combined

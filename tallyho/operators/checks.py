@@ -25,13 +25,12 @@ from tallyho.functions.scoring import (
     PASS,
     RECON_DRIFT_FACTOR,
     TREND_DRIFT_FACTOR,
-    count_ladder,
-    float_text,
-    int_text,
-    pct_gap,
-    round2,
-    severity,
-    tier_ladder,
+    count_ladder_sql,
+    float_text_sql,
+    pct_gap_sql,
+    round2_sql,
+    severity_sql,
+    tier_ladder_sql,
 )
 from tallyho.operators.base import DASH, SRC, WEEK_LEVEL, Base
 
@@ -54,14 +53,6 @@ RESULT_COLUMNS = [
 ]
 
 
-def _null_s():
-    return F.lit(None).cast("string")
-
-
-def _null_d():
-    return F.lit(None).cast("double")
-
-
 def _s(name: str) -> T.StructField:
     return T.StructField(name, T.StringType(), True)
 
@@ -101,20 +92,16 @@ def expand(df: DataFrame, rows: list[tuple], schema: T.StructType) -> DataFrame:
 
 def to_results(df: DataFrame) -> DataFrame:
     """Project a check frame onto the common result schema (with severity)."""
-    return df.select(
-        *[severity(F.col("status")).alias("severity") if c == "severity" else F.col(c) for c in RESULT_COLUMNS]
-    )
+    return df.selectExpr(*[f"{severity_sql()} AS severity" if c == "severity" else c for c in RESULT_COLUMNS])
 
 
 def _level(base: Base, side: str, week_level: bool) -> DataFrame:
-    cond = F.col("dim") == WEEK_LEVEL if week_level else F.col("dim") != WEEK_LEVEL
-    return base.totals.where((F.col("side") == side) & cond)
+    op = "=" if week_level else "!="
+    return base.totals.where(f"side = '{side}' AND dim {op} '{WEEK_LEVEL}'")
 
 
 def _week_totals(base: Base, side: str, alias: str) -> DataFrame:
-    return _level(base, side, True).select(
-        "dashboard", F.col("wk").alias("run_week"), "metric", F.col("total").alias(alias)
-    )
+    return _level(base, side, True).selectExpr("dashboard", "wk AS run_week", "metric", f"total AS {alias}")
 
 
 # ── C1 freshness ────────────────────────────────────────────────────────────
@@ -124,23 +111,22 @@ def freshness(spark: SparkSession, base: Base) -> DataFrame | None:
     spec = base.spec
     if spec.freshness_seq is None:
         return None
-    latest = F.col("latest")
-    return base.runs.join(base.latest, "dashboard", "left").select(
+    return base.runs.join(base.latest, "dashboard", "left").selectExpr(
         "dashboard",
         "run_week",
-        F.lit(spec.freshness_seq).alias("check_seq"),
-        F.lit("freshness").alias("check_name"),
-        F.lit("row_freshness").alias("metric"),
-        F.when(latest.eqNullSafe(F.col("run_week")), F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
-        F.col("run_week").alias("expected"),
-        latest.alias("actual"),
-        _null_d().alias("expected_num"),
-        _null_d().alias("actual_num"),
-        _null_d().alias("gap"),
-        _null_d().alias("tolerance"),
-        _null_s().alias("gap_unit"),
-        F.concat(F.lit("Latest week in dashboard: "), F.coalesce(latest, F.lit("None"))).alias("detail"),
-        latest.alias("latest_week"),
+        f"{int(spec.freshness_seq)} AS check_seq",
+        "'freshness' AS check_name",
+        "'row_freshness' AS metric",
+        f"CASE WHEN latest <=> run_week THEN '{PASS}' ELSE '{FAIL}' END AS status",
+        "run_week AS expected",
+        "latest AS actual",
+        "CAST(NULL AS DOUBLE) AS expected_num",
+        "CAST(NULL AS DOUBLE) AS actual_num",
+        "CAST(NULL AS DOUBLE) AS gap",
+        "CAST(NULL AS DOUBLE) AS tolerance",
+        "CAST(NULL AS STRING) AS gap_unit",
+        "concat('Latest week in dashboard: ', coalesce(latest, 'None')) AS detail",
+        "latest AS latest_week",
     )
 
 
@@ -157,34 +143,32 @@ def reconciliation(spark: SparkSession, base: Base) -> DataFrame | None:
         expand(base.runs, rows, schema)
         .join(_week_totals(base, DASH, "dash_total"), ["dashboard", "run_week", "metric"], "left")
         .join(_week_totals(base, SRC, "src_total"), ["dashboard", "run_week", "metric"], "left")
+        .selectExpr("*", "coalesce(dash_total, 0.0D) AS dv", "coalesce(src_total, 0.0D) AS sv")
+        .selectExpr("*", "sv = 0 AND dv = 0 AS zero", f"{pct_gap_sql('sv', 'dv')} AS gp")
     )
-    dash = F.coalesce(F.col("dash_total"), F.lit(0.0))
-    src = F.coalesce(F.col("src_total"), F.lit(0.0))
-    zero = (src == 0) & (dash == 0)
-    gap_pct = pct_gap(src, dash)
-    return j.select(
+    return j.selectExpr(
         "dashboard",
         "run_week",
         "check_seq",
-        F.lit("reconciliation").alias("check_name"),
+        "'reconciliation' AS check_name",
         "metric",
-        F.when(zero, F.lit(PASS)).otherwise(tier_ladder(gap_pct, F.col("tol"), RECON_DRIFT_FACTOR)).alias("status"),
-        F.when(zero, F.lit("0")).otherwise(float_text(round2(src))).alias("expected"),
-        F.when(zero, F.lit("0")).otherwise(float_text(round2(dash))).alias("actual"),
-        F.when(zero, F.lit(0.0)).otherwise(round2(src)).alias("expected_num"),
-        F.when(zero, F.lit(0.0)).otherwise(round2(dash)).alias("actual_num"),
-        F.when(~zero, round2(dash - src)).alias("gap"),
-        F.when(~zero, F.col("tol")).alias("tolerance"),
-        F.when(~zero, F.lit("abs")).alias("gap_unit"),
-        F.when(zero, F.lit("Both source and dashboard are zero — no data for this week"))
-        .otherwise(F.format_string("Gap: %.2f%%  (tolerance: ±%s%%)", gap_pct, F.col("tol_text")))
-        .alias("detail"),
-        F.when(~zero, round2(gap_pct)).alias("gap_pct"),
+        f"CASE WHEN zero THEN '{PASS}' ELSE {tier_ladder_sql('gp', 'tol', RECON_DRIFT_FACTOR)} END AS status",
+        f"CASE WHEN zero THEN '0' ELSE {float_text_sql(round2_sql('sv'))} END AS expected",
+        f"CASE WHEN zero THEN '0' ELSE {float_text_sql(round2_sql('dv'))} END AS actual",
+        f"CASE WHEN zero THEN 0.0D ELSE {round2_sql('sv')} END AS expected_num",
+        f"CASE WHEN zero THEN 0.0D ELSE {round2_sql('dv')} END AS actual_num",
+        f"CASE WHEN NOT zero THEN {round2_sql('dv - sv')} END AS gap",
+        "CASE WHEN NOT zero THEN tol END AS tolerance",
+        "CASE WHEN NOT zero THEN 'abs' END AS gap_unit",
+        "CASE WHEN zero THEN 'Both source and dashboard are zero — no data for this week' "
+        "ELSE format_string('Gap: %.2f%%  (tolerance: ±%s%%)', gp, tol_text) END AS detail",
+        f"CASE WHEN NOT zero THEN {round2_sql('gp')} END AS gap_pct",
     )
 
 
 # ── C3 parts_sum ────────────────────────────────────────────────────────────
 
+
 _PARTS_SCHEMA = T.StructType([_i("check_seq"), _s("metric"), _s("pivot"), _d("tol"), _s("tol_text")])
 
 
@@ -223,26 +207,23 @@ def parts_compare(spark: SparkSession, base: Base) -> DataFrame | None:
         & (s["metric"] == d["d_metric"])
         & s["key"].eqNullSafe(d["d_key"])
     )
-    j = s.join(d, cond, "left")
-    dash = F.coalesce(F.col("dash_total"), F.lit(0.0))
-    compared = F.col("src_total") != 0
-    gap_pct = F.when(compared, pct_gap(F.col("src_total"), dash))
+    j = s.join(d, cond, "left").selectExpr("*", "coalesce(dash_total, 0.0D) AS dv", "src_total != 0 AS is_compared")
+    j = j.selectExpr("*", f"CASE WHEN is_compared THEN {pct_gap_sql('src_total', 'dv')} END AS gp")
     # NaN never counts as failing (Python's ``nan > tol`` is False).
-    failing = F.coalesce(compared & (gap_pct > F.col("tol")) & ~F.isnan(gap_pct), F.lit(False))
-    return j.select(
+    return j.selectExpr(
         "dashboard",
         "run_week",
         "check_seq",
         "metric",
         "pivot",
-        F.col("key").alias("pivot_value"),
+        "key AS pivot_value",
         "tol",
         "tol_text",
-        F.col("src_total").alias("source_total"),
-        dash.alias("dashboard_total"),
-        gap_pct.alias("gap_pct"),
-        compared.alias("is_compared"),
-        failing.alias("is_failing"),
+        "src_total AS source_total",
+        "dv AS dashboard_total",
+        "gp AS gap_pct",
+        "is_compared",
+        "coalesce(is_compared AND gp > tol AND NOT isnan(gp), false) AS is_failing",
     )
 
 
@@ -251,15 +232,15 @@ def parts_sum_detail(spark: SparkSession, base: Base) -> DataFrame | None:
     cmp = parts_compare(spark, base)
     if cmp is None:
         return None
-    return cmp.select(
+    return cmp.selectExpr(
         "dashboard",
         "run_week",
         "metric",
         "pivot",
         "pivot_value",
-        round2(F.col("source_total")).alias("source_total"),
-        round2(F.col("dashboard_total")).alias("dashboard_total"),
-        round2(F.col("gap_pct")).alias("gap_pct"),
+        f"{round2_sql('source_total')} AS source_total",
+        f"{round2_sql('dashboard_total')} AS dashboard_total",
+        f"{round2_sql('gap_pct')} AS gap_pct",
         "is_failing",
     )
 
@@ -272,11 +253,11 @@ def parts_sum(spark: SparkSession, base: Base) -> DataFrame | None:
     keys = ["dashboard", "run_week", "metric", "pivot"]
     dash_groups = (
         _level(base, DASH, False)
-        .select("dashboard", F.col("wk").alias("run_week"), "metric", F.col("dim").alias("pivot"))
+        .selectExpr("dashboard", "wk AS run_week", "metric", "dim AS pivot")
         .join(base.runs, ["dashboard", "run_week"], "left_semi")
-        .select(*keys, F.lit(False).alias("is_src"), F.lit(False).alias("is_compared"), F.lit(False).alias("is_failing"))
+        .selectExpr(*keys, "false AS is_src", "false AS is_compared", "false AS is_failing")
     )
-    src_groups = cmp.select(*keys, F.lit(True).alias("is_src"), "is_compared", "is_failing")
+    src_groups = cmp.selectExpr(*keys, "true AS is_src", "is_compared", "is_failing")
     counts = (
         src_groups.unionByName(dash_groups)
         .groupBy(*keys)
@@ -287,34 +268,35 @@ def parts_sum(spark: SparkSession, base: Base) -> DataFrame | None:
             F.count_if("is_compared").alias("n_compared"),
         )
     )
-    j = expand(base.runs, _parts_rows(spec), _PARTS_SCHEMA).join(counts, keys, "left")
-    n_fail = F.coalesce(F.col("n_fail_groups"), F.lit(0)).cast("bigint")
-    n_src = F.coalesce(F.col("n_src"), F.lit(0)).cast("bigint")
-    n_dash = F.coalesce(F.col("n_dash"), F.lit(0)).cast("bigint")
-    n_cmp = F.coalesce(F.col("n_compared"), F.lit(0)).cast("bigint")
-    return j.select(
+    j = (
+        expand(base.runs, _parts_rows(spec), _PARTS_SCHEMA)
+        .join(counts, keys, "left")
+        .selectExpr(
+            "*",
+            "CAST(coalesce(n_fail_groups, 0) AS BIGINT) AS n_fail",
+            "CAST(coalesce(n_src, 0) AS BIGINT) AS c_src",
+            "CAST(coalesce(n_dash, 0) AS BIGINT) AS c_dash",
+            "CAST(coalesce(n_compared, 0) AS BIGINT) AS c_cmp",
+        )
+    )
+    return j.selectExpr(
         "dashboard",
         "run_week",
         "check_seq",
-        F.lit("parts_sum").alias("check_name"),
-        F.concat(F.col("metric"), F.lit("_by_"), F.col("pivot")).alias("metric"),
-        count_ladder(n_fail).alias("status"),
-        int_text(n_src).alias("expected"),
-        int_text(n_dash).alias("actual"),
-        n_src.cast("double").alias("expected_num"),
-        n_dash.cast("double").alias("actual_num"),
-        _null_d().alias("gap"),
-        _null_d().alias("tolerance"),
-        _null_s().alias("gap_unit"),
-        F.when(n_fail == 0, F.concat(F.lit("All "), F.col("pivot"), F.lit(" subtotals match")))
-        .otherwise(
-            F.format_string(
-                "%d of %d %s subtotals outside ±%s%% (see parts_sum_detail)", n_fail, n_cmp, F.col("pivot"), F.col("tol_text")
-            )
-        )
-        .alias("detail"),
-        n_fail.alias("n_failing"),
-        F.col("metric").alias("base_metric"),
+        "'parts_sum' AS check_name",
+        "concat(metric, '_by_', pivot) AS metric",
+        f"{count_ladder_sql('n_fail')} AS status",
+        "CAST(c_src AS STRING) AS expected",
+        "CAST(c_dash AS STRING) AS actual",
+        "CAST(c_src AS DOUBLE) AS expected_num",
+        "CAST(c_dash AS DOUBLE) AS actual_num",
+        "CAST(NULL AS DOUBLE) AS gap",
+        "CAST(NULL AS DOUBLE) AS tolerance",
+        "CAST(NULL AS STRING) AS gap_unit",
+        "CASE WHEN n_fail = 0 THEN concat('All ', pivot, ' subtotals match') "
+        "ELSE format_string('%d of %d %s subtotals outside ±%s%% (see parts_sum_detail)', n_fail, c_cmp, pivot, tol_text) END AS detail",
+        "n_fail AS n_failing",
+        "metric AS base_metric",
         "pivot",
     )
 
@@ -343,40 +325,36 @@ def trend_sanity(spark: SparkSession, base: Base) -> DataFrame | None:
     j = rs.join(_week_totals(base, DASH, "cur_total"), ["dashboard", "run_week", "metric"], "left").join(
         hist, ["dashboard", "run_week", "metric"], "left"
     )
-    cur = F.coalesce(F.col("cur_total"), F.lit(0.0))
-    n_weeks = F.coalesce(F.col("n_weeks"), F.lit(0)).cast("bigint")
-    baseline = F.col("baseline_dec").cast("double")
-    baseline_r = F.round(F.col("baseline_dec"), 2).cast("double")
-    no_hist = n_weeks == 0
-    zero_base = ~no_hist & (baseline == 0)
-    graded = ~no_hist & ~zero_base
-    wow = F.when(graded, (cur - baseline) / F.abs(baseline) * F.lit(100.0))
-    label = F.when(n_weeks == 1, F.lit("prior week")).otherwise(F.concat(n_weeks.cast("string"), F.lit("-week avg")))
-    return j.select(
+    j = j.selectExpr(
+        "*",
+        "coalesce(cur_total, 0.0D) AS cur",
+        "CAST(coalesce(n_weeks, 0) AS BIGINT) AS nw",
+        "CAST(baseline_dec AS DOUBLE) AS base",
+        "CAST(round(baseline_dec, 2) AS DOUBLE) AS base_r",
+    ).selectExpr("*", "nw > 0 AND base != 0 AS graded")
+    j = j.selectExpr("*", "CASE WHEN graded THEN (cur - base) / abs(base) * 100.0D END AS wow")
+    label = "CASE WHEN nw = 1 THEN 'prior week' ELSE concat(CAST(nw AS STRING), '-week avg') END"
+    return j.selectExpr(
         "dashboard",
         "run_week",
         "check_seq",
-        F.lit("trend_sanity").alias("check_name"),
+        "'trend_sanity' AS check_name",
         "metric",
-        F.when(graded, tier_ladder(F.abs(wow), F.col("lim"), TREND_DRIFT_FACTOR)).otherwise(F.lit(PASS)).alias("status"),
-        F.when(no_hist, _null_s()).when(zero_base, F.lit("0.0")).otherwise(float_text(baseline_r)).alias("expected"),
-        F.when(graded, float_text(round2(cur))).otherwise(float_text(cur)).alias("actual"),
-        F.when(no_hist, _null_d()).when(zero_base, F.lit(0.0)).otherwise(baseline_r).alias("expected_num"),
-        round2(cur).alias("actual_num"),
-        round2(wow).alias("gap"),
-        F.when(graded, F.col("lim")).alias("tolerance"),
-        F.when(graded, F.lit("pct")).alias("gap_unit"),
-        F.when(
-            no_hist,
-            F.concat(F.lit("No data in lookback window ("), F.array_join("lookback", ", "), F.lit(") — trend check skipped")),
-        )
-        .when(zero_base, F.format_string("Lookback baseline is zero across %d week(s) — trend check skipped", n_weeks))
-        .otherwise(F.format_string("Change vs %s: %+.1f%%  (limit: ±%s%%)", label, wow, F.col("lim_text")))
-        .alias("detail"),
-        baseline_r.alias("baseline"),
-        round2(cur).alias("current"),
-        round2(wow).alias("change_pct"),
-        n_weeks.alias("n_weeks"),
+        f"CASE WHEN graded THEN {tier_ladder_sql('abs(wow)', 'lim', TREND_DRIFT_FACTOR)} ELSE '{PASS}' END AS status",
+        f"CASE WHEN nw = 0 THEN CAST(NULL AS STRING) WHEN base = 0 THEN '0.0' ELSE {float_text_sql('base_r')} END AS expected",
+        f"CASE WHEN graded THEN {float_text_sql(round2_sql('cur'))} ELSE {float_text_sql('cur')} END AS actual",
+        "CASE WHEN nw = 0 THEN CAST(NULL AS DOUBLE) WHEN base = 0 THEN 0.0D ELSE base_r END AS expected_num",
+        f"{round2_sql('cur')} AS actual_num",
+        f"{round2_sql('wow')} AS gap",
+        "CASE WHEN graded THEN lim END AS tolerance",
+        "CASE WHEN graded THEN 'pct' END AS gap_unit",
+        "CASE WHEN nw = 0 THEN concat('No data in lookback window (', array_join(lookback, ', '), ') — trend check skipped') "
+        "WHEN base = 0 THEN format_string('Lookback baseline is zero across %d week(s) — trend check skipped', nw) "
+        f"ELSE format_string('Change vs %s: %+.1f%%  (limit: ±%s%%)', {label}, wow, lim_text) END AS detail",
+        "base_r AS baseline",
+        f"{round2_sql('cur')} AS current",
+        f"{round2_sql('wow')} AS change_pct",
+        "nw AS n_weeks",
     )
 
 
@@ -502,36 +480,39 @@ def completeness(spark: SparkSession, base: Base) -> DataFrame | None:
         F.array_join(F.transform(F.array_sort(F.collect_list("item")), lambda x: x["v"]), ", ").alias("missing_values"),
     )
     j = run_dims.join(counts, keys, "left")
-    c_req = F.coalesce(F.col("n_required"), F.lit(0)).cast("bigint")
-    c_miss = F.coalesce(F.col("n_missing"), F.lit(0)).cast("bigint")
-    c_new = F.coalesce(F.col("n_new"), F.lit(0)).cast("bigint")
-    c_present = F.coalesce(F.col("n_present"), F.lit(0)).cast("bigint")
-    base_status = count_ladder(c_miss)
-    status = F.when((base_status == PASS) & (c_new > 0), F.lit(DRIFT)).otherwise(base_status)
-    missing_part = F.when(
-        c_miss > 0, F.concat(F.lit("Missing "), F.col("dimension"), F.lit(" values: ['"), F.col("missing_values"), F.lit("']"))
-    ).otherwise(F.concat(F.lit("All "), c_req.cast("string"), F.lit(" expected "), F.col("dimension"), F.lit(" values present")))
-    new_part = F.format_string(
-        "  |  New %s values not seen in prior %d week(s): %d (see new_values)", F.col("dimension"), F.lit(spec.lookback), c_new
+    j = j.selectExpr(
+        "*",
+        "CAST(coalesce(n_required, 0) AS BIGINT) AS c_req",
+        "CAST(coalesce(n_missing, 0) AS BIGINT) AS c_miss",
+        "CAST(coalesce(n_new, 0) AS BIGINT) AS c_new",
+        "CAST(coalesce(n_present, 0) AS BIGINT) AS c_present",
+    )
+    missing_part = (
+        "CASE WHEN c_miss > 0 THEN concat('Missing ', dimension, ' values: [\\'', missing_values, '\\']') "
+        "ELSE concat('All ', CAST(c_req AS STRING), ' expected ', dimension, ' values present') END"
+    )
+    new_part = (
+        "CASE WHEN c_new > 0 THEN format_string('  |  New %s values not seen in prior %d week(s): %d (see new_values)', "
+        f"dimension, {int(spec.lookback)}, c_new) ELSE '' END"
     )
-    return j.select(
+    return j.selectExpr(
         "dashboard",
         "run_week",
         "check_seq",
-        F.lit("completeness").alias("check_name"),
-        F.concat(F.col("dimension"), F.lit("_completeness")).alias("metric"),
-        status.alias("status"),
-        int_text(c_req).alias("expected"),
-        int_text(c_present).alias("actual"),
-        c_req.cast("double").alias("expected_num"),
-        c_present.cast("double").alias("actual_num"),
-        _null_d().alias("gap"),
-        _null_d().alias("tolerance"),
-        _null_s().alias("gap_unit"),
-        F.concat(missing_part, F.when(c_new > 0, new_part).otherwise(F.lit(""))).alias("detail"),
-        c_miss.alias("n_missing"),
-        c_new.alias("n_new"),
-        F.coalesce(F.col("missing_values"), F.lit("")).alias("missing_values"),
+        "'completeness' AS check_name",
+        "concat(dimension, '_completeness') AS metric",
+        f"CASE WHEN c_miss = 0 AND c_new > 0 THEN '{DRIFT}' ELSE {count_ladder_sql('c_miss')} END AS status",
+        "CAST(c_req AS STRING) AS expected",
+        "CAST(c_present AS STRING) AS actual",
+        "CAST(c_req AS DOUBLE) AS expected_num",
+        "CAST(c_present AS DOUBLE) AS actual_num",
+        "CAST(NULL AS DOUBLE) AS gap",
+        "CAST(NULL AS DOUBLE) AS tolerance",
+        "CAST(NULL AS STRING) AS gap_unit",
+        f"concat({missing_part}, {new_part}) AS detail",
+        "c_miss AS n_missing",
+        "c_new AS n_new",
+        "coalesce(missing_values, '') AS missing_values",
         "dimension",
     )
 
@@ -552,30 +533,30 @@ def sanity_range(spark: SparkSession, base: Base) -> DataFrame | None:
         F.array(*[F.col(f"r{j}") for j in range(len(spec.sanity))]).alias("violation_counts"),
     )
     j = expand(base.runs, rows, schema).join(wk, ["dashboard", "run_week"], "left")
-    total = F.coalesce(F.col("n_rows"), F.lit(0)).cast("bigint")
-    viol = F.coalesce(F.element_at("violation_counts", F.col("ridx") + 1), F.lit(0)).cast("bigint")
-    empty = total == 0
-    actual = F.when(empty, F.lit(0)).otherwise(viol).cast("bigint")
-    return j.select(
+    j = j.selectExpr(
+        "*",
+        "CAST(coalesce(n_rows, 0) AS BIGINT) AS total",
+        "CAST(coalesce(element_at(violation_counts, ridx + 1), 0) AS BIGINT) AS viol",
+    ).selectExpr("*", "CASE WHEN total = 0 THEN CAST(0 AS BIGINT) ELSE viol END AS act")
+    return j.selectExpr(
         "dashboard",
         "run_week",
         "check_seq",
-        F.lit("sanity_range").alias("check_name"),
-        F.col("rule").alias("metric"),
-        F.when(empty | (viol == 0), F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
-        F.lit("0").alias("expected"),
-        int_text(actual).alias("actual"),
-        F.lit(0.0).alias("expected_num"),
-        actual.cast("double").alias("actual_num"),
-        _null_d().alias("gap"),
-        _null_d().alias("tolerance"),
-        _null_s().alias("gap_unit"),
-        F.when(empty, F.concat(F.lit("No rows for "), F.col("run_week"), F.lit(" — sanity check skipped")))
-        .when(viol == 0, F.format_string("All %d rows satisfy rule '%s'", total, F.col("rule")))
-        .otherwise(F.format_string("%d of %d rows violate rule '%s' (%s)", viol, total, F.col("rule"), F.col("expression")))
-        .alias("detail"),
-        total.alias("n_rows"),
-        viol.alias("violations"),
+        "'sanity_range' AS check_name",
+        "rule AS metric",
+        f"CASE WHEN total = 0 OR viol = 0 THEN '{PASS}' ELSE '{FAIL}' END AS status",
+        "'0' AS expected",
+        "CAST(act AS STRING) AS actual",
+        "0.0D AS expected_num",
+        "CAST(act AS DOUBLE) AS actual_num",
+        "CAST(NULL AS DOUBLE) AS gap",
+        "CAST(NULL AS DOUBLE) AS tolerance",
+        "CAST(NULL AS STRING) AS gap_unit",
+        "CASE WHEN total = 0 THEN concat('No rows for ', run_week, ' — sanity check skipped') "
+        "WHEN viol = 0 THEN format_string('All %d rows satisfy rule \\'%s\\'', total, rule) "
+        "ELSE format_string('%d of %d rows violate rule \\'%s\\' (%s)', viol, total, rule, expression) END AS detail",
+        "total AS n_rows",
+        "viol AS violations",
     )
 
 

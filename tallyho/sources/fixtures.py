@@ -14,40 +14,39 @@ from tallyho.functions.periods import week_label
 from tallyho.sources.tables import testdata
 
 
+# Week label of a date/timestamp in SQL (same rule as functions.periods.week_label).
+_WEEK = "concat(CAST(extract(YEAROFWEEK FROM {c}) AS STRING), '-', lpad(CAST(extract(WEEK FROM {c}) AS STRING), 2, '0'))"
+
+
 def events_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 source table: weekly event facts with two pivots, a row class and two metrics."""
-    e = testdata(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    return e.select(
-        eid,
-        week_label(F.col("ts")).alias("wk"),
-        F.when(eid % 40 == 5, F.lit(None).cast("string")).otherwise(F.col("event_type")).alias("platform"),
-        F.when(F.col("user_id") % 2 == 0, F.lit("Paid")).otherwise(F.lit("Organic")).alias("pillar"),
-        F.when(eid % 10 == 0, F.lit("Budget")).when(eid % 10 == 1, F.lit(None).cast("string")).otherwise(F.lit("Actual")).alias("data_type"),
-        F.col("value").cast("decimal(18,2)").alias("spend"),
-        F.regexp_extract("props", r"([0-9]+)", 1).cast("bigint").alias("interactions"),
+    return testdata(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        f"{_WEEK.format(c='ts')} AS wk",
+        "CASE WHEN event_id % 40 = 5 THEN CAST(NULL AS STRING) ELSE event_type END AS platform",
+        "CASE WHEN user_id % 2 = 0 THEN 'Paid' ELSE 'Organic' END AS pillar",
+        "CASE WHEN event_id % 10 = 0 THEN 'Budget' WHEN event_id % 10 = 1 THEN CAST(NULL AS STRING) ELSE 'Actual' END AS data_type",
+        "CAST(value AS DECIMAL(18,2)) AS spend",
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS interactions",
     )
 
 
 def events_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 dashboard table: the source with a mislabel, a scaled week, negative rows and a dropped slice."""
-    s = events_source(spark, sf_dir)
-    eid, wk, platform, spend = F.col("event_id"), F.col("wk"), F.col("platform"), F.col("spend")
-    kept = s.where(~((wk == "2024-02") & (platform == "signup")))
-    return kept.select(
-        eid,
-        wk,
-        F.when((wk == "2024-04") & (platform == "view") & (eid % 4 == 3), F.lit("click"))
-        .when((wk == "2024-02") & (platform == "purchase") & (eid % 9 == 7), F.lit("beta"))
-        .otherwise(platform)
-        .alias("platform"),
-        F.col("pillar"),
-        F.col("data_type"),
-        F.when(wk == "2024-03", (spend * F.lit(1.02).cast("decimal(3,2)")).cast("decimal(18,2)"))
-        .when((wk == "2024-01") & (eid % 100 == 3), -spend)
-        .otherwise(spend)
-        .alias("spend"),
-        F.col("interactions"),
+    return (
+        events_source(spark, sf_dir)
+        .where("NOT (wk = '2024-02' AND platform = 'signup')")
+        .selectExpr(
+            "event_id",
+            "wk",
+            "CASE WHEN wk = '2024-04' AND platform = 'view' AND event_id % 4 = 3 THEN 'click' "
+            "WHEN wk = '2024-02' AND platform = 'purchase' AND event_id % 9 = 7 THEN 'beta' ELSE platform END AS platform",
+            "pillar",
+            "data_type",
+            "CASE WHEN wk = '2024-03' THEN CAST(spend * CAST(1.02 AS DECIMAL(3,2)) AS DECIMAL(18,2)) "
+            "WHEN wk = '2024-01' AND event_id % 100 = 3 THEN -spend ELSE spend END AS spend",
+            "interactions",
+        )
     )
 
 
@@ -86,13 +85,12 @@ def events_registry(spark: SparkSession, sf_dir: str, **overrides) -> dict:
 
 def lineitem_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """weekly shipped quantity and revenue by segment (return flag) and pillar (line status)."""
-    li = testdata(spark, sf_dir, "lineitem")
-    return li.select(
-        week_label(F.col("l_shipdate")).alias("wk"),
-        F.col("l_returnflag").alias("segment"),
-        F.col("l_linestatus").alias("pillar"),
-        F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("revenue"),
+    return testdata(spark, sf_dir, "lineitem").selectExpr(
+        f"{_WEEK.format(c='l_shipdate')} AS wk",
+        "l_returnflag AS segment",
+        "l_linestatus AS pillar",
+        "CAST(l_quantity AS DECIMAL(18,2)) AS quantity",
+        "CAST(l_extendedprice AS DECIMAL(18,2)) AS revenue",
     )
 
 
