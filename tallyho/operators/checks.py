@@ -361,92 +361,79 @@ def trend_sanity(spark: SparkSession, base: Base) -> DataFrame | None:
 # ── C5 completeness ─────────────────────────────────────────────────────────
 
 _DIM_SCHEMA = T.StructType([_i("check_seq"), _s("dimension")])
-_VALUE_SCHEMA = T.StructType([_i("check_seq"), _s("dimension"), _s("value"), _s("kind"), _i("pos")])
-_CHANGE_SCHEMA = T.StructType([_s("dimension"), _s("value"), _s("change"), _s("effective_week")])
+_ITEM_SCHEMA = T.StructType([_i("check_seq"), _s("dimension"), _s("value"), _s("kind"), _i("pos"), _s("effective_week")])
+_VALUE_KEYS = ["dashboard", "run_week", "check_seq", "dimension", "value"]
 
 
-def _completeness_frames(spark: SparkSession, base: Base):
+def _completeness_frames(spark: SparkSession, base: Base) -> tuple[DataFrame, DataFrame]:
+    """(run × check rows, one row per run × check × value with its flags).
+
+    Present values, lookback-history values and configured values (required,
+    optional, scheduled appearances and disappearances, once effective) are
+    tagged and unioned, then grouped by value: NULL is its own group, so
+    matching is null-safe without anti-joins, and every group holds at most
+    one present row, the lookback weeks and the registry's entries.
+    """
     spec = base.spec
     grain = grain_of(spec.grain)
     dim_rows = [(c.seq, c.dimension) for c in spec.completeness]
-    value_rows = []
+    spec_rows = []
     for c in spec.completeness:
-        value_rows += [(c.seq, c.dimension, v, "required", i) for i, v in enumerate(c.required)]
-        value_rows += [(c.seq, c.dimension, v, "optional", i) for i, v in enumerate(c.optional)]
-    change_rows = [(e.dimension, e.value, e.change, e.effective_week) for e in spec.expected_changes]
+        spec_rows += [(c.seq, c.dimension, v, "required", i, None) for i, v in enumerate(c.required)]
+        spec_rows += [(c.seq, c.dimension, v, "optional", i, None) for i, v in enumerate(c.optional)]
+        spec_rows += [
+            (c.seq, c.dimension, e.value, e.change, None, e.effective_week) for e in spec.expected_changes if e.dimension == c.dimension
+        ]
 
     run_dims = expand(base.runs, dim_rows, _DIM_SCHEMA)
     dims = F.broadcast(spark.createDataFrame(dim_rows, _DIM_SCHEMA))  # registry-sized
-    groups = base.groups.where((F.col("side") == DASH) & (F.col("dim") != WEEK_LEVEL))
+    groups = base.groups.where(f"side = '{DASH}' AND dim != '{WEEK_LEVEL}'")
+    tag = lambda kind: [f"'{kind}' AS kind", "CAST(NULL AS INT) AS pos"]
     present = (
-        groups.select("dashboard", F.col("wk").alias("run_week"), F.col("dim").alias("dimension"), "key")
+        groups.selectExpr("dashboard", "wk AS run_week", "dim AS dimension", "key AS value")
         .join(base.runs, ["dashboard", "run_week"], "left_semi")
         .join(dims, ["dimension"])
+        .selectExpr(*_VALUE_KEYS, *tag("present"))
     )
     history = (
         run_dims.select(
             "dashboard", "run_week", "check_seq", "dimension", F.explode(grain.lookback(F.col("run_week"), spec.lookback)).alias("wk")
         )
-        .join(groups.select("dashboard", "wk", F.col("dim").alias("dimension"), "key"), ["dashboard", "wk", "dimension"])
-        .select("dashboard", "run_week", "check_seq", "dimension", F.col("key").alias("value"))
+        .join(groups.selectExpr("dashboard", "wk", "dim AS dimension", "key AS value"), ["dashboard", "wk", "dimension"])
+        .selectExpr(*_VALUE_KEYS, *tag("history"))
     )
-    cols = ["dashboard", "run_week", "check_seq", "dimension", "value"]
-    if value_rows:
-        run_values = expand(base.runs, value_rows, _VALUE_SCHEMA)
-    else:
-        run_values = base.runs.select(
-            "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in _VALUE_SCHEMA.fields]
-        ).where(F.lit(False))
-    required = run_values.where(F.col("kind") == "required")
-    known = history.unionByName(run_values.select(*cols))
-    if change_rows:
-        changes = expand(base.runs, change_rows, _CHANGE_SCHEMA).where(F.col("run_week") >= F.col("effective_week"))
-        gone = changes.where(F.col("change") == "disappears").select(
-            F.col("dashboard").alias("g_dashboard"),
-            F.col("run_week").alias("g_run_week"),
-            F.col("dimension").alias("g_dim"),
-            F.col("value").alias("g_value"),
-        )
-        # Once a scheduled disappearance takes effect, the value is no longer required.
-        required = required.join(
-            gone,
-            (required["dashboard"] == gone["g_dashboard"])
-            & (required["run_week"] == gone["g_run_week"])
-            & (required["dimension"] == gone["g_dim"])
-            & required["value"].eqNullSafe(gone["g_value"]),
-            "left_anti",
+    items = present.unionByName(history)
+    if spec_rows:
+        configured = (
+            expand(base.runs, spec_rows, _ITEM_SCHEMA)
+            .where("effective_week IS NULL OR run_week >= effective_week")
+            .select(*_VALUE_KEYS, "kind", "pos")
         )
-        # Once a scheduled appearance takes effect, the value is known, not new.
-        appears = changes.where(F.col("change") == "appears").join(dims, ["dimension"]).select(*cols)
-        known = known.unionByName(appears)
-
-    p = present.alias("p")
-    rq = required.alias("rq")
-    missing = rq.join(
-        p,
-        (F.col("rq.dashboard") == F.col("p.dashboard"))
-        & (F.col("rq.run_week") == F.col("p.run_week"))
-        & (F.col("rq.check_seq") == F.col("p.check_seq"))
-        & F.col("rq.value").eqNullSafe(F.col("p.key")),
-        "left_anti",
-    ).select("dashboard", "run_week", "check_seq", "dimension", "value", "pos")
-    k = known.alias("k")
-    new = p.join(
-        k,
-        (F.col("p.dashboard") == F.col("k.dashboard"))
-        & (F.col("p.run_week") == F.col("k.run_week"))
-        & (F.col("p.check_seq") == F.col("k.check_seq"))
-        & F.col("p.key").eqNullSafe(F.col("k.value")),
-        "left_anti",
-    ).select("dashboard", "run_week", "check_seq", "dimension", F.col("key").alias("value"))
-    return run_dims, present, required, missing, new
+        items = items.unionByName(configured)
+    values = items.groupBy(*_VALUE_KEYS).agg(
+        F.expr("max(kind = 'present') AS is_present"),
+        # required values stay known even after a scheduled disappearance
+        F.expr("max(kind IN ('history', 'required', 'optional', 'appears')) AS is_known"),
+        F.expr("max(kind = 'disappears') AS is_gone"),
+        F.expr("collect_list(CASE WHEN kind = 'required' THEN pos END) AS req_pos"),
+    )
+    values = values.selectExpr(
+        *_VALUE_KEYS,
+        "is_present",
+        "is_known",
+        # positions at which the value is (still) required; duplicates in the list count twice
+        "CASE WHEN is_gone THEN CAST(array() AS ARRAY<INT>) ELSE req_pos END AS req_pos",
+    )
+    return run_dims, values
 
 
 def completeness_values(spark: SparkSession, base: Base) -> tuple[DataFrame, DataFrame] | None:
     """(missing_values, new_values): one row per value, nothing concatenated."""
     if not base.spec.completeness:
         return None
-    _, _, _, missing, new = _completeness_frames(spark, base)
+    _, values = _completeness_frames(spark, base)
+    missing = values.where("NOT is_present AND size(req_pos) > 0").selectExpr(*_VALUE_KEYS, "explode(req_pos) AS pos")
+    new = values.where("is_present AND NOT is_known").select(*_VALUE_KEYS)
     return missing, new
 
 
@@ -454,30 +441,19 @@ def completeness(spark: SparkSession, base: Base) -> DataFrame | None:
     spec = base.spec
     if not spec.completeness:
         return None
-    run_dims, present, required, missing, new = _completeness_frames(spark, base)
+    run_dims, values = _completeness_frames(spark, base)
     keys = ["dashboard", "run_week", "check_seq"]
-
-    def tagged(df: DataFrame, kind: str, with_value: bool = False) -> DataFrame:
-        item = (
-            F.struct(F.col("pos"), F.coalesce(F.col("value"), F.lit("None")).alias("v"))
-            if with_value
-            else F.lit(None).cast("struct<pos:int,v:string>")
-        )
-        return df.select(*keys, F.lit(kind).alias("kind"), item.alias("item"))
-
-    items = (
-        tagged(required, "required")
-        .unionByName(tagged(missing, "missing", with_value=True))
-        .unionByName(tagged(new, "new"))
-        .unionByName(tagged(present, "present"))
-    )
-    counts = items.groupBy(*keys).agg(
-        F.count_if(F.col("kind") == "required").alias("n_required"),
-        F.count_if(F.col("kind") == "missing").alias("n_missing"),
-        F.count_if(F.col("kind") == "new").alias("n_new"),
-        F.count_if(F.col("kind") == "present").alias("n_present"),
-        # Only missing items carry a value: the list is bounded by the configured required values.
-        F.array_join(F.transform(F.array_sort(F.collect_list("item")), lambda x: x["v"]), ", ").alias("missing_values"),
+    counts = values.groupBy(*keys).agg(
+        F.expr("sum(size(req_pos)) AS n_required"),
+        F.expr("sum(CASE WHEN is_present THEN 0 ELSE size(req_pos) END) AS n_missing"),
+        F.expr("count_if(is_present AND NOT is_known) AS n_new"),
+        F.expr("count_if(is_present) AS n_present"),
+        # Only missing required entries are listed: bounded by the registry.
+        F.expr(
+            "array_join(transform(array_sort(flatten(collect_list(CASE WHEN NOT is_present AND size(req_pos) > 0 "
+            "THEN transform(req_pos, p -> named_struct('pos', p, 'v', coalesce(value, 'None'))) END))), x -> x.v), ', ') "
+            "AS missing_values"
+        ),
     )
     j = run_dims.join(counts, keys, "left")
     j = j.selectExpr(
