@@ -181,36 +181,38 @@ def _parts_spec(spark: SparkSession, spec) -> DataFrame:
     return F.broadcast(spark.createDataFrame(_parts_rows(spec), _PARTS_SCHEMA))
 
 
-def parts_compare(spark: SparkSession, base: Base) -> DataFrame | None:
-    """Source-driven, null-safe left join of subtotals: one row per source group."""
+def _subtotals(spark: SparkSession, base: Base) -> DataFrame:
+    """One row per (run, parts check, group key) with both sides' subtotals and the grading.
+
+    Both sides' group rows are grouped by (run, metric, pivot, key) instead of
+    joined: NULL keys form their own group (null-safe matching for free) and
+    every group holds at most one source and one dashboard row.
+    """
     spec = base.spec
-    if not spec.parts:
-        return None
-    s = (
-        _level(base, SRC, False)
-        .select("dashboard", F.col("wk").alias("run_week"), F.col("dim").alias("pivot"), "key", "metric", F.col("total").alias("src_total"))
+    sub = (
+        base.totals.where(f"dim != '{WEEK_LEVEL}'")
+        .selectExpr("dashboard", "wk AS run_week", "metric", "dim AS pivot", "key", "side", "total")
         .join(base.runs, ["dashboard", "run_week"], "left_semi")
+        .groupBy("dashboard", "run_week", "metric", "pivot", "key")
+        .agg(
+            F.expr(f"max(CASE WHEN side = '{SRC}' THEN total END) AS src_total"),
+            F.expr(f"max(CASE WHEN side = '{DASH}' THEN total END) AS dash_total"),
+            F.expr(f"max(side = '{SRC}') AS in_src"),
+            F.expr(f"max(side = '{DASH}') AS in_dash"),
+        )
         .join(_parts_spec(spark, spec), ["metric", "pivot"])
+        .selectExpr("*", "coalesce(dash_total, 0.0D) AS dv", "in_src AND src_total != 0 AS is_compared")
     )
-    d = _level(base, DASH, False).select(
-        F.col("dashboard").alias("d_dashboard"),
-        F.col("wk").alias("d_run_week"),
-        F.col("dim").alias("d_pivot"),
-        F.col("key").alias("d_key"),
-        F.col("metric").alias("d_metric"),
-        F.col("total").alias("dash_total"),
-    )
-    cond = (
-        (s["dashboard"] == d["d_dashboard"])
-        & (s["run_week"] == d["d_run_week"])
-        & (s["pivot"] == d["d_pivot"])
-        & (s["metric"] == d["d_metric"])
-        & s["key"].eqNullSafe(d["d_key"])
-    )
-    j = s.join(d, cond, "left").selectExpr("*", "coalesce(dash_total, 0.0D) AS dv", "src_total != 0 AS is_compared")
-    j = j.selectExpr("*", f"CASE WHEN is_compared THEN {pct_gap_sql('src_total', 'dv')} END AS gp")
+    sub = sub.selectExpr("*", f"CASE WHEN is_compared THEN {pct_gap_sql('src_total', 'dv')} END AS gp")
     # NaN never counts as failing (Python's ``nan > tol`` is False).
-    return j.selectExpr(
+    return sub.selectExpr("*", "coalesce(is_compared AND gp > tol AND NOT isnan(gp), false) AS is_failing")
+
+
+def parts_compare(spark: SparkSession, base: Base) -> DataFrame | None:
+    """Source-driven comparison: one row per source group (dashboard-only groups are never compared)."""
+    if not base.spec.parts:
+        return None
+    return _subtotals(spark, base).where("in_src").selectExpr(
         "dashboard",
         "run_week",
         "check_seq",
@@ -223,7 +225,7 @@ def parts_compare(spark: SparkSession, base: Base) -> DataFrame | None:
         "dv AS dashboard_total",
         "gp AS gap_pct",
         "is_compared",
-        "coalesce(is_compared AND gp > tol AND NOT isnan(gp), false) AS is_failing",
+        "is_failing",
     )
 
 
@@ -247,26 +249,14 @@ def parts_sum_detail(spark: SparkSession, base: Base) -> DataFrame | None:
 
 def parts_sum(spark: SparkSession, base: Base) -> DataFrame | None:
     spec = base.spec
-    cmp = parts_compare(spark, base)
-    if cmp is None:
+    if not spec.parts:
         return None
-    keys = ["dashboard", "run_week", "metric", "pivot"]
-    dash_groups = (
-        _level(base, DASH, False)
-        .selectExpr("dashboard", "wk AS run_week", "metric", "dim AS pivot")
-        .join(base.runs, ["dashboard", "run_week"], "left_semi")
-        .selectExpr(*keys, "false AS is_src", "false AS is_compared", "false AS is_failing")
-    )
-    src_groups = cmp.selectExpr(*keys, "true AS is_src", "is_compared", "is_failing")
-    counts = (
-        src_groups.unionByName(dash_groups)
-        .groupBy(*keys)
-        .agg(
-            F.count_if("is_src").alias("n_src"),
-            F.count_if(~F.col("is_src")).alias("n_dash"),
-            F.count_if("is_failing").alias("n_fail_groups"),
-            F.count_if("is_compared").alias("n_compared"),
-        )
+    keys = ["dashboard", "run_week", "check_seq"]
+    counts = _subtotals(spark, base).groupBy(*keys).agg(
+        F.count_if("in_src").alias("n_src"),
+        F.count_if("in_dash").alias("n_dash"),
+        F.count_if("is_failing").alias("n_fail_groups"),
+        F.count_if("is_compared").alias("n_compared"),
     )
     j = (
         expand(base.runs, _parts_rows(spec), _PARTS_SCHEMA)
