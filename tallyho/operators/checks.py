@@ -5,10 +5,12 @@ own columns; ``to_results`` projects any of them onto the common result
 schema.  The output grain (runs × configured checks) is produced by
 ``expand``: each run row is repeated once per configured check with an
 ``inline`` of a literal array, a Generate inside whole-stage codegen rather
-than a join.  Fact-derived frames are then attached with equi-joins on
-(dashboard, period, metric, ...); group keys are matched null-safely because
-a NULL category is a real value.  Each check kind needs at most one
-aggregation (one shuffle of already-aggregated rows).
+than a join.  Period-level values are attached with equi-joins on
+(dashboard, period, metric, ...).  Per-category matching (parts_sum,
+completeness) groups tagged rows of both sides by value instead of joining
+them, so a NULL category matches NULL and no group holds more than a few
+rows.  Projections are SQL expressions (one ``selectExpr`` each), which keeps
+the number of driver→JVM calls per plan small.
 """
 
 from __future__ import annotations
