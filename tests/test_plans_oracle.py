@@ -67,3 +67,16 @@ def test_base_aggregates_map_side_before_the_shuffle(spark):
     assert body.count("HashAggregate") >= 2 * body.count("Exchange")
     assert "partial_sum" in plan and "partial_count" in plan
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data absent")
+def test_check_plans_have_no_cross_joins(spark):
+    from tallyho.plans import history as H
+    from tallyho.plans.suite import Suite
+
+    for runs in (None, ["2024-02", "2024-03"], spark.createDataFrame([("2024-03",)], "run_week string")):
+        s = Suite(spark, X.events_registry(spark, SF), runs=runs)
+        res = s.check_results()
+        for df in (res, s.run_summary(), s.parts_sum_detail(), H.log_rows(res, "t")):
+            plan = _plan(df)
+            assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
