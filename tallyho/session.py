@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,4 +51,5 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared scratch folder."""
-    return f"{scratch_root(spark)}/tallyho/{name}-{uuid.uuid4().hex}"
+    safe = re.sub(r"[^A-Za-z0-9_.-]+", "_", name)[:80]
+    return f"{scratch_root(spark)}/tallyho/{safe}-{uuid.uuid4().hex}"
