@@ -246,3 +246,24 @@ def test_day_grain_suite_on_date_column(spark):
     assert res[("2024-03-03", "completeness")]["status"] == "DRIFT"  # b missing
     p = res[("2024-03-02", "parts_sum")]  # b exists only in the dashboard: counted, never compared
     assert (p["status"], p["expected"], p["actual"]) == ("PASS", "1", "2")
+
+
+def test_odd_column_names_and_quoted_values(spark):
+    rows = [("2024-01", "it's", Decimal("1.00")), ("2024-01", "a\\b", Decimal("2.00")), ("2024-02", "it's", Decimal("1.00"))]
+    df = spark.createDataFrame(rows, "`fiscal week` string, `gtm segment` string, spend decimal(18,2)")
+    reg = {
+        "dashboard": "odd 'name'",
+        "dashboard_table": df,
+        "source_table": df,
+        "date_column": "fiscal week",
+        "metrics": [{"name": "spend", "checks": ["reconciliation"]}],
+        "dimensions": [{"name": "gtm segment", "completeness_check": True, "required_values": ["it's", "a\\b"]}],
+        "checks": {"parts_sum": {"pivot_columns": ["gtm segment"]}},
+    }
+    res = {(r["run_week"], r["check_name"]): r for r in Suite(spark, reg).check_results().collect()}
+    assert res[("2024-01", "parts_sum")]["status"] == "PASS" and res[("2024-01", "parts_sum")]["expected"] == "2"
+    assert res[("2024-01", "completeness")]["status"] == "PASS"
+    c = res[("2024-02", "completeness")]
+    assert c["status"] == "DRIFT" and "a\\b" in c["detail"]
+    assert res[("2024-02", "freshness")]["status"] == "PASS"
+    assert {r["dashboard"] for r in res.values()} == {"odd 'name'"}
