@@ -34,7 +34,9 @@ from tallyho.functions.scoring import (
     severity_sql,
     tier_ladder_sql,
 )
+from tallyho.functions import messages as M
 from tallyho.operators.base import DASH, SRC, WEEK_LEVEL, Base
+from tallyho.operators.base import str_literal as L
 
 RESULT_COLUMNS = [
     "dashboard",
@@ -127,7 +129,7 @@ def freshness(spark: SparkSession, base: Base) -> DataFrame | None:
         "CAST(NULL AS DOUBLE) AS gap",
         "CAST(NULL AS DOUBLE) AS tolerance",
         "CAST(NULL AS STRING) AS gap_unit",
-        "concat('Latest week in dashboard: ', coalesce(latest, 'None')) AS detail",
+        f"format_string({L(M.FRESHNESS)}, coalesce(latest, 'None')) AS detail",
         "latest AS latest_week",
     )
 
@@ -162,8 +164,7 @@ def reconciliation(spark: SparkSession, base: Base) -> DataFrame | None:
         f"CASE WHEN NOT zero THEN {round2_sql('dv - sv')} END AS gap",
         "CASE WHEN NOT zero THEN tol END AS tolerance",
         "CASE WHEN NOT zero THEN 'abs' END AS gap_unit",
-        "CASE WHEN zero THEN 'Both source and dashboard are zero — no data for this week' "
-        "ELSE format_string('Gap: %.2f%%  (tolerance: ±%s%%)', gp, tol_text) END AS detail",
+        f"CASE WHEN zero THEN {L(M.RECON_BOTH_ZERO)} ELSE format_string({L(M.RECON_GAP)}, gp, tol_text) END AS detail",
         f"CASE WHEN NOT zero THEN {round2_sql('gp')} END AS gap_pct",
     )
 
@@ -285,8 +286,8 @@ def parts_sum(spark: SparkSession, base: Base) -> DataFrame | None:
         "CAST(NULL AS DOUBLE) AS gap",
         "CAST(NULL AS DOUBLE) AS tolerance",
         "CAST(NULL AS STRING) AS gap_unit",
-        "CASE WHEN n_fail = 0 THEN concat('All ', pivot, ' subtotals match') "
-        "ELSE format_string('%d of %d %s subtotals outside ±%s%% (see parts_sum_detail)', n_fail, c_cmp, pivot, tol_text) END AS detail",
+        f"CASE WHEN n_fail = 0 THEN format_string({L(M.PARTS_ALL_MATCH)}, pivot) "
+        f"ELSE format_string({L(M.PARTS_FAILING)}, n_fail, c_cmp, pivot, tol_text) END AS detail",
         "n_fail AS n_failing",
         "metric AS base_metric",
         "pivot",
@@ -325,7 +326,7 @@ def trend_sanity(spark: SparkSession, base: Base) -> DataFrame | None:
         "CAST(round(baseline_dec, 2) AS DOUBLE) AS base_r",
     ).selectExpr("*", "nw > 0 AND base != 0 AS graded")
     j = j.selectExpr("*", "CASE WHEN graded THEN (cur - base) / abs(base) * 100.0D END AS wow")
-    label = "CASE WHEN nw = 1 THEN 'prior week' ELSE concat(CAST(nw AS STRING), '-week avg') END"
+    label = f"CASE WHEN nw = 1 THEN {L(M.TREND_ONE_WEEK)} ELSE format_string({L(M.TREND_N_WEEKS)}, nw) END"
     return j.selectExpr(
         "dashboard",
         "run_week",
@@ -340,9 +341,9 @@ def trend_sanity(spark: SparkSession, base: Base) -> DataFrame | None:
         f"{round2_sql('wow')} AS gap",
         "CASE WHEN graded THEN lim END AS tolerance",
         "CASE WHEN graded THEN 'pct' END AS gap_unit",
-        "CASE WHEN nw = 0 THEN concat('No data in lookback window (', array_join(lookback, ', '), ') — trend check skipped') "
-        "WHEN base = 0 THEN format_string('Lookback baseline is zero across %d week(s) — trend check skipped', nw) "
-        f"ELSE format_string('Change vs %s: %+.1f%%  (limit: ±%s%%)', {label}, wow, lim_text) END AS detail",
+        f"CASE WHEN nw = 0 THEN format_string({L(M.TREND_NO_HISTORY)}, array_join(lookback, ', ')) "
+        f"WHEN base = 0 THEN format_string({L(M.TREND_ZERO_BASELINE)}, nw) "
+        f"ELSE format_string({L(M.TREND_CHANGE)}, {label}, wow, lim_text) END AS detail",
         "base_r AS baseline",
         f"{round2_sql('cur')} AS current",
         f"{round2_sql('wow')} AS change_pct",
@@ -456,13 +457,10 @@ def completeness(spark: SparkSession, base: Base) -> DataFrame | None:
         "CAST(coalesce(n_present, 0) AS BIGINT) AS c_present",
     )
     missing_part = (
-        "CASE WHEN c_miss > 0 THEN concat('Missing ', dimension, ' values: [\\'', missing_values, '\\']') "
-        "ELSE concat('All ', CAST(c_req AS STRING), ' expected ', dimension, ' values present') END"
-    )
-    new_part = (
-        "CASE WHEN c_new > 0 THEN format_string('  |  New %s values not seen in prior %d week(s): %d (see new_values)', "
-        f"dimension, {int(spec.lookback)}, c_new) ELSE '' END"
+        f"CASE WHEN c_miss > 0 THEN format_string({L(M.COMPLETENESS_MISSING)}, dimension, missing_values) "
+        f"ELSE format_string({L(M.COMPLETENESS_ALL_PRESENT)}, c_req, dimension) END"
     )
+    new_part = f"CASE WHEN c_new > 0 THEN format_string({L(M.COMPLETENESS_NEW)}, dimension, {int(spec.lookback)}, c_new) ELSE '' END"
     return j.selectExpr(
         "dashboard",
         "run_week",
@@ -520,9 +518,9 @@ def sanity_range(spark: SparkSession, base: Base) -> DataFrame | None:
         "CAST(NULL AS DOUBLE) AS gap",
         "CAST(NULL AS DOUBLE) AS tolerance",
         "CAST(NULL AS STRING) AS gap_unit",
-        "CASE WHEN total = 0 THEN concat('No rows for ', run_week, ' — sanity check skipped') "
-        "WHEN viol = 0 THEN format_string('All %d rows satisfy rule \\'%s\\'', total, rule) "
-        "ELSE format_string('%d of %d rows violate rule \\'%s\\' (%s)', viol, total, rule, expression) END AS detail",
+        f"CASE WHEN total = 0 THEN format_string({L(M.SANITY_NO_ROWS)}, run_week) "
+        f"WHEN viol = 0 THEN format_string({L(M.SANITY_ALL_OK)}, total, rule) "
+        f"ELSE format_string({L(M.SANITY_VIOLATIONS)}, viol, total, rule, expression) END AS detail",
         "total AS n_rows",
         "viol AS violations",
     )
