@@ -305,19 +305,22 @@ def trend_sanity(spark: SparkSession, base: Base) -> DataFrame | None:
     rows = [(c.seq, c.metric, c.limit, py_text(c.limit)) for c in spec.trend]
     schema = T.StructType([_i("check_seq"), _s("metric"), _d("lim"), _s("lim_text")])
     rs = expand(base.runs, rows, schema).withColumn("lookback", grain.lookback(F.col("run_week"), spec.lookback))
-    history_totals = _level(base, DASH, True).select(
-        "dashboard", F.col("wk").alias("hist_week"), "metric", F.col("total").alias("hist_total")
+    # One exploded join reads the run's own week (pos 0) and its lookback weeks (pos 1..n).
+    weeks = rs.selectExpr(
+        "dashboard", "run_week", "check_seq", "metric", "posexplode(concat(array(run_week), lookback)) AS (pos, hist_week)"
     )
-    hist = (
-        rs.select("dashboard", "run_week", "metric", F.explode("lookback").alias("hist_week"))
-        .join(history_totals, ["dashboard", "hist_week", "metric"])
-        .groupBy("dashboard", "run_week", "metric")
-        # Averaged as DECIMAL: an average landing on a half cent rounds the same in every engine.
-        .agg(F.count(F.lit(1)).alias("n_weeks"), F.avg(F.col("hist_total").cast("decimal(38,10)")).alias("baseline_dec"))
-    )
-    j = rs.join(_week_totals(base, DASH, "cur_total"), ["dashboard", "run_week", "metric"], "left").join(
-        hist, ["dashboard", "run_week", "metric"], "left"
+    totals = _level(base, DASH, True).selectExpr("dashboard", "wk AS hist_week", "metric", "total")
+    agg = (
+        weeks.join(totals, ["dashboard", "hist_week", "metric"])
+        .groupBy("dashboard", "run_week", "check_seq")
+        .agg(
+            F.expr("max(CASE WHEN pos = 0 THEN total END) AS cur_total"),
+            F.expr("count_if(pos > 0) AS n_weeks"),
+            # Averaged as DECIMAL: an average landing on a half cent rounds the same in every engine.
+            F.expr("avg(CASE WHEN pos > 0 THEN CAST(total AS DECIMAL(38,10)) END) AS baseline_dec"),
+        )
     )
+    j = rs.join(agg, ["dashboard", "run_week", "check_seq"], "left")
     j = j.selectExpr(
         "*",
         "coalesce(cur_total, 0.0D) AS cur",
