@@ -166,9 +166,10 @@ def _runs_frame(spark: SparkSession, runs) -> DataFrame:
     return spark.createDataFrame([(w,) for w in uniq], RUNS_SCHEMA)
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS_LIMIT) -> DataFrame:
+def bounded_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Broadcast hint only after counting the frame; larger frames shuffle."""
-    return F.broadcast(df) if df.count() <= limit else df
+    bound = BROADCAST_ROWS_LIMIT if limit is None else limit
+    return F.broadcast(df) if df.count() <= bound else df
 
 
 def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame:

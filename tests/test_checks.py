@@ -267,3 +267,20 @@ def test_odd_column_names_and_quoted_values(spark):
     assert c["status"] == "DRIFT" and "a\\b" in c["detail"]
     assert res[("2024-02", "freshness")]["status"] == "PASS"
     assert {r["dashboard"] for r in res.values()} == {"odd 'name'"}
+
+
+def test_run_frame_above_broadcast_bound_gives_same_results(spark, monkeypatch):
+    import tallyho.operators.base as B
+
+    src = frame(spark, [("2024-01", "a", "Actual", 100, 1), ("2024-02", "a", "Actual", 100, 1), ("2024-03", "b", None, 7, 1)])
+    dash = frame(spark, [("2024-01", "a", "Actual", 101, 1), ("2024-02", "b", "Actual", 90, 1), ("2024-03", "b", None, 7, 1)])
+    reg = registry(dash, src, dimensions=[{"name": "platform", "completeness_check": True, "required_values": ["a"]}])
+    weeks = ["2024-02", "2024-03"]
+
+    def rows(s):
+        return sorted(tuple(r) for r in s.check_results().drop("detail").collect())
+
+    by_list = rows(Suite(spark, reg, runs=weeks))
+    monkeypatch.setattr(B, "BROADCAST_ROWS_LIMIT", 0)  # the run frame is now "too large" to broadcast
+    frame_runs = spark.createDataFrame([(w,) for w in weeks], "run_week string")
+    assert rows(Suite(spark, reg, runs=frame_runs)) == by_list
