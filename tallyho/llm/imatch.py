@@ -43,7 +43,7 @@ _QUANTILES = 64
 
 def terms(text: Column) -> Column:
     """The distinct slots of a text's terms."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
     return F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(1 << BITS)).cast("int")))
 
 
@@ -60,32 +60,47 @@ def kept_terms(text: Column, slots: Column) -> Column:
     return F.array_intersect(slots, terms(text))
 
 
-def fingerprint(text: Column, kept: Column, subsets: int = SUBSETS) -> Column:
-    """The fingerprint of a text from its kept terms (a column, so that they are computed once)."""
-    level = F.floor(F.log2(F.size(kept))).cast("int")
-    thinner = lambda a, by: F.filter(a, lambda h: h.bitwiseAND((F.pow(F.lit(2.0), level + by) - 1).cast("long")) == 0)
+def level_of(kept: Column) -> Column:
+    """The level at which one or two of the kept terms remain on average."""
+    return F.floor(F.log2(F.size(kept))).cast("int")
 
-    def entries(r: int) -> Column:
-        widest = thinner(F.transform(kept, lambda t: F.xxhash64(t, F.lit(r))), 0)
-        entry = lambda by: F.struct(F.concat(F.lit(f"{r}."), (level + by).cast("string")).alias("at"), thinner(widest, by).alias("set"))
-        return F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), entry)
 
-    parts = [entries(r) for r in range(subsets)]
-    full = F.filter(F.flatten(F.array(*parts)), lambda p: F.size(p["set"]) > 0)
-    body = F.concat_ws(",", F.transform(full, lambda p: F.concat(p["at"], F.lit(":"), F.lower(F.hex(F.xxhash64(F.array_join(F.transform(p["set"], lambda h: h.cast("string")), " ")))))))
-    return F.when(F.size(kept) > 0, F.concat(F.lit("L"), level.cast("string"), F.lit(";"), body)).otherwise(F.concat(F.lit("T;"), F.sha2(text, 256)))
+def with_fingerprint(df: DataFrame, text: str, slots: Column, name: str, subsets: int = SUBSETS) -> DataFrame:
+    """``df`` with the fingerprint of a text column; NULL where that is NULL."""
+    columns = df.columns
+    df = df.withColumn("__kept", F.when(F.col(text).isNotNull(), kept_terms(F.col(text), slots))).withColumn("__level", level_of(F.col("__kept")))
+    # The masks are columns of their own: lambdas read them for every term.
+    mask = [F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__level") + by) - 1 for by in range(LEVELS)]
+    df = df.withColumns({f"__mask_{by}": m for by, m in enumerate(mask)})
 
+    def thinner(terms: Column | str, r: Column, by: int) -> Column:
+        return F.filter(terms, lambda t: F.xxhash64(t, r).bitwiseAND(F.col(f"__mask_{by}")) == 0)
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1; fingerprints that are equal are alike."""
+    def entry(terms: Column, r: Column, by: int) -> Column:
+        return F.when(F.size(terms) > 0, F.concat(r.cast("string"), F.lit("."), (F.col("__level") + by).cast("string"), F.lit(":"), F.lower(F.hex(F.xxhash64(terms)))))
+
+    widest = F.transform(F.sequence(F.lit(0), F.lit(subsets - 1)), lambda r: thinner("__kept", r, 0))
+    df = df.withColumn("__widest", widest)
+    entries = F.flatten(F.transform("__widest", lambda terms, r: F.array(*(entry(thinner(terms, r, by), r, by) for by in range(LEVELS)))))
+    body = F.concat(F.lit("L"), F.col("__level").cast("string"), F.lit(";"), F.concat_ws(",", entries))
+    whole = F.when(F.size("__kept") > 0, body).otherwise(F.concat(F.lit("T;"), F.sha2(text, 256)))
+    return df.select(*columns, F.when(F.col(text).isNotNull(), whole).alias(name))
+
+
+def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """``df`` with the likeness, 0 to 1, of two fingerprint columns; fingerprints that are equal are alike."""
+    columns = df.columns
     level = lambda f: F.regexp_extract(f, r"^L(-?\d+);", 1).try_cast("int")
+    df = df.withColumns({"__a": level(F.col(a)), "__b": level(F.col(b))})
+    # Columns of their own: lambdas read them for every entry.
+    df = df.withColumns({"__low": F.greatest("__a", "__b"), "__high": F.least("__a", "__b") + (LEVELS - 1)})
     body = lambda f: F.split(F.substring_index(f, ";", -1), ",")
-    low, high = F.greatest(level(a), level(b)), F.least(level(a), level(b)) + (LEVELS - 1)
     at = lambda t: F.substring_index(t, ":", 1)
-    shared = lambda f: F.filter(F.transform(body(f), at), lambda k: F.substring_index(k, ".", -1).try_cast("int").between(low, high))
-    either = F.size(F.array_union(shared(a), shared(b)))
-    equal = F.size(F.array_intersect(body(a), body(b)))
-    return F.when(a == b, F.lit(1.0)).when(low.isNull() | high.isNull() | (either == 0), F.lit(0.0)).otherwise(equal / either)
+    shared = lambda f: F.filter(F.transform(body(f), at), lambda k: F.substring_index(k, ".", -1).try_cast("int").between(F.col("__low"), F.col("__high")))
+    df = df.withColumn("__either", F.size(F.array_union(shared(F.col(a)), shared(F.col(b)))))
+    equal = F.size(F.array_intersect(body(F.col(a)), body(F.col(b))))
+    alike = F.when(F.col(a) == F.col(b), F.lit(1.0)).when(F.col("__a").isNull() | F.col("__b").isNull() | (F.col("__either") == 0), F.lit(0.0)).otherwise(equal / F.col("__either"))
+    return df.select(*columns, alike.alias(name))
 
 
 def _bucketed(docs: DataFrame) -> DataFrame:
@@ -104,7 +119,7 @@ def fingerprints(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST
     """doc_id, text, fingerprint of every row."""
     own = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     slots = lexicon(own, least, most).scalar()
-    return own.withColumn("kept", kept_terms(F.col("text"), slots)).select("doc_id", "text", fingerprint(F.col("text"), F.col("kept")).alias("fingerprint"))
+    return with_fingerprint(own, "text", slots, "fingerprint").select("doc_id", "text", "fingerprint")
 
 
 def edits(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
@@ -128,17 +143,14 @@ def edits(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE)
     following = F.coalesce("next_text", "first_text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - quarter), F.substring(following, F.lit(1), quarter))
-    rows = joined.select("bucket", "doc_id", "text", n.cast("long").alias("n_chars"), edited.alias("edited"), "first_text")
-    rows = rows.withColumn("kept", kept_terms(F.col("text"), slots)).withColumn("edited_kept", kept_terms(F.col("edited"), slots)).withColumn("first_kept", F.when(F.col("first_text").isNotNull(), kept_terms(F.col("first_text"), slots)))
-    rows = rows.select(
-        "bucket",
-        "doc_id",
-        "text",
-        "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("text"), F.col("kept")).alias("fingerprint"),
-        fingerprint(F.col("edited"), F.col("edited_kept")).alias("edited_fingerprint"),
-        F.when(F.col("first_text").isNotNull(), fingerprint(F.col("first_text"), F.col("first_kept"))).alias("first_fingerprint"),
-    )
+    texts = F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("body")), F.struct(F.lit(1).alias("which"), edited.alias("body")), F.struct(F.lit(2).alias("which"), F.col("first_text").alias("body")))
+    rows = joined.select("bucket", "place", "doc_id", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), F.explode(texts).alias("t"))
+    rows = with_fingerprint(rows.select("*", "t.which", "t.body").drop("t").where("body IS NOT NULL"), "body", slots, "print").drop("body")
+    # The rows of a document are still together: this needs no shuffle.
+    pick = lambda which, name: F.max(F.when(F.col("which") == which, F.col("print"))).alias(name)
+    rows = rows.groupBy("bucket", "place", "doc_id", "n_chars", "edited_sha256").agg(pick(0, "fingerprint"), pick(1, "edited_fingerprint"), pick(2, "first_fingerprint"))
+    order = Window.partitionBy("bucket").orderBy("place")
     rows = rows.withColumn("next_fingerprint", F.coalesce(F.col("first_fingerprint"), F.lead("fingerprint").over(order)))
-    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+    rows = with_likeness(rows, "fingerprint", "edited_fingerprint", "near_edited")
+    rows = with_likeness(rows, "fingerprint", "next_fingerprint", "near_next")
+    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
