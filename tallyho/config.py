@@ -21,20 +21,15 @@ Gating rules (each check kind defaults to enabled):
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import partial
+from itertools import product
 from typing import Any
 
 DEFAULT_DATE_COLUMN = "fiscal_yr_and_wk_desc"
 DEFAULT_PIVOT = "platform"
 DEFAULT_MAX_CHANGE = 50.0
 DEFAULT_TOLERANCE = 1.0
-
-
-def _tolerance(value: Any) -> float:
-    return float(str(value).rstrip("%"))
-
-
-def _enabled(checks_cfg: dict, name: str) -> bool:
-    return bool((checks_cfg.get(name) or {}).get("enabled", True))
+READS_SOURCE = {"reconciliation", "parts_sum"}
 
 
 def py_text(value: Any) -> str:
@@ -109,6 +104,16 @@ class CheckSpec:
             seen.setdefault(c.metric)
         return list(seen)
 
+    @property
+    def source_metrics(self) -> list[str]:
+        """Those that a check compares with the source."""
+        compared = {c.metric for c in (*self.reconciliation, *self.parts)}
+        return [m for m in self.metrics if m in compared]
+
+    @property
+    def source_dimensions(self) -> list[str]:
+        return list(dict.fromkeys(c.pivot for c in self.parts))
+
     @property
     def dimensions(self) -> list[str]:
         """Columns grouped next to the period: pivots first, then completeness dims."""
@@ -119,101 +124,109 @@ class CheckSpec:
             seen.setdefault(c.dimension)
         return list(seen)
 
-    @property
-    def n_checks(self) -> int:
-        return (
-            (1 if self.freshness_seq is not None else 0)
-            + len(self.reconciliation)
-            + len(self.trend)
-            + len(self.parts)
-            + len(self.completeness)
-            + len(self.sanity)
-        )
-
 
 def _str_or_none(v: Any) -> str | None:
     return None if v is None else str(v)
 
 
+class _Registry:
+    """A registry dict with its defaults filled in, one accessor for each part the checks read."""
+
+    def __init__(self, reg: dict):
+        self.reg = reg
+        self.checks = reg.get("checks") or {}
+        self.metrics = reg.get("metrics") or []
+
+    def options(self, kind: str) -> dict:
+        return self.checks.get(kind) or {}
+
+    def on(self, kind: str) -> bool:
+        return bool(self.options(kind).get("enabled", True))
+
+    @staticmethod
+    def tolerance(metric: dict) -> float:
+        """A number, or text with a per cent sign."""
+        text = str(metric.get("tolerance_pct", DEFAULT_TOLERANCE)).strip()
+        return float(text[:-1] if text.endswith("%") else text)
+
+    def pivots(self) -> list[str]:
+        options = self.options("parts_sum")
+        one = [options.get("pivot_column", DEFAULT_PIVOT)]
+        return one if options.get("pivot_columns") is None else options["pivot_columns"]
+
+
+# What each kind of check yields from a registry: (kind, constructor that takes the check's number).
+# The phases run in this order and number the checks as they come.
+
+
+def _dashboard_checks(r: _Registry):
+    yield "freshness", int
+
+
+def _metric_checks(r: _Registry):
+    change = float(r.options("trend_sanity").get("max_wow_change_pct", DEFAULT_MAX_CHANGE))
+    for m in r.metrics:
+        listed = m.get("checks", ["reconciliation"])
+        for kind, limit in (("reconciliation", r.tolerance(m)), ("trend_sanity", change)):
+            if kind in listed:
+                yield kind, partial(MetricCheck, metric=m["name"], limit=limit)
+
+
+def _pivot_checks(r: _Registry):
+    explicit = (m for m in r.metrics if "reconciliation" in m.get("checks", ()))
+    for m, pivot in product(explicit, r.pivots()):
+        yield "parts_sum", partial(PartsCheck, metric=m["name"], pivot=pivot, tolerance=r.tolerance(m))
+
+
+def _dimension_checks(r: _Registry):
+    for d in r.reg.get("dimensions") or []:
+        if d.get("completeness_check", False):
+            lists = (d.get("required_values", d.get("expected_values")), d.get("optional_values"))
+            required, optional = (tuple(map(_str_or_none, v or ())) for v in lists)
+            yield "completeness", partial(CompletenessCheck, dimension=d["name"], required=required, optional=optional)
+
+
+def _rule_checks(r: _Registry):
+    for rule in r.options("sanity_range").get("rules") or []:
+        yield "sanity_range", partial(SanityRule, name=rule["name"], expression=rule["expression"])
+
+
+_PHASES = (_dashboard_checks, _metric_checks, _pivot_checks, _dimension_checks, _rule_checks)
+
+
+def _expected_change(entry: dict) -> ExpectedChange:
+    change = str(entry["change"])
+    if change not in {"appears", "disappears"}:
+        raise ValueError(f"expected_changes.change must be appears|disappears, got {change!r}")
+    return ExpectedChange(str(entry["dimension"]), _str_or_none(entry.get("value")), change, str(entry["effective_week"]))
+
+
 def normalize(registry: dict) -> CheckSpec:
-    """Apply defaults and gating rules; assign each check its execution order."""
-    reg = registry
-    checks_cfg = reg.get("checks") or {}
-    spec = CheckSpec(
-        dashboard=str(reg["dashboard"]),
-        dashboard_table=reg["dashboard_table"],
-        source_table=reg.get("source_table", reg["dashboard_table"]),
-        date_column=reg.get("date_column", DEFAULT_DATE_COLUMN),
-        grain=reg.get("grain", "week"),
-        lookback=max(int(reg.get("lookback_weeks", 1)), 1),
-        row_filter=reg.get("row_filter"),
+    """The checks that a registry asks for, numbered in execution order."""
+    r = _Registry(registry)
+    found: dict[str, list] = {}
+    wanted = ((kind, make) for phase in _PHASES for kind, make in phase(r) if r.on(kind))
+    for seq, (kind, make) in enumerate(wanted):
+        found.setdefault(kind, []).append(make(seq))
+    if found.keys() & READS_SOURCE and registry.get("source_table") is None:
+        # Falling back to the dashboard would compare a table with itself.
+        raise ValueError("source_table is required: a check compares the dashboard with its source")
+    return CheckSpec(
+        dashboard=str(registry["dashboard"]),
+        dashboard_table=registry["dashboard_table"],
+        source_table=registry.get("source_table"),
+        date_column=registry.get("date_column", DEFAULT_DATE_COLUMN),
+        grain=registry.get("grain", "week"),
+        lookback=max(int(registry.get("lookback_weeks", 1)), 1),
+        row_filter=registry.get("row_filter"),
+        freshness_seq=next(iter(found.get("freshness", [])), None),
+        reconciliation=found.get("reconciliation", []),
+        trend=found.get("trend_sanity", []),
+        parts=found.get("parts_sum", []),
+        completeness=found.get("completeness", []),
+        sanity=found.get("sanity_range", []),
+        expected_changes=[_expected_change(e) for e in registry.get("expected_changes") or []],
     )
-    seq = 0
-    if _enabled(checks_cfg, "freshness"):
-        spec.freshness_seq = seq
-        seq += 1
-
-    max_change = float((checks_cfg.get("trend_sanity") or {}).get("max_wow_change_pct", DEFAULT_MAX_CHANGE))
-    metrics = reg.get("metrics") or []
-    for m in metrics:
-        name = m["name"]
-        tol = _tolerance(m.get("tolerance_pct", DEFAULT_TOLERANCE))
-        kinds = m.get("checks", ["reconciliation"])
-        if "reconciliation" in kinds and _enabled(checks_cfg, "reconciliation"):
-            spec.reconciliation.append(MetricCheck(seq, name, tol))
-            seq += 1
-        if "trend_sanity" in kinds and _enabled(checks_cfg, "trend_sanity"):
-            spec.trend.append(MetricCheck(seq, name, max_change))
-            seq += 1
-
-    if _enabled(checks_cfg, "parts_sum"):
-        parts_cfg = checks_cfg.get("parts_sum") or {}
-        pivots = parts_cfg.get("pivot_columns")
-        if pivots is None:
-            pivots = [parts_cfg.get("pivot_column", DEFAULT_PIVOT)]
-        for m in metrics:
-            if "reconciliation" in m.get("checks", []):
-                tol = _tolerance(m.get("tolerance_pct", DEFAULT_TOLERANCE))
-                for p in pivots:
-                    spec.parts.append(PartsCheck(seq, m["name"], p, tol))
-                    seq += 1
-
-    if _enabled(checks_cfg, "completeness"):
-        for d in reg.get("dimensions") or []:
-            if d.get("completeness_check", False):
-                required = d.get("required_values", d.get("expected_values", [])) or []
-                optional = d.get("optional_values", []) or []
-                spec.completeness.append(
-                    CompletenessCheck(
-                        seq,
-                        d["name"],
-                        tuple(_str_or_none(v) for v in required),
-                        tuple(_str_or_none(v) for v in optional),
-                    )
-                )
-                seq += 1
-
-    if _enabled(checks_cfg, "sanity_range"):
-        for rule in (checks_cfg.get("sanity_range") or {}).get("rules", []) or []:
-            spec.sanity.append(SanityRule(seq, rule["name"], rule["expression"]))
-            seq += 1
-
-    for ch in reg.get("expected_changes") or []:
-        change = str(ch["change"])
-        if change not in ("appears", "disappears"):
-            raise ValueError(f"expected_changes.change must be appears|disappears, got {change!r}")
-        spec.expected_changes.append(
-            ExpectedChange(str(ch["dimension"]), _str_or_none(ch.get("value")), change, str(ch["effective_week"]))
-        )
-    return spec
-
-
-def prev_week_py(run_week: str) -> str:
-    """Driver-side previous-week rule (week 01 → week 52 of the prior year)."""
-    year, week = (int(x) for x in run_week.split("-"))
-    if week <= 1:
-        return f"{year - 1}-52"
-    return f"{year}-{week - 1:02d}"
 
 
 def load_registry(path: str) -> dict:

@@ -3,13 +3,8 @@ from tallyho.functions.scoring import (
     DRIFT,
     FAIL,
     PASS,
-    count_ladder,
-    float_text,
-    int_text,
     overall_status,
-    pct_gap,
     severity,
-    signed_change_pct,
     tier_ladder,
 )
 
@@ -19,15 +14,10 @@ __all__ = [
     "PASS",
     "DayGrain",
     "WeekGrain",
-    "count_ladder",
-    "float_text",
     "grain_of",
-    "int_text",
     "lookback_labels_py",
     "overall_status",
-    "pct_gap",
     "severity",
-    "signed_change_pct",
     "tier_ladder",
     "week_label",
 ]

@@ -33,7 +33,9 @@ class WeekGrain:
         """year * 52 + week; week 53 of Y shares the index of week 01 of Y+1."""
         year = F.substring_index(label, "-", 1).try_cast("int")
         week = F.substring_index(label, "-", -1).try_cast("int")
-        return year * F.lit(WEEKS_PER_YEAR) + week
+        bad = label.isNotNull() & ~F.rlike(label, F.lit(r"^\d{4}-\d{1,2}$"))
+        wrong = F.raise_error(F.concat(F.lit("not a YYYY-WW period label: "), label)).cast("int")
+        return F.when(bad, wrong).otherwise(year * F.lit(WEEKS_PER_YEAR) + week)
 
     @staticmethod
     def label_of(idx: Column) -> Column:
@@ -61,6 +63,13 @@ class WeekGrain:
         return F.substring_index(label, "-", -1) != F.lit("53")
 
 
+def _day(label: Column) -> Column:
+    """The date of a ``yyyy-MM-dd`` label; any other text is an error."""
+    day = label.try_cast("date")
+    wrong = F.raise_error(F.concat(F.lit("not a yyyy-MM-dd period label: "), label)).cast("date")
+    return F.when(label.isNotNull() & day.isNull(), wrong).otherwise(day)
+
+
 class DayGrain:
     """ISO date labels ``yyyy-MM-dd``; previous of a day is the day before."""
 
@@ -68,7 +77,7 @@ class DayGrain:
 
     @staticmethod
     def index(label: Column) -> Column:
-        return F.date_diff(F.to_date(label), F.lit("1970-01-01").cast("date"))
+        return F.date_diff(_day(label), F.lit("1970-01-01").cast("date"))
 
     @staticmethod
     def label_of(idx: Column) -> Column:
@@ -76,12 +85,12 @@ class DayGrain:
 
     @classmethod
     def prev(cls, label: Column) -> Column:
-        return F.date_sub(F.to_date(label), 1).cast("string")
+        return F.date_sub(_day(label), 1).cast("string")
 
     @classmethod
     def lookback(cls, label: Column, n: int | Column) -> Column:
         n_col = n if isinstance(n, Column) else F.lit(int(n))
-        day = F.to_date(label)
+        day = _day(label)
         return F.transform(
             F.sequence(F.lit(1), F.greatest(n_col, F.lit(1))),
             lambda i: F.date_sub(day, i).cast("string"),

@@ -17,18 +17,6 @@ RECON_DRIFT_FACTOR = 3.0
 TREND_DRIFT_FACTOR = 1.5
 
 
-def pct_gap(expected: Column, actual: Column) -> Column:
-    """|actual - expected| / |expected| * 100; a zero expectation gives 100 or 0."""
-    return F.when(
-        expected == 0, F.when(actual != 0, F.lit(100.0)).otherwise(F.lit(0.0))
-    ).otherwise(F.abs(actual - expected) / F.abs(expected) * F.lit(100.0))
-
-
-def signed_change_pct(current: Column, baseline: Column) -> Column:
-    """(current - baseline) / |baseline| * 100 (callers guard baseline == 0)."""
-    return F.when(baseline != 0, (current - baseline) / F.abs(baseline) * F.lit(100.0))
-
-
 def tier_ladder(value: Column, limit: Column, drift_factor: float) -> Column:
     """PASS up to ``limit``, DRIFT up to ``limit * drift_factor``, else FAIL (inclusive)."""
     return (
@@ -38,11 +26,6 @@ def tier_ladder(value: Column, limit: Column, drift_factor: float) -> Column:
     )
 
 
-def count_ladder(n: Column) -> Column:
-    """0 → PASS, 1 → DRIFT, 2+ → FAIL."""
-    return F.when(n == 0, F.lit(PASS)).when(n == 1, F.lit(DRIFT)).otherwise(F.lit(FAIL))
-
-
 def severity(status: Column) -> Column:
     return (
         F.when(status == F.lit(FAIL), F.lit(SEVERITY[FAIL]))
@@ -55,21 +38,6 @@ def overall_status(n_fail: Column, n_drift: Column) -> Column:
     return F.when(n_fail > 0, F.lit(FAIL)).when(n_drift > 0, F.lit(DRIFT)).otherwise(F.lit(PASS))
 
 
-def float_text(x: Column) -> Column:
-    """Plain decimal text of a double, always with a fractional part ('35700000.0', '0.12').
-
-    Formatting goes through DECIMAL so large values never turn into
-    scientific notation; values too large for DECIMAL(38,10) fall back to
-    Spark's own double text.
-    """
-    plain = x.try_cast("decimal(38,10)").cast("string")
-    trimmed = F.regexp_replace(plain, r"0+$", "")
-    with_zero = F.regexp_replace(trimmed, r"\.$", ".0")
-    return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(
-        F.coalesce(with_zero, x.cast("string"))
-    )
-
-
 def round2(x: Column) -> Column:
     """Round half-up to two places on the value's decimal text.
 
@@ -80,10 +48,6 @@ def round2(x: Column) -> Column:
     return F.coalesce(F.round(x.try_cast("decimal(38,10)"), 2).cast("double"), F.round(x, 2))
 
 
-def int_text(x: Column) -> Column:
-    return x.cast("bigint").cast("string")
-
-
 # ── the same expressions as SQL text, for whole projections in one selectExpr ──
 # (building a projection column by column costs several driver→JVM calls per
 # operator; a SQL expression is one call however large it is)
@@ -116,8 +80,12 @@ def round2_sql(x: str) -> str:
 
 
 def float_text_sql(x: str) -> str:
-    plain = f"CAST(try_cast({x} AS DECIMAL(38,10)) AS STRING)"
+    """Plain decimal text of a double with a fractional part ('35700000.0', '0.12').
+
+    Values that ten decimal places would lose, or DECIMAL(38,10) cannot hold, keep the double's own text.
+    """
+    dec = f"try_cast({x} AS DECIMAL(38,10))"
     return (
-        f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) ELSE coalesce("
-        f"regexp_replace(regexp_replace({plain}, '0+$', ''), '[.]$', '.0'), CAST({x} AS STRING)) END"
+        f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) WHEN {dec} = 0 AND {x} != 0 THEN CAST({x} AS STRING) ELSE coalesce("
+        f"regexp_replace(regexp_replace(CAST({dec} AS STRING), '0+$', ''), '[.]$', '.0'), CAST({x} AS STRING)) END"
     )

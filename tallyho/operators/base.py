@@ -33,9 +33,6 @@ from tallyho.sources.tables import keep, resolve
 DASH, SRC, LATEST, RUN = "dash", "src", "latest", "run"
 WEEK_LEVEL = ""  # ``dim`` value of the (wk) grouping set
 
-# Above this many rows a runs/period frame is joined without a broadcast hint.
-BROADCAST_ROWS_LIMIT = 100_000
-
 RUNS_SCHEMA = T.StructType([T.StructField("run_week", T.StringType(), False)])
 
 
@@ -59,12 +56,35 @@ def sum_input(df: DataFrame, expr: str) -> Column:
     raise TypeError(f"metric {expr!r} has non-numeric type {dtype.simpleString()}")
 
 
-def _period_literals(df: DataFrame, column: str, labels: list[str]) -> list:
-    """Typed literals for an IN filter, so the predicate reaches the parquet scan."""
-    dtype = df.schema[column].dataType if column in df.columns else T.StringType()
+def _period_type(df: DataFrame, column: str) -> T.DataType:
+    return df.select(F.expr(quote(column))).schema.fields[0].dataType
+
+
+def period_text(df: DataFrame, column: str) -> str:
+    """SQL for the period label of a row: a timestamp counts as its day."""
+    if isinstance(_period_type(df, column), (T.TimestampType, T.TimestampNTZType)):
+        return f"CAST(CAST({quote(column)} AS DATE) AS STRING)"
+    return f"CAST({quote(column)} AS STRING)"
+
+
+def period_in(df: DataFrame, column: str, labels: list[str]) -> Column:
+    """The rows of some periods, as a predicate on the bare column that reaches the parquet scan."""
+    dtype, c = _period_type(df, column), F.col(quote(column))
+    if isinstance(dtype, T.DateType):
+        return c.isin([_dt.date.fromisoformat(w) for w in labels])
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return period_between(df, column, min(labels), max(labels)) & c.cast("date").isin([_dt.date.fromisoformat(w) for w in labels]) if labels else F.lit(False)
+    return c.isin(list(labels))
+
+
+def period_between(df: DataFrame, column: str, first: str, last: str) -> Column:
+    """A typed range on the bare column: it prunes files; equality on the label stays the exact test."""
+    dtype, c = _period_type(df, column), F.col(quote(column))
     if isinstance(dtype, T.DateType):
-        return [_dt.date.fromisoformat(w) for w in labels]
-    return list(labels)
+        return c.between(_dt.date.fromisoformat(first), _dt.date.fromisoformat(last))
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return (c >= F.lit(first).cast(dtype)) & (c < F.lit((_dt.date.fromisoformat(last) + _dt.timedelta(days=1)).isoformat()).cast(dtype))
+    return c.between(first, last)
 
 
 def quote(name: str) -> str:
@@ -109,19 +129,20 @@ def side_aggregate(
     if period_filter is not None:
         t = t.where(period_filter)
     if period_frame is not None:
-        t = t.join(period_frame, F.col(spec.date_column).cast("string") == period_frame["_wk"], "left_semi")
+        t = t.join(period_frame, F.expr(period_text(df, spec.date_column)) == period_frame["_wk"], "left_semi")
 
-    dims = spec.dimensions
-    metrics = spec.metrics
+    dims = spec.dimensions if side == DASH else spec.source_dimensions
+    metrics = spec.metrics if side == DASH else spec.source_metrics
     rules = spec.sanity if with_rules else []
-    cols = [f"CAST({quote(spec.date_column)} AS STRING) AS wk"]
+    cols = [f"{period_text(df, spec.date_column)} AS wk"]
     cols += [f"CAST({quote(d)} AS STRING) AS k{i}" for i, d in enumerate(dims)]
-    cols += [f"{s} AS m{i}" for i, s in enumerate(sum_inputs_sql(t, metrics))]
+    at = [spec.metrics.index(m) for m in metrics]  # a metric has one column on both sides
+    cols += [f"{s} AS m{i}" for i, s in zip(at, sum_inputs_sql(t, metrics))]
     cols += [f"CAST(({r.expression}) AS BOOLEAN) AS r{j}" for j, r in enumerate(rules)]
     p = t.selectExpr(*cols)
 
     aggs = ["count(1) AS n_rows"]
-    aggs += [f"CAST(coalesce(sum(m{i}), 0) AS DOUBLE) AS m{i}" for i in range(len(metrics))]
+    aggs += [f"CAST(coalesce(sum(m{i}), 0) AS DOUBLE) AS m{i}" for i in at]
     aggs += [f"count_if(r{j}) AS r{j}" for j in range(len(rules))]
     keys = [f"k{i}" for i in range(len(dims))]
     if keys:
@@ -134,7 +155,7 @@ def side_aggregate(
         g = p.groupBy("wk").agg(*[F.expr(a) for a in aggs])
         dim, key = f"'{WEEK_LEVEL}'", "CAST(NULL AS STRING)"
     out = [f"{str_literal(side)} AS side", "wk", f"{dim} AS dim", f"{key} AS key", "n_rows"]
-    out += [f"m{i}" for i in range(len(metrics))]
+    out += [f"m{i}" for i in at]
     out += [f"r{j}" for j in range(len(rules))]
     return g.selectExpr(*out)
 
@@ -142,7 +163,8 @@ def side_aggregate(
 def latest_period(df: DataFrame, spec: CheckSpec) -> DataFrame:
     """MAX(period) over all filtered rows: a two-column scan, no period filter."""
     t = keep(df, spec.row_filter)
-    return t.agg(F.max(F.col(spec.date_column)).cast("string").alias("wk"), F.count(F.lit(1)).alias("n_rows")).select(
+    # Labels and dates sort as their texts do.
+    return t.agg(F.max(F.expr(period_text(df, spec.date_column))).alias("wk"), F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(LATEST).alias("side"), "wk", F.lit(WEEK_LEVEL).alias("dim"), F.lit(None).cast("string").alias("key"), "n_rows"
     )
 
@@ -166,10 +188,13 @@ def _runs_frame(spark: SparkSession, runs) -> DataFrame:
     return spark.createDataFrame([(w,) for w in uniq], RUNS_SCHEMA)
 
 
-def bounded_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Broadcast hint only after counting the frame; larger frames shuffle."""
-    bound = BROADCAST_ROWS_LIMIT if limit is None else limit
-    return F.broadcast(df) if df.count() <= bound else df
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str | None, str | None]:
+    """A frame of labels written once to the shared folder, so Spark knows its size, and its first and last label."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    first, last = back.agg(F.min("_wk"), F.max("_wk")).first()
+    return back, first, last
 
 
 def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame:
@@ -181,24 +206,25 @@ def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame
     """
     grain = grain_of(spec.grain)
     dash_df = resolve(spark, spec.dashboard_table)
-    src_df = resolve(spark, spec.source_table)
+    src_df = resolve(spark, spec.source_table) if spec.reconciliation or spec.parts else None
     dc = spec.date_column
 
     parts: list[DataFrame] = []
     if runs is None:
         dash_agg = side_aggregate(dash_df, side=DASH, spec=spec, period_filter=None, period_frame=None, with_rules=True)
-        src_agg = side_aggregate(src_df, side=SRC, spec=spec, period_filter=None, period_frame=None, with_rules=False)
-        parts = [dash_agg, src_agg]
+        parts = [dash_agg]
+        if src_df is not None:
+            parts.append(side_aggregate(src_df, side=SRC, spec=spec, period_filter=None, period_frame=None, with_rules=False))
     elif isinstance(runs, DataFrame):
-        run_weeks = runs.select(F.col("run_week").cast("string").alias("_wk")).distinct()
-        needed = run_weeks.unionByName(
-            runs.select(F.explode(grain.lookback(F.col("run_week").cast("string"), spec.lookback)).alias("_wk"))
-        ).distinct()
-        needed = bounded_broadcast(needed)
-        run_weeks = bounded_broadcast(run_weeks)
-        dash_agg = side_aggregate(dash_df, side=DASH, spec=spec, period_filter=None, period_frame=needed, with_rules=True)
-        src_agg = side_aggregate(src_df, side=SRC, spec=spec, period_filter=None, period_frame=run_weeks, with_rules=False)
-        parts = [dash_agg, src_agg]
+        # Stored first: whatever made the labels runs once, and every scan below is bounded by their range.
+        run_weeks, first, last = _stored(_runs_frame(spark, runs).select(F.col("run_week").alias("_wk")), "run-weeks")
+        runs = run_weeks.select(F.col("_wk").alias("run_week"))
+        needed, earliest, _ = _stored(run_weeks.union(run_weeks.select(F.explode(grain.lookback(F.col("_wk"), spec.lookback)))).distinct(), "needed-weeks")
+        within = lambda df, a: period_between(df, dc, a, last) if last is not None else F.lit(False)
+        dash_agg = side_aggregate(dash_df, side=DASH, spec=spec, period_filter=within(dash_df, earliest), period_frame=needed, with_rules=True)
+        parts = [dash_agg]
+        if src_df is not None:
+            parts.append(side_aggregate(src_df, side=SRC, spec=spec, period_filter=within(src_df, first), period_frame=run_weeks, with_rules=False))
     else:
         run_list = list(dict.fromkeys(str(r) for r in runs))
         needed = list(dict.fromkeys(run_list + [w for r in run_list for w in lookback_labels_py(r, spec.lookback, spec.grain)]))
@@ -206,19 +232,13 @@ def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame
             dash_df,
             side=DASH,
             spec=spec,
-            period_filter=F.col(dc).isin(_period_literals(dash_df, dc, needed)),
+            period_filter=period_in(dash_df, dc, needed),
             period_frame=None,
             with_rules=True,
         )
-        src_agg = side_aggregate(
-            src_df,
-            side=SRC,
-            spec=spec,
-            period_filter=F.col(dc).isin(_period_literals(src_df, dc, run_list)),
-            period_frame=None,
-            with_rules=False,
-        )
-        parts = [dash_agg, src_agg]
+        parts = [dash_agg]
+        if src_df is not None:
+            parts.append(side_aggregate(src_df, side=SRC, spec=spec, period_filter=period_in(src_df, dc, run_list), period_frame=None, with_rules=False))
     # An explicit run set travels with the aggregate (stored with its dashboard
     # as data); so does the latest period, which needs its own two-column scan
     # because the aggregate only covers the requested periods.  For "every

@@ -55,6 +55,8 @@ RESULT_COLUMNS = [
     "gap_unit",
     "detail",
 ]
+_TYPES = {"check_seq": "int", **dict.fromkeys(("expected_num", "actual_num", "gap", "tolerance"), "double")}
+RESULT_SCHEMA = ", ".join(f"{c} {_TYPES.get(c, 'string')}" for c in RESULT_COLUMNS)
 
 
 def _s(name: str) -> T.StructField:
@@ -316,8 +318,15 @@ def trend_sanity(spark: SparkSession, base: Base) -> DataFrame | None:
         .agg(
             F.expr("max(CASE WHEN pos = 0 THEN total END) AS cur_total"),
             F.expr("count_if(pos > 0) AS n_weeks"),
-            # Averaged as DECIMAL: an average landing on a half cent rounds the same in every engine.
-            F.expr("avg(CASE WHEN pos > 0 THEN CAST(total AS DECIMAL(38,10)) END) AS baseline_dec"),
+            # At most ``lookback`` totals, summed in their order.
+            F.expr("array_sort(collect_list(CASE WHEN pos > 0 THEN struct(pos, total) END)) AS hist"),
+        )
+        .selectExpr("*", "CASE WHEN n_weeks > 0 THEN aggregate(hist, 0.0D, (s, x) -> s + x.total) / n_weeks END AS base")
+        # The reported figure: on the decimal text where there is one, so a half cent rounds the same in every engine.
+        .selectExpr(
+            "* EXCEPT (hist)",
+            "CASE WHEN n_weeks > 0 AND forall(hist, x -> try_cast(x.total AS DECIMAL(38,10)) IS NOT NULL) THEN "
+            "CAST(round(try_divide(aggregate(hist, CAST(0 AS DECIMAL(38,10)), (s, x) -> CAST(try_add(s, try_cast(x.total AS DECIMAL(38,10))) AS DECIMAL(38,10))), CAST(n_weeks AS DECIMAL(10,0))), 2) AS DOUBLE) END AS base_dec",
         )
     )
     j = rs.join(agg, ["dashboard", "run_week", "check_seq"], "left")
@@ -325,8 +334,7 @@ def trend_sanity(spark: SparkSession, base: Base) -> DataFrame | None:
         "*",
         "coalesce(cur_total, 0.0D) AS cur",
         "CAST(coalesce(n_weeks, 0) AS BIGINT) AS nw",
-        "CAST(baseline_dec AS DOUBLE) AS base",
-        "CAST(round(baseline_dec, 2) AS DOUBLE) AS base_r",
+        "coalesce(base_dec, round(base, 2)) AS base_r",
     ).selectExpr("*", "nw > 0 AND base != 0 AS graded")
     j = j.selectExpr("*", "CASE WHEN graded THEN (cur - base) / abs(base) * 100.0D END AS wow")
     label = f"CASE WHEN nw = 1 THEN {L(M.TREND_ONE_WEEK)} ELSE format_string({L(M.TREND_N_WEEKS)}, nw) END"

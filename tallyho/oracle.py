@@ -471,6 +471,8 @@ def oracle() -> dict[str, str]:
     sql["sanity_range"] = f1 + f"SELECT {RES}, n_rows, violations FROM sanity"
     sql["suite_results"] = f1 + f"SELECT {RES} FROM results"
     sql["run_summary"] = f1 + f"SELECT 'events_dashboard' AS dashboard, run_week, total, pass, drift, fail, {OVERALL} AS overall_status FROM summary"
+    sql["suite_single_week"] = f1 + f"SELECT {RES} FROM results WHERE run_week = '2024-03'"
+    sql["validate_log"] = f"SELECT * FROM ({_log_rows_sql(F1_CFG, '2024-02-05T06:00:00', 'events_dashboard')}) WHERE run_week = '2024-03'"
     sql["suite_backfill"] = f2 + f"SELECT {RES} FROM results"
     sql["suite_row_filter"] = f2_filtered + f"SELECT {RES} FROM results"
     sql["suite_multi_dashboard"] = (
@@ -493,7 +495,7 @@ def oracle() -> dict[str, str]:
     )
     sql["drift_frequency"] = log + (
         "SELECT dashboard, split_part(run_week, '-', 1) || '-Q' || CAST(LEAST(CAST(ceil(CAST(split_part(run_week, '-', 2) AS INTEGER) / 13.0) AS INTEGER), 4) AS VARCHAR) AS quarter, "
-        "check_name, COUNT(*) AS n_runs, COUNT(*) FILTER (WHERE status = 'DRIFT') AS n_drift, COUNT(*) FILTER (WHERE status = 'FAIL') AS n_fail "
+        "check_name, COUNT(DISTINCT run_id) AS n_runs, COUNT(*) AS n_checks, COUNT(*) FILTER (WHERE status = 'DRIFT') AS n_drift, COUNT(*) FILTER (WHERE status = 'FAIL') AS n_fail "
         "FROM log l WHERE run_timestamp = (SELECT MAX(run_timestamp) FROM log m WHERE m.dashboard = l.dashboard AND m.run_week = l.run_week) "
         "GROUP BY 1, 2, 3"
     )

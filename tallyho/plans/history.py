@@ -76,36 +76,45 @@ def log_rows(results: DataFrame, run_timestamp: str, triage: DataFrame | None =
     )
 
 
+def _ordered(df: DataFrame) -> DataFrame:
+    return df.select(*LOG_COLUMNS, *(c for c in df.columns if c not in LOG_COLUMNS))
+
+
 def append_log(df: DataFrame, path: str) -> None:
-    """Append to a parquet log partitioned by dashboard (created on first write)."""
-    df.select(*LOG_COLUMNS).write.mode("append").partitionBy("dashboard").parquet(path)
+    """Append to a parquet log partitioned by dashboard (created on first write); further columns are kept."""
+    _ordered(df).write.mode("append").partitionBy("dashboard").parquet(path)
 
 
 def append_log_table(df: DataFrame, table: str) -> None:
     """Append to a catalog table partitioned by dashboard."""
-    df.select(*LOG_COLUMNS).write.mode("append").partitionBy("dashboard").saveAsTable(table)
+    _ordered(df).write.mode("append").partitionBy("dashboard").saveAsTable(table)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Read the log with its fixed schema (the dashboard partition column restored in place)."""
-    return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
+    """Read the log: its fixed columns, then those that some appends added (NULL elsewhere)."""
+    merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+    more = [f for f in merged.fields if f.name not in LOG_COLUMNS]
+    return spark.read.schema(T.StructType([*LOG_SCHEMA.fields, *more])).parquet(path).select(*LOG_COLUMNS, *(f.name for f in more))
 
 
 def latest_run(log: DataFrame) -> DataFrame:
     """Every check row of the latest run of each (dashboard, period).
 
-    Ranking is per run, not per row: all checks of the run with the greatest
-    timestamp are kept (ties on the timestamp keep both runs).
+    The run with the greatest timestamp is kept whole; of runs at one
+    timestamp, the one with the greatest ``run_id``.
     """
-    w = Window.partitionBy("dashboard", "run_week").orderBy(F.col("run_timestamp").desc())
-    return log.withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1).drop("_rk")
+    last = _last_runs(log).select("dashboard", "run_week", F.col("last.run_id").alias("run_id"))
+    return log.join(last, ["dashboard", "run_week", "run_id"], "left_semi")
+
+
+def _last_runs(log: DataFrame) -> DataFrame:
+    """A maximum per period, combined map-side: a period that was rerun very often is no hot key."""
+    return log.groupBy("dashboard", "run_week").agg(F.max(F.struct("run_timestamp", "run_id", "overall_status")).alias("last"))
 
 
 def latest_run_summary(log: DataFrame) -> DataFrame:
     """One row per (dashboard, period): the latest run, with ``run_id`` breaking ties."""
-    runs = log.select("run_id", "dashboard", "run_week", "run_timestamp", "overall_status").distinct()
-    w = Window.partitionBy("dashboard", "run_week").orderBy(F.col("run_timestamp").desc(), F.col("run_id").desc())
-    return runs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return _last_runs(log).select("last.run_id", "dashboard", "run_week", "last.run_timestamp", "last.overall_status")
 
 
 def quarter_of_week(label) -> F.Column:
@@ -122,7 +131,8 @@ def drift_frequency(log: DataFrame) -> DataFrame:
         latest.withColumn("quarter", quarter_of_week(F.col("run_week")))
         .groupBy("dashboard", "quarter", "check_name")
         .agg(
-            F.count(F.lit(1)).alias("n_runs"),
+            F.countDistinct("run_id").alias("n_runs"),
+            F.count(F.lit(1)).alias("n_checks"),
             F.count_if(F.col("status") == DRIFT).alias("n_drift"),
             F.count_if(F.col("status") == FAIL).alias("n_fail"),
         )

@@ -85,17 +85,20 @@ def trend_window(base: Base, n: int, limit: float) -> DataFrame:
         F.col("week").alias("run_week"),
         "metric",
         F.col("total").alias("cur"),
-        F.avg(hist.cast("decimal(38,10)")).over(w).alias("baseline_dec"),
+        F.avg(hist).over(w).alias("base"),
         F.count(hist).over(w).alias("n_weeks"),
+        # Only for the reported figure, and only where every total has a decimal text.
+        F.avg(hist.try_cast("decimal(38,10)")).over(w).alias("dec"),
+        F.count(hist.try_cast("decimal(38,10)")).over(w).alias("n_dec"),
     )
-    baseline = F.col("baseline_dec").cast("double")
-    graded = (F.col("n_weeks") > 0) & (F.col("baseline_dec") != 0)
+    baseline = F.col("base")
+    graded = (F.col("n_weeks") > 0) & (baseline != 0)
     wow = F.when(graded, (F.col("cur") - baseline) / F.abs(baseline) * F.lit(100.0))
     return df.select(
         "dashboard",
         "run_week",
         "metric",
-        F.round(F.col("baseline_dec"), 2).cast("double").alias("baseline"),
+        F.when(F.col("n_dec") == F.col("n_weeks"), F.round(F.col("dec"), 2).cast("double")).otherwise(F.round(baseline, 2)).alias("baseline"),
         round2(F.col("cur")).alias("current"),
         round2(wow).alias("change_pct"),
         F.col("n_weeks").cast("bigint").alias("n_weeks"),

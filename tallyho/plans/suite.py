@@ -59,9 +59,7 @@ class Suite:
         """Every check of every run, in the common result schema (U4)."""
         frames = [f for f in (b(self.spark, self.base) for b in C.CHECK_BUILDERS) if f is not None]
         if not frames:
-            return self.base.runs.where(F.lit(False)).select(
-                *[F.lit(None).alias(c) for c in C.RESULT_COLUMNS]
-            )
+            return self.spark.createDataFrame([], C.RESULT_SCHEMA)
         return reduce(DataFrame.unionByName, [C.to_results(f) for f in frames])
 
     def run_summary(self, results: DataFrame | None = None) -> DataFrame:

@@ -231,6 +231,22 @@ def rerun_on_arrival(spark: SparkSession, sf: str) -> DataFrame:
     return H.read_log(spark, log_path).drop("detail")
 
 
+def suite_single_week(spark: SparkSession, sf: str) -> DataFrame:
+    """The scheduled form: one literal week, its filters pushed to both scans."""
+    return Suite(spark, X.events_registry(spark, sf), runs=["2024-03"]).check_results().select(*RES)
+
+
+def validate_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The scheduled run from a date dimension to the log, read back."""
+    from tallyho.plans.validate import validate
+
+    days = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select(F.to_date("ts").alias("full_date")).distinct()
+    dim = days.withColumn("fiscal_yr_and_wk_desc", week_label(F.col("full_date")))
+    log_path = scratch_path(spark, "validate-log")
+    validate(spark, X.events_registry(spark, sf), dim_date=dim, today="2024-01-20", log_path=log_path, run_timestamp=LOG_TS_1, gate=False)
+    return H.read_log(spark, log_path).drop("detail")
+
+
 # ── report frames ───────────────────────────────────────────────────────────
 
 
@@ -272,6 +288,8 @@ QUERIES = {
     "sanity_range": sanity_range,
     "suite_results": suite_results,
     "run_summary": run_summary,
+    "suite_single_week": suite_single_week,
+    "validate_log": validate_log,
     "suite_backfill": suite_backfill,
     "suite_row_filter": suite_row_filter,
     "suite_multi_dashboard": suite_multi_dashboard,

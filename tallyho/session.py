@@ -12,19 +12,13 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "tallyho") -> SparkSession:
     """Session for local runs and tests; on a cluster the launcher's settings win."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
-    )
+    builder = SparkSession.builder.appName(app)
+    outside = SparkSession.getActiveSession() is None and not os.environ.get("PYSPARK_SUBMIT_ARGS") and not os.environ.get("SPARK_ENV_LOADED")
+    if master or outside:  # a session of our own on this machine
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        builder = builder.master(master or f"local[{cpus}]").config("spark.driver.memory", "16g")
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus)).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    builder = builder.config("spark.sql.session.timeZone", "UTC")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

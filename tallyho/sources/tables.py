@@ -22,7 +22,9 @@ def resolve(spark: SparkSession, table) -> DataFrame:
 
 def non_budget(df: DataFrame) -> Column | None:
     """``data_type != 'Budget' OR data_type IS NULL`` when the column exists."""
-    if ROW_CLASS_COLUMN not in df.columns:
+    # Names resolve as the session resolves them, without regard to case by default.
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    if ROW_CLASS_COLUMN not in (df.columns if exact else [c.lower() for c in df.columns]):
         return None
     c = F.col(ROW_CLASS_COLUMN)
     return (c != F.lit(BUDGET)) | c.isNull()

@@ -141,24 +141,28 @@ def _completeness(spark, present, history, required, optional):
     return row, sorted(r["value"] for r in missing.collect()), sorted((r["value"] or "") for r in new.collect())
 
 
+KNOWN = ["click", "error", "purchase", "signup", "view"]
+
+
 @pytest.mark.parametrize(
-    "present,history,required,optional,status,missing,new",
+    "gone,added,optional,status",
     [
-        (["LinkedIn", "Instagram", "Threads"], ["LinkedIn", "Instagram", "Facebook"], ["LinkedIn", "Instagram", "Facebook"], [], "DRIFT", ["Facebook"], ["Threads"]),
-        (["LinkedIn"], ["LinkedIn", "Instagram", "Facebook"], ["LinkedIn", "Instagram", "Facebook"], [], "FAIL", ["Facebook", "Instagram"], []),
-        (["Firefly", "Photoshop"], ["Firefly", "Photoshop"], ["Firefly", "Photoshop"], ["Summit"], "PASS", [], []),
-        (["Firefly", "Photoshop", "Summit"], ["Firefly", "Photoshop"], ["Firefly", "Photoshop"], ["Summit"], "PASS", [], []),
-        (["Firefly"], ["Firefly", "Photoshop"], ["Firefly", "Photoshop"], ["Summit"], "DRIFT", ["Photoshop"], []),
+        ([], [], [], "PASS"),
+        (["signup"], [], [], "DRIFT"),
+        (["signup"], ["beta"], [], "DRIFT"),
+        (["error", "signup"], ["beta", "gamma"], [], "FAIL"),
+        ([], ["beta"], ["beta"], "PASS"),
+        (["view"], ["beta"], ["beta", "gamma"], "DRIFT"),
     ],
 )
-def test_completeness_reference_cases(spark, present, history, required, optional, status, missing, new):
-    row, got_missing, got_new = _completeness(spark, present, history, required, optional)
-    assert row["status"] == status
-    assert got_missing == missing and got_new == new
-    assert row["n_missing"] == len(missing) and row["n_new"] == len(new)
-    assert row["expected"] == str(len(required)) and row["actual"] == str(len(set(present)))
-    for v in missing:
-        assert v in row["detail"]
+def test_completeness_names_what_is_missing_and_new(spark, gone, added, optional, status):
+    present = [v for v in KNOWN if v not in gone] + added
+    row, missing, new = _completeness(spark, present, KNOWN, KNOWN, optional)
+    unknown = [v for v in added if v not in optional]
+    assert (row["status"], missing, new) == (status, gone, unknown)
+    assert (row["n_missing"], row["n_new"]) == (len(gone), len(unknown))
+    assert (row["expected"], row["actual"]) == (str(len(KNOWN)), str(len(present)))
+    assert all(v in row["detail"] for v in gone)
 
 
 def test_completeness_null_value_is_new(spark):
@@ -269,9 +273,7 @@ def test_odd_column_names_and_quoted_values(spark):
     assert {r["dashboard"] for r in res.values()} == {"odd 'name'"}
 
 
-def test_run_frame_above_broadcast_bound_gives_same_results(spark, monkeypatch):
-    import tallyho.operators.base as B
-
+def test_run_frame_gives_the_results_of_a_run_list(spark):
     src = frame(spark, [("2024-01", "a", "Actual", 100, 1), ("2024-02", "a", "Actual", 100, 1), ("2024-03", "b", None, 7, 1)])
     dash = frame(spark, [("2024-01", "a", "Actual", 101, 1), ("2024-02", "b", "Actual", 90, 1), ("2024-03", "b", None, 7, 1)])
     reg = registry(dash, src, dimensions=[{"name": "platform", "completeness_check": True, "required_values": ["a"]}])
@@ -280,7 +282,79 @@ def test_run_frame_above_broadcast_bound_gives_same_results(spark, monkeypatch):
     def rows(s):
         return sorted(tuple(r) for r in s.check_results().drop("detail").collect())
 
-    by_list = rows(Suite(spark, reg, runs=weeks))
-    monkeypatch.setattr(B, "BROADCAST_ROWS_LIMIT", 0)  # the run frame is now "too large" to broadcast
     frame_runs = spark.createDataFrame([(w,) for w in weeks], "run_week string")
-    assert rows(Suite(spark, reg, runs=frame_runs)) == by_list
+    assert rows(Suite(spark, reg, runs=frame_runs)) == rows(Suite(spark, reg, runs=weeks))
+
+
+@pytest.mark.parametrize(
+    "history,current,status",
+    [
+        ([float("nan")], 100.0, "FAIL"),
+        ([1e30, 1e30], 1e30, "PASS"),
+        ([1e-12], 1e-11, "FAIL"),
+        ([0.0, 0.0], 5.0, "PASS"),
+    ],
+)
+def test_trend_grades_any_double(spark, history, current, status):
+    weeks = ["2024-05", "2024-04", "2024-03"]
+    dash = spark.createDataFrame(list(zip(weeks, [current, *history])), "wk string, x double")
+    reg = {"dashboard": "t", "dashboard_table": dash, "date_column": "wk", "lookback_weeks": 2, "metrics": [{"name": "x", "checks": ["trend_sanity"]}]}
+    (row,) = Suite(spark, reg, runs=["2024-05"]).trend_sanity().collect()
+    assert row["status"] == status and row["n_weeks"] == len(history)
+
+
+def test_budget_rows_are_left_out_whatever_the_case_of_the_column(spark):
+    rows = [("2024-05", "Actual", 100), ("2024-05", "Budget", 900)]
+    dash, src = spark.createDataFrame(rows, "wk string, DATA_TYPE string, x bigint"), spark.createDataFrame(rows[:1], "wk string, data_type string, x bigint")
+    reg = {"dashboard": "t", "dashboard_table": dash, "source_table": src, "date_column": "wk", "metrics": [{"name": "x"}]}
+    (row,) = Suite(spark, reg, runs=["2024-05"]).reconciliation().collect()
+    assert row["status"] == "PASS" and row["actual_num"] == 100.0
+
+
+@pytest.mark.parametrize("as_frame", [False, True])
+def test_timestamp_period_counts_as_its_day(spark, as_frame):
+    from datetime import datetime
+
+    table = lambda rows: spark.createDataFrame(rows, "at timestamp, x bigint")
+    dash = table([(datetime(2024, 3, 4), 5), (datetime(2024, 3, 3, 23, 59), 4)])
+    src = table([(datetime(2024, 3, 4, 12), 9), (datetime(2024, 3, 3, 1), 4)])
+    reg = {"dashboard": "t", "dashboard_table": dash, "source_table": src, "date_column": "at", "grain": "day", "metrics": [{"name": "x"}]}
+    runs = ["2024-03-03", "2024-03-04"]
+    s = Suite(spark, reg, runs=spark.createDataFrame([(r,) for r in runs], "run_week string") if as_frame else runs)
+    assert {k: (r["status"], r["actual_num"]) for k, r in by(s.reconciliation(), "run_week").items()} == {"2024-03-03": ("PASS", 4.0), "2024-03-04": ("FAIL", 5.0)}
+    assert by(s.freshness(), "run_week")["2024-03-04"]["status"] == "PASS"
+
+
+def test_source_needs_only_what_is_compared(spark):
+    dash = spark.createDataFrame([("2024-05", "a", 1, 2)], "wk string, region string, x bigint, only_here bigint")
+    src = spark.createDataFrame([("2024-05", 1)], "wk string, x bigint")
+    reg = {
+        "dashboard": "t", "dashboard_table": dash, "source_table": src, "date_column": "wk",
+        "metrics": [{"name": "x"}, {"name": "only_here", "checks": ["trend_sanity"]}],
+        "dimensions": [{"name": "region", "completeness_check": True, "required_values": ["a"]}],
+    }
+    got = {r["check_name"]: r["status"] for r in Suite(spark, reg, runs=["2024-05"]).check_results().collect()}
+    assert got == {"freshness": "PASS", "reconciliation": "PASS", "trend_sanity": "PASS", "completeness": "PASS"}
+
+
+def test_no_check_enabled_gives_a_typed_empty_result(spark):
+    from tallyho.plans import history as H
+    from tallyho.session import scratch_path
+
+    dash = spark.createDataFrame([("2024-05", 1)], "wk string, x bigint")
+    s = Suite(spark, {"dashboard": "t", "dashboard_table": dash, "date_column": "wk", "checks": {"freshness": {"enabled": False}}}, runs=["2024-05"])
+    path = scratch_path(spark, "empty-log")
+    H.append_log(H.log_rows(s.check_results(), "2024-02-05T06:00:00"), path)
+    assert s.check_results().count() == 0
+
+
+def test_stored_run_frame_bounds_the_period_scan(spark, tmp_path):
+    import tallyho.operators.base as B
+    from tallyho.config import normalize
+
+    for name in ("dash", "src"):
+        spark.createDataFrame([(f"2024-{w:02d}", 1) for w in range(1, 30)], "wk string, x bigint").write.partitionBy("wk").parquet(f"{tmp_path}/{name}")
+    reg = {"dashboard": "t", "dashboard_table": f"{tmp_path}/dash", "source_table": f"{tmp_path}/src", "date_column": "wk", "lookback_weeks": 2, "metrics": [{"name": "x", "checks": ["reconciliation", "trend_sanity"]}], "checks": {"parts_sum": {"pivot_columns": []}}}
+    plan = B.aggregate_plan(spark, normalize(reg), spark.createDataFrame([("2024-20",)], "run_week string"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert ">= 2024-18" in text and "<= 2024-20" in text and ">= 2024-20" in text
