@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 8 << 20
+SLICE = 2 << 20
 
 
 def token_slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[str]]]:
@@ -33,6 +33,7 @@ def token_slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.
             codes = codes[keep]
         yield row, bounds, codes, tokens
         row = stop
+    pa.default_memory_pool().release_unused()
 
 
 def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -41,6 +41,7 @@ SCALE = 4.0  # of the shares of tokens
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
 LONG = 64
+CACHE = 100_000
 
 
 def features(token: str) -> tuple[int, int]:
@@ -58,7 +59,7 @@ _known: dict[str, tuple[int, int]] = {}
 
 
 def _token_features(tokens: list[str]) -> np.ndarray:
-    if len(_known) > 500_000:
+    if len(_known) + len(tokens) > CACHE:
         _known.clear()
     for t in tokens:
         if t not in _known:

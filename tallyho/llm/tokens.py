@@ -25,9 +25,9 @@ from tokenizers import Tokenizer
 
 from tallyho.llm.hashing import text_buffers
 
-CACHE = 1_000_000
+CACHE = 600_000
 LONG = 64
-SLICE = 8 << 20  # bytes of text encoded at a time
+SLICE = 4 << 20  # bytes of text encoded at a time
 END_ID = 1
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
@@ -144,3 +144,4 @@ def encoded(column: pa.Array, path: str, keep_space: bool) -> Iterator[np.ndarra
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             yield np.append(ids[a:b], np.uint32(END_ID))
         row = stop
+    pa.default_memory_pool().release_unused()

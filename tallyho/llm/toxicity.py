@@ -47,7 +47,7 @@ LANDMARKS = 64
 SAMPLE = 2500
 WIDTH = 24  # letters of a word looked at together; a longer one is read in overlapping windows
 ROUNDS = 3
-CACHE = 400_000
+CACHE = 150_000
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 _SENTENCE_END = re.compile(r"[.!?|;:]+$")
 
