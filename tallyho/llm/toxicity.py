@@ -47,7 +47,7 @@ LANDMARKS = 64
 SAMPLE = 2500
 WIDTH = 24  # letters of a word looked at together; a longer one is read in overlapping windows
 ROUNDS = 3
-CACHE = 150_000
+CACHE = 400_000
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 _SENTENCE_END = re.compile(r"[.!?|;:]+$")
 
@@ -352,26 +352,22 @@ def _tops(owner: np.ndarray, score: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return top, best
 
 
-_known: dict[str, tuple[float, bool, bool, str]] = {}
+_known: dict[str, float] = {}
 _known_of: list = [None]
 
 
-def _known_tokens(model: Model, key: int, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """(score, ends a sentence, folded, single letter) of distinct tokens."""
-    new = [t for t in tokens if t not in _known] if _known_of[0] == key else tokens
-    if _known_of[0] != key or len(_known) + len(new) > CACHE:
+def _word_scores(model: Model, key: int, words: list[str]) -> np.ndarray:
+    """The scores of folded words; tokens that differ in case or punctuation only share one."""
+    if _known_of[0] != key or len(_known) > CACHE:
         _known.clear()
-        _known_of[0], new = key, tokens
-    folded, ends, single = _tokens(new)
-    words = list(set(folded))
-    worth = dict(zip(words, model.words(words).tolist(), strict=True))
-    _known.update(zip(new, zip([worth[f] for f in folded], ends.tolist(), single.tolist(), folded, strict=True), strict=True))
-    rows = [_known[t] for t in tokens]
-    for t in new:
-        if len(t) > 64:
-            del _known[t]
-    score, end, one, fold_ = zip(*rows, strict=True) if rows else ((), (), (), ())
-    return np.array(score, dtype=np.float64), np.array(end, dtype=bool), list(fold_), np.array(one, dtype=bool)
+        _known_of[0] = key
+    new = list({w for w in words if w not in _known})
+    _known.update(zip(new, model.words(new).tolist(), strict=True))
+    out = np.fromiter(map(_known.__getitem__, words), dtype=np.float64, count=len(words))
+    for w in new:
+        if len(w) > 64:
+            del _known[w]
+    return out
 
 
 def _score(shared):
@@ -380,9 +376,9 @@ def _score(shared):
         key = hash((tuple(model.landmarks.words), model.dual.tobytes()))
         for batch in batches:
             best = np.zeros(batch.num_rows)
-            for row, bounds, codes, tokens in token_slices(batch.column(1)):
-                worth, ends, folded, single = _known_tokens(model, key, tokens)
-                value = worth[codes]
+            for row, bounds, codes, tokens in token_slices(batch.column(1), 4 << 20):
+                folded, ends, single = _tokens(tokens)
+                value = _word_scores(model, key, folded)[codes]
                 spelled = _spelled(bounds, codes, folded, single)
                 if spelled:
                     value[[at for at, _ in spelled]] += model.words([word for _, word in spelled])
