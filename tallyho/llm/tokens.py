@@ -1,12 +1,15 @@
 """Token ids of whole texts by a public ``tokenizers`` file, with a cache of word units.
 
-A text is cut at spaces that follow a character other than white space, where
-the pre-tokenizers of both files cut too (a space goes with what follows it,
-or is dropped), so the ids of the text are the ids of its units one after
-another.  Units repeat, so each worker encodes a unit once, with the
-``tokenizers`` library, and keeps its ids; the rest is array work on Arrow
-columns.  The cache is emptied when it would pass ``CACHE`` units and a unit
-over ``LONG`` characters is not kept, so memory is bounded whatever the text.
+A text is cut where the pre-tokenizers of both files cut too, so the ids of
+the text are the ids of its units one after another: at spaces that follow a
+character other than white space (a space goes with what follows it, or is
+dropped), between a letter and a stop or comma, and around a single line end.
+Units repeat, so each worker encodes a unit once, with the ``tokenizers``
+library, and keeps its ids; the rest is array work on Arrow columns.  New
+units of Latin letters alone are one pre-token, so the library's model gets
+them as the file's normalizer and pre-tokenizer would give them; others are
+encoded many to a call, between separators whose id nothing else has.  The cache is emptied when it would pass ``CACHE`` units and a unit over
+``LONG`` characters is not kept, so memory is bounded whatever the text.
 """
 
 from __future__ import annotations
@@ -23,29 +26,23 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from tallyho.llm.hashing import text_buffers
-
 CACHE = 600_000
 LONG = 64
 SLICE = 4 << 20  # bytes of text encoded at a time
 END_ID = 1
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
 _UNIT = re.compile(r"(?<=\S)(?= )")
+_SPACED = re.compile(r"\s")
+_MARK = "\x01"  # before a unit that no space precedes
+_JOINED = 64  # new units to a call
+_ODD = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] |\x01"
+_LETTERS = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]  # Latin; none of them joins its neighbours in NFC
+_STOPS = r"([A-Za-z])([.,;:!?])"
+_LINES = r"([!-~\pL])\n([!-~\pL])"
 
 
 def _odd_rows(column: pa.Array) -> np.ndarray:
-    """Rows with a space after other white space: there a cut would not be a boundary of the pre-tokenizer."""
-    data, offsets = text_buffers(column)
-    at = np.flatnonzero(data == 0x20)
-    at = at[at > 0]
-    before = data[at - 1]
-    odd = _BLANK[before]
-    wide = np.flatnonzero(before >= 0x80)  # white space beyond ASCII, by its last bytes
-    back2, back3 = data[at[wide] - 2], data[at[wide] - 3]
-    last = before[wide]
-    odd[wide] = (back2 == 0xC2) & ((last == 0x85) | (last == 0xA0)) | (back3 >= 0xE1) & (back3 <= 0xE3) & (back2 >= 0x80) & (back2 <= 0x9A)
-    return np.unique(np.searchsorted(offsets, at[odd], side="right") - 1)
+    """Rows with a space after other white space, where a cut would not be a boundary of the pre-tokenizer, or with the mark itself."""
+    return np.flatnonzero(pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False))
 
 
 class Units:
@@ -56,8 +53,27 @@ class Units:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tokenizer.model._resize_cache(0)  # the units are cached here
         self.lead = " " if keep_space else ""
+        # A line end is a token of its own between units that hold no white space; where spaces are dropped, the mark is.
+        self.between = "\n" if keep_space else f" {_MARK} "
+        separator = self.plain([self.between])[0]
+        self.separator = separator[0] if len(separator) == 1 else None
+        self.spelled = {ord(c): x[0][0] for c in _LETTERS if len(x := self._pretokens(c)) == 1}
+        if keep_space:
+            self.spelled[ord(" ")] = self._pretokens(" a")[0][0][:-1]
+        letters = "".join(map(chr, self.spelled)).replace(" ", "")
+        self.letters = re.compile(f"[{letters}]+")
+        word = self.lead + letters  # any letters after a lead are one pre-token; else each unit goes the longer way
+        if self._model_ids(word) != self.plain([word])[0]:
+            self.letters = re.compile("(?!)")
         self._empty()
 
+    def _pretokens(self, text: str) -> list[tuple]:
+        normal = self.tokenizer.normalizer
+        return self.tokenizer.pre_tokenizer.pre_tokenize_str(normal.normalize_str(text) if normal else text)
+
+    def _model_ids(self, text: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(text.translate(self.spelled))]
+
     def _empty(self) -> None:
         self.known: dict[str, int] = {}  # what follows the leading space -> row of starts and sizes
         self.starts = np.zeros(1, dtype=np.int64)
@@ -67,19 +83,47 @@ class Units:
     def plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _whole(self, unit: str) -> str:
+        """The text of a unit: without its mark, or with the space before it."""
+        return unit[1:] if self.lead and unit.startswith(_MARK) else self.lead + unit
+
+    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of distinct units one after another, their number in each unit)."""
+        out: list = [None] * len(units)
+        joined, tokenize, letters, spelled = [], self.tokenizer.model.tokenize, self.letters.fullmatch, self.spelled
+        skip = len(self.lead)
+        for i, unit in enumerate(units):
+            text = self._whole(unit)
+            body = text[skip:] if text[:1] == self.lead else text
+            if letters(body):
+                out[i] = [t.id for t in tokenize(text.translate(spelled))]
+            elif not body or self.separator is None or _MARK in body or _SPACED.search(body):
+                out[i] = self.plain([text])[0]
+            else:
+                joined.append((i, text))
+        for at in range(0, len(joined), _JOINED):
+            some = joined[at : at + _JOINED]
+            flat = self.plain([self.between.join([*(t for _, t in some), ""])])[0]
+            begin = 0
+            for i, _ in some:
+                end = flat.index(self.separator, begin)
+                out[i] = flat[begin:end]
+                begin = end + 1
+        sizes = np.fromiter(map(len, out), dtype=np.int64, count=len(out))
+        return np.fromiter(chain.from_iterable(out), dtype=np.uint32, count=int(sizes.sum())), sizes
+
     def _rows(self, units: list[str]) -> np.ndarray:
         """The rows of distinct units; encodes the new ones."""
         new = [u for u in units if u not in self.known]
         if len(self.known) + len(new) > CACHE:
             self._empty()
             new = units
-        ids = self.plain([self.lead + u for u in new])
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        ids, sizes = self._encode_units(new)
         at = len(self.sizes)
         self.known.update(zip(new, range(at, at + len(new)), strict=True))
         self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
         self.sizes = np.concatenate((self.sizes, sizes))
-        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))))
+        self.ids = np.concatenate((self.ids, ids))
         rows = np.fromiter(map(self.known.__getitem__, units), dtype=np.int64, count=len(units))
         for u in new:
             if len(u) > LONG:
@@ -99,6 +143,11 @@ class Units:
                 keep = np.ones(len(column), dtype=bool)
                 keep[list(aside)] = False
                 column = pc.if_else(pa.array(keep), column, "")
+            column = pc.replace_substring_regex(column, _LINES, f"\\1 {_MARK}\n {_MARK}\\2")
+            column = pc.replace_substring_regex(column, _STOPS, rf"\1 {_MARK}\2")
+        else:  # white space is dropped, and A-Z are folded
+            column = pc.replace_substring(pc.ascii_lower(column), "\n", " ")
+            column = pc.replace_substring_regex(column, _STOPS, r"\1 \2")
         parts = pc.split_pattern(column, " ")
         bounds = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         coded = parts.flatten().dictionary_encode()
