@@ -146,7 +146,7 @@ class Units:
             column = pc.replace_substring_regex(column, _LINES, f"\\1 {_MARK}\n {_MARK}\\2")
             column = pc.replace_substring_regex(column, _STOPS, rf"\1 {_MARK}\2")
         else:  # white space is dropped, and A-Z are folded
-            column = pc.replace_substring(pc.ascii_lower(column), "\n", " ")
+            column = pc.ascii_lower(pc.replace_substring(column, "\n", " "))  # a slice given to ascii_lower itself comes out garbled
             column = pc.replace_substring_regex(column, _STOPS, r"\1 \2")
         parts = pc.split_pattern(column, " ")
         bounds = parts.offsets.to_numpy() - parts.offsets[0].as_py()

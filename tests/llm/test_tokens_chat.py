@@ -30,8 +30,17 @@ def test_cached_units_give_the_ids_of_whole_texts(name, keep):
     assert [g.tolist() for g in got] == [want(t) for t in ODD]
 
 
+@pytest.mark.parametrize("name,keep", FILES)
+def test_slices_of_a_column_give_the_same_ids(name, keep, monkeypatch):
+    texts = [f"Élan {i}, the End.\nNext {'word ' * (i % 7)}ÇA!" for i in range(200)]
+    whole = [row.tolist() for row in tokens.encoded(pa.array(texts), tokenizer(name), keep)]
+    monkeypatch.setattr(tokens, "SLICE", 500)
+    sliced = [row.tolist() for row in tokens.encoded(pa.array(["", *texts])[1:], tokenizer(name), keep)]
+    assert sliced == whole == [[*tokens.units(tokenizer(name), keep).plain([t])[0], 1] for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(st.sampled_from("ab .,'\n\t\xa0 éЖ1"), max_size=12), max_size=4))
+@given(st.lists(st.text(st.sampled_from("absZ .,:!\x01ßÀİſŀ\u0301'\n\t\xa0 éЖ1"), max_size=12), max_size=4))
 def test_cached_units_on_any_text(texts):
     for name, keep in FILES:
         want = plain(name, keep)
