@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyho.llm.components import saved
-from tallyho.llm.tokens import encoded
+from tallyho.llm.tokens import encoded, forget
 from tallyho.session import scratch_path
 
 BLOCK = 65_536
@@ -148,6 +148,7 @@ def _wide(kept: bytes) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()  # all ids are stored by now
     total = np.zeros(0, dtype=np.int64)
     for batch in batches:
         for kept in batch.column(0).to_pylist():
@@ -212,8 +213,10 @@ def write(docs: DataFrame, folder: str, path: str, keep_space: bool = False, max
 
 def _decode(table: tuple[np.ndarray, np.ndarray, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
-            for row in batch.to_pylist():
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1).to_pylist()[0]
                 ids = decode_block(row["n_ids"], row["checkpoints"], row["payload"], table).astype("<u4")
                 at, out = 0, []
                 for doc in row["docs"]:
@@ -228,22 +231,29 @@ _PARTS = "file int, block int, doc_id long, start long, length int, part int, pa
 _ARROW_PARTS = pa.schema([("file", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("part", pa.int32()), ("parts", pa.int32()), ("ids", pa.binary())])
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """The parts of the documents in the files: file, block, doc_id, start in the file, length, part, parts, ids (bytes)."""
+def _code_table(spark: SparkSession, folder: str) -> tuple[np.ndarray, np.ndarray, int]:
     book = spark.read.parquet(f"{folder}/codebook").toPandas()
     lengths = np.zeros(int(book["id"].max()) + 1 if len(book) else 1, dtype=np.int64)
     lengths[book["id"]] = book["length"]
-    table = decode_table(lengths, canonical_codes(lengths))
-    return spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks").mapInArrow(_decode(table), _PARTS)
+    return decode_table(lengths, canonical_codes(lengths))
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The crc of each part; the ids go on only where a document spans blocks."""
-    for batch in batches:
-        ids, parts = batch.column("ids").to_pylist(), batch.column("parts").to_pylist()
-        crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
-        spanning = pa.array([x if n > 1 else None for x, n in zip(ids, parts, strict=True)], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], spanning, crc], names=[*batch.schema.names, "ids_crc32"])
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts of the documents in the files: file, block, doc_id, start in the file, length, part, parts, ids (bytes)."""
+    return spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks").mapInArrow(_decode(_code_table(spark, folder)), _PARTS)
+
+
+def _digests(table: tuple[np.ndarray, np.ndarray, int]):
+    """The crc of each decoded part; the ids go on only where a document spans blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _decode(table)(batches):
+            ids, parts = batch.column("ids").to_pylist(), batch.column("parts").to_pylist()
+            crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
+            spanning = pa.array([x if n > 1 else None for x, n in zip(ids, parts, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], spanning, crc], names=[*batch.schema.names, "ids_crc32"])
+
+    return run
 
 
 def _spanning(parts: pa.Table) -> pa.Table:
@@ -265,7 +275,7 @@ def digests(spark: SparkSession, folder: str) -> DataFrame:
         base.append((file, before))
         before += n
     bases = spark.createDataFrame(base, "file int, base long")
-    parts = saved(read(spark, folder).mapInArrow(_digests, _PARTS + ", ids_crc32 long"), "parts")
+    parts = saved(blocks.mapInArrow(_digests(_code_table(spark, folder)), _PARTS + ", ids_crc32 long"), "parts")
     one = parts.where("parts = 1").selectExpr("file", "doc_id", "start", "CAST(length AS LONG) AS n_tokens", "ids_crc32")
     spans = parts.where("parts > 1").select("file", "doc_id", "start", "length", "part", "ids")
     many = spans.groupBy("file", "start").applyInArrow(_spanning, "file int, doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -181,6 +181,11 @@ def units(path: str, keep_space: bool) -> Units:
     return _loaded[path, keep_space]
 
 
+def forget() -> None:
+    """Frees the worker's units, for stages that encode no text."""
+    _loaded.clear()
+
+
 def encoded(column: pa.Array, path: str, keep_space: bool) -> Iterator[np.ndarray]:
     """The ids of each text and END_ID, row by row, a slice of ``SLICE`` bytes at a time."""
     known = units(path, keep_space)
