@@ -85,17 +85,32 @@ def summarize(runs: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
-def run_suites(spark: SparkSession, registries: list[dict], runs=None, parallel: int = 4) -> tuple[DataFrame, DataFrame]:
+def run_suites(spark: SparkSession, registries: list[dict], runs=None, parallel: int = 4, on_error=None) -> tuple[DataFrame, DataFrame]:
     """Several dashboards: one base aggregate per dashboard, results unioned.
 
     The base aggregates are independent jobs over different tables; they are
     submitted from a few driver threads at once so a large cluster works on
-    several dashboards' scans together.
+    several dashboards' scans together.  ``on_error(dashboard, exception)``,
+    if given, is told of each dashboard that cannot be checked and the others
+    go on; without it the first such error is raised.
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    def checked(registry: dict) -> tuple[DataFrame, DataFrame] | Exception:
+        try:
+            suite = Suite(spark, registry, runs)
+            return suite.check_results(), suite.runs
+        except Exception as error:  # a faulty registry or table of one dashboard
+            return error
+
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(registries)))) as pool:
-        suites = list(pool.map(lambda r: Suite(spark, r, runs), registries))
-    results = reduce(DataFrame.unionByName, [s.check_results() for s in suites])
-    run_frames = reduce(DataFrame.unionByName, [s.runs for s in suites])
+        outcomes = list(pool.map(checked, registries))
+    good = [o for o in outcomes if not isinstance(o, Exception)]
+    for registry, error in zip(registries, outcomes):
+        if isinstance(error, Exception):
+            if on_error is None or not good:
+                raise error
+            on_error(registry.get("dashboard"), error)
+    results = reduce(DataFrame.unionByName, [r for r, _ in good])
+    run_frames = reduce(DataFrame.unionByName, [r for _, r in good])
     return results, summarize(run_frames, results)

@@ -358,3 +358,18 @@ def test_stored_run_frame_bounds_the_period_scan(spark, tmp_path):
     plan = B.aggregate_plan(spark, normalize(reg), spark.createDataFrame([("2024-20",)], "run_week string"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert ">= 2024-18" in text and "<= 2024-20" in text and ">= 2024-20" in text
+
+
+def test_one_faulty_dashboard_leaves_the_others(spark):
+    import pytest
+    from tallyho.plans.suite import run_suites
+
+    facts = spark.createDataFrame([("2024-01", 5)], "wk string, amount long")
+    good = {"dashboard": "sound", "dashboard_table": facts, "source_table": facts, "date_column": "wk", "metrics": [{"name": "amount"}]}
+    faulty = {**good, "dashboard": "faulty", "metrics": [{"name": "no_such_column"}]}
+    told = []
+    results, summary = run_suites(spark, [faulty, good], on_error=lambda name, error: told.append(name))
+    assert told == ["faulty"]
+    assert {r["dashboard"] for r in results.collect()} == {"sound"} == {r["dashboard"] for r in summary.collect()}
+    with pytest.raises(Exception, match="no_such_column"):
+        run_suites(spark, [faulty, good])
