@@ -7,8 +7,10 @@ thresholds t1 < t2 < ... turn the score of a text into
 
 Features of a text, as shares of its tokens: the folded token, the token's
 shape (letters and digits by class, runs cut to one, other characters as they
-are), and whether the token repeats the one before.  Features are hashed into
-``1 << BITS`` weights, so the model has a fixed size.
+are), and whether the token repeats the one before.  A token of more than
+``LONG`` characters (a text in a script without spaces, an encoded line) is
+read whole, as consecutive pieces of ``LONG`` that count as a token each.
+Features are hashed into ``1 << BITS`` weights, so the model has a fixed size.
 
 Fitting takes a bounded sample: at most ``SAMPLE`` rated documents, the least
 by a hash of doc_id.  Scoring covers every whole text, in slices.
@@ -46,7 +48,6 @@ CACHE = 100_000
 
 def features(token: str) -> tuple[int, int]:
     """The hashed features of a token: its folded letters and its shape."""
-    token = token[:LONG] if len(token) > LONG else token
     shape = _LETTERS.sub(lambda m: "X" if m[0].isupper() and len(m[0]) > 1 else "Xx" if m[0][0].isupper() else "x", token)
     shape = _RUN.sub(r"\1", re.sub(r"\d", "9", shape))
     letters = "".join(_LETTERS.findall(token)).lower()
@@ -58,6 +59,21 @@ _REPEAT = zlib.crc32(b"repeat") & ((1 << BITS) - 1)
 _known: dict[str, tuple[int, int]] = {}
 
 
+def _pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+    """(row offsets, code of each piece, distinct pieces) of slices of rows: a token is one piece, a long one several."""
+    for _, bounds, codes, tokens in token_slices(column):
+        if max(map(len, tokens), default=0) > LONG:
+            place: dict[str, int] = {}
+            flat = [[place.setdefault(t[i : i + LONG], len(place)) for i in range(0, len(t), LONG)] for t in tokens]
+            sizes = np.array([len(f) for f in flat], dtype=np.int64)
+            starts = np.cumsum(sizes) - sizes
+            own = sizes[codes]
+            ends = np.cumsum(own)
+            codes = np.concatenate([np.array(f, dtype=np.int64) for f in flat])[np.repeat(starts[codes] - ends + own, own) + np.arange(int(ends[-1]))]
+            bounds, tokens = np.concatenate(([0], ends))[bounds], list(place)
+        yield bounds, codes, tokens
+
+
 def _token_features(tokens: list[str]) -> np.ndarray:
     if len(_known) + len(tokens) > CACHE:
         _known.clear()
@@ -79,7 +95,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sparse feature shares of (text, grade) rows."""
     for batch in batches:
         at, share, grades = [], [], batch.column(1)
-        for _, bounds, codes, tokens in token_slices(batch.column(0)):
+        for bounds, codes, tokens in _pieces(batch.column(0)):
             table, same = _token_features(tokens), _repeats(codes, bounds)
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 own = np.concatenate((table[codes[a:b]].ravel(), np.full(int(same[a:b].sum()), _REPEAT)))
@@ -157,7 +173,7 @@ def _score(shared):
         model: Model = shared.value
         for batch in batches:
             scores = [np.zeros(0)]
-            for _, bounds, codes, tokens in token_slices(batch.column(1)):
+            for bounds, codes, tokens in _pieces(batch.column(1)):
                 worth = model.weights[_token_features(tokens)].sum(axis=1)
                 value = worth[codes] + model.weights[_REPEAT] * _repeats(codes, bounds)
                 scores.append(row_sums(value, bounds) * SCALE / np.maximum(1, np.diff(bounds)))

@@ -88,6 +88,26 @@ def test_ordinal_thresholds_are_ordered_and_grades_follow():
     assert hit.mean() > 0.85
 
 
+def test_quality_reads_long_tokens_whole():
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    head = "".join(chr(0x4E00 + i) for i in range(ordinal.LONG))
+    pieces = [head, "好。" * 32, "A9!" * 5]
+    texts = [head, head + "好" * 70, head + "A9!" * 30, "".join(pieces), " ".join(pieces), "a b " + head + "x y", None, "a b"]
+    model = ordinal.Model(np.random.default_rng(2).normal(size=1 << ordinal.BITS), np.array([0.0]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    (out,) = ordinal._score(SimpleNamespace(value=model))(iter([batch]))
+    score = out.column("score").to_pylist()
+    assert len({round(x, 9) for x in score[:4]}) == 4  # all share their first LONG characters
+    assert score[3] == pytest.approx(score[4]) and score[6] == 0
+    (rows,) = ordinal._vectors(iter([pa.RecordBatch.from_arrays([batch.column(1), pa.array([0] * len(texts), pa.int32())], names=["text", "grade"])]))
+    at, share = rows.column("at").to_pylist(), rows.column("share").to_pylist()
+    assert len({tuple(a) for a in at[:4]}) == 4 and at[3] == at[4]
+    assert [model.weights[a] @ np.array(s) for a, s in zip(at[:6], share)] == pytest.approx(score[:6], rel=1e-5)
+
+
 def test_held_out_quality(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     out = toxicity.held_out(F.col("doc_id"))
