@@ -11,14 +11,19 @@ of a short and a long set is ever estimated.  Documents with fewer shingles
 than the item needs are passed over.  What a sketch hit proposes is verified
 on the whole sets.
 
+An item of fewer than ``width`` words is one shingle, its whole word sequence.
+It is contained in a document that holds this sequence anywhere: the
+documents' windows of its number of words are probed as well.
+
 Documents are read once and not shuffled.  Items are the query side: they go
 to the tasks in blocks of about ``BLOCK_SHINGLES`` shingles, one pass over
 the documents for each block, so a benchmark of any size fits.
 
 Defined cases: NULL or blank items match nothing, NULL or blank documents
-contain nothing; a text of fewer than ``width`` words is one shingle; of rows
-repeated with one id the best match counts; extra columns are ignored; empty
-tables give an empty table.
+contain nothing; a text of fewer than ``width`` words is one shingle, and in
+a document its shorter windows count for items as short; of rows repeated with
+one id the best match counts; extra columns are ignored; empty tables give an
+empty table.
 """
 
 from __future__ import annotations
@@ -53,19 +58,21 @@ def _index(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(H.shingle_sets(batch.column(1), width))
+            words = np.minimum(H.word_counts(batch.column(1)), width)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([sketch(s, percent).tobytes() for s in sets], pa.binary())],
-                names=["item_id", "n", "shingles", "sketch"],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([sketch(s, percent).tobytes() for s in sets], pa.binary()), pa.array(words, pa.int64())],
+                names=["item_id", "n", "shingles", "sketch", "words"],
             )
 
     return run
 
 
 class Block:
-    """The items of one block: sketch hash -> items, and their whole sets."""
+    """The items of one block: sketch hash -> items, and their whole sets.  ``short``: the numbers of words of items without a full shingle."""
 
-    def __init__(self, rows: list[tuple], percent: int):
+    def __init__(self, rows: list[tuple], width: int, percent: int):
         self.percent = percent
+        self.short = tuple(sorted({r[3] for r in rows if r[3] < width}))
         self.ids = [r[0] for r in rows]
         self.sets = [np.frombuffer(bytes(r[1]), np.uint64) for r in rows]
         self.sizes = np.array([len(s) for s in self.sets], dtype=np.int64)
@@ -82,8 +89,10 @@ class Block:
         likely = np.flatnonzero(self.table[hashes & np.uint64(_TABLE - 1)])
         own = hashes[likely]
         lo, hi = np.searchsorted(self.keys, own, "left"), np.searchsorted(self.keys, own, "right")
+        hit = np.flatnonzero(hi > lo)
+        hit = hit[np.unique(np.stack((rows[likely[hit]], lo[hit]), axis=1), axis=0, return_index=True)[1]]  # a repeated shingle once a row
         out: dict[int, set[int]] = {}
-        for i in np.flatnonzero(hi > lo).tolist():
+        for i in hit.tolist():
             out.setdefault(int(rows[likely[i]]), set()).update(self.owners[lo[i] : hi[i]].tolist())
         return out
 
@@ -94,9 +103,13 @@ def _search(block, width: int):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             found: list[tuple] = []
-            for hashes, rows in H.flat_shingles(batch.column(1), width):
-                for row, candidates in items.proposed(hashes, rows).items():
-                    own = np.unique(hashes[rows == row])
+            for hashes, rows in H.flat_shingles(batch.column(1), width, items.short):
+                proposed = items.proposed(hashes, rows)
+                if proposed:  # each row's shingles side by side
+                    order = np.argsort(rows, kind="stable")
+                    hashes, rows = hashes[order], rows[order]
+                for row, candidates in proposed.items():
+                    own = np.unique(hashes[np.searchsorted(rows, row, "left") : np.searchsorted(rows, row, "right")])
                     for c in sorted(candidates):
                         if 100 * len(own) < items.percent * items.sizes[c]:
                             continue
@@ -114,12 +127,12 @@ def contained(docs: DataFrame, items: DataFrame, width: int = 5, percent: int =
     """doc_id, item_id, n_item, n_shared, containment for every contained item of every document."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    index = saved(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id IS NOT NULL").mapInArrow(_index(width, percent), "item_id long, n long, shingles binary, sketch binary").where("n > 0"), "items")
+    index = saved(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id IS NOT NULL").mapInArrow(_index(width, percent), "item_id long, n long, shingles binary, sketch binary, words long").where("n > 0"), "items")
     blocks = max(1, math.ceil((index.agg(F.sum("n")).first()[0] or 0) / block_shingles))
     out = None
     for b in range(blocks):
-        rows = index.where(F.expr(f"pmod(xxhash64(item_id), {blocks}L) = {b}")).select("item_id", "shingles", "sketch").collect()  # about block_shingles
-        block = spark.sparkContext.broadcast(Block(sorted(map(tuple, rows)), percent))
+        rows = index.where(F.expr(f"pmod(xxhash64(item_id), {blocks}L) = {b}")).select("item_id", "shingles", "sketch", "words").collect()  # about block_shingles
+        block = spark.sparkContext.broadcast(Block(sorted(map(tuple, rows)), width, percent))
         part = texts.mapInArrow(_search(block, width), FOUND)
         out = part if out is None else out.union(part)
     best = out.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))

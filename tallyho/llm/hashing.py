@@ -143,8 +143,17 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
             at += count
 
 
-def flat_shingles(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Chunks of (shingle hashes, with repeats; their rows)."""
+def word_counts(column: pa.Array) -> np.ndarray:
+    """The number of words of each row."""
+    return np.concatenate([np.zeros(0, dtype=np.int64), *(counts for _, _, counts in word_hashes(column))])
+
+
+def flat_shingles(column: pa.Array, k: int, also: tuple[int, ...] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Chunks of (shingle hashes, with repeats; their rows).
+
+    ``also``: numbers of words below ``k`` whose windows are given too; a
+    window hashes as a text that is that word sequence.
+    """
     for first, words, counts in word_hashes(column):
         full = _full(words, k)
         rows = np.repeat(np.arange(len(counts)), counts)
@@ -152,7 +161,13 @@ def flat_shingles(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.nda
         ends = np.cumsum(counts)
         few = np.flatnonzero((counts > 0) & (counts < k))
         short = [_short(words[ends[i] - counts[i] : ends[i]]) for i in few.tolist()]
-        yield np.concatenate((full[inside], *short)), first + np.concatenate((rows[: len(full)][inside], few))
+        hashes, owners = [full[inside], *short], [rows[: len(full)][inside], few]
+        for n in also:
+            window = _full(words, n)
+            inside = rows[: len(window)] == rows[n - 1 :]
+            hashes.append(window[inside])
+            owners.append(rows[: len(window)][inside])
+        yield np.concatenate(hashes), first + np.concatenate(owners)
 
 
 def digest(values: np.ndarray) -> bytes:

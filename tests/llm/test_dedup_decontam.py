@@ -142,3 +142,31 @@ def test_containment_is_that_of_brute_force(spark):
     assert {x["doc_id"] for x in clean.collect()} == {d for d, _ in docs} - {d for d, _ in found}
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contained(df, empty).collect() == []
+
+
+def test_items_below_the_shingle_width_are_found_inside_documents(spark):
+    items = [(1, "Paris"), (2, "forty  two"), (3, "a b c"), (4, "w x y z"), (5, "one two three four five"), (6, "b c"), (6, "c d")]
+    docs = [
+        (1, "the capital is PARIS of course and nothing else " + "pad " * 40),
+        (2, "forty two"),
+        (3, "pad " * 30 + "forty\ntwo"),
+        (4, "forty pad two a b pad c paris. " * 9),
+        (5, "a b c d"),
+        (6, "say w x y z again and w x y z again"),
+        (7, "zero one two three four five six"),
+        (8, "one two three four"),
+        (9, "w x y"),
+        (10, None),
+        (11, " "),
+        (12, "paris"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    spread = lambda t: f" {' '.join(_WORD.findall((t or '').lower()))} "
+    want = {(d, i) for d, t in docs for i, item in items if spread(item) in spread(t)}
+    assert {(3, 2), (1, 1), (6, 4), (5, 6)} < want
+    for block in (1_000_000, 1):
+        got = decontam.contained(df, bench, block_shingles=block).collect()
+        assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted(want)
+        assert all(r["n_item"] == r["n_shared"] == 1 for r in got)
+    assert {r["doc_id"] for r in decontam.decontaminated(df, bench).collect()} == {d for d, _ in docs} - {d for d, _ in want}
