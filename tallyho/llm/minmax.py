@@ -18,7 +18,8 @@ values.  Five values make a band: a pair at similarity 0.8 shares none of the
    threshold), the full sets confirm the rest, and a block returns no more
    than a spanning forest of the links it confirms.
 
-No pair of a bucket is left out, so the components are those of all links
+No pair of a bucket is left out (one that met in an earlier band, by the whole
+64-bit bucket key, was compared there), so the components are those of all links
 that share a band.  Defined cases: NULL or blank text has an empty set and
 is linked with nothing; rows repeated with one id count once; extra columns
 are ignored; an empty table gives an empty table.
@@ -89,7 +90,7 @@ def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [one.tobytes() for one in H.shingle_sets(batch.column(1), width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary()), batch.column(2)], names=["id", "shingles", "sign"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary()), batch.column(2), batch.column(3)], names=["id", "shingles", "sign", "bands"])
 
     return run
 
@@ -131,6 +132,7 @@ def _block_links(percent: int, least_estimate: float):
             lroot, rroot = (t.column("root").to_numpy() for t in (left, right))
             rleft = right.column("is_left").to_numpy(zero_copy_only=False)
             ls, rs = (np.frombuffer(b"".join(t.column("sign").to_pylist()), np.uint16).reshape(t.num_rows, -1) for t in (left, right))
+            lmet, rmet = (t.column("bands").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)[:, :band] for t in (left, right))
             lset, rset = ([np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()] for t in (left, right))
             parent = {int(x): int(x) for x in (*lroot, *rroot)}
 
@@ -141,9 +143,8 @@ def _block_links(percent: int, least_estimate: float):
                 return x
 
             for i in range(len(lid)):
-                same = rs == ls[i]
-                first = same.reshape(len(rid), BANDS, BAND).all(axis=2)[:, :band].any(axis=1)  # met in an earlier band
-                fit = (same.mean(axis=1) >= least_estimate) & ~first & (rroot != lroot[i]) & (~rleft | (rid > lid[i]))
+                first = (rmet == lmet[i]).any(axis=1)  # met in the bucket of an earlier band
+                fit = ((rs == ls[i]).mean(axis=1) >= least_estimate) & ~first & (rroot != lroot[i]) & (~rleft | (rid > lid[i]))
                 for j in np.flatnonzero(fit).tolist():
                     x, y = top(int(lroot[i])), top(int(rroot[j]))
                     if x != y and _linked(lset[i], rset[j], percent):
@@ -174,8 +175,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     members = crowded.select("id").distinct()
     # A repeated id has one text here: the row whose set stands in reps.
     texts = docs.join(members, docs.doc_id == members.id, "left_semi").select("doc_id", "text")
-    signs = reps.select("doc_id", "sign")
-    sets = saved(texts.join(signs, "doc_id").select("doc_id", "text", "sign").mapInArrow(_sets(width), "id long, shingles binary, sign binary").dropDuplicates(["id"]), "sets")
+    signs = reps.select("doc_id", "sign", "bands")
+    sets = saved(texts.join(signs, "doc_id").select("doc_id", "text", "sign", "bands").mapInArrow(_sets(width), "id long, shingles binary, sign binary, bands array<long>").dropDuplicates(["id"]), "sets")
 
     pairs = crowded.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     x, y = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
@@ -189,7 +190,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rest = rest.selectExpr("*", f"CAST(ceil(n_left / {BLOCK}) AS INT) AS lefts", f"CAST(ceil(n / {BLOCK}) AS INT) AS rights")
     rest = saved(rest.join(sets, "id"), "open-buckets")
     key = ["band", "bucket", "lb", "rb"]
-    cols = [F.col(c).alias(c) for c in ("band", "bucket", "lb", "rb", "id", "root", "is_left", "shingles", "sign")]
+    cols = [F.col(c).alias(c) for c in ("band", "bucket", "lb", "rb", "id", "root", "is_left", "shingles", "sign", "bands")]
     left = rest.where("is_left").withColumn("lb", F.expr("pmod(xxhash64(id), lefts)")).withColumn("rb", F.explode(F.expr("sequence(0L, rights - 1L)"))).select(*cols)
     right = rest.withColumn("rb", F.expr("pmod(xxhash64(id, 1), rights)")).withColumn("lb", F.explode(F.expr("sequence(0L, lefts - 1L)"))).select(*cols)
     threshold = percent / 100

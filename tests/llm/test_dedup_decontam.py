@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -102,6 +103,19 @@ def test_open_buckets_in_several_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == groups({d: shingles(t, 4) for d, t in rows}, 80)
 
 
+def test_pairs_with_one_bucket_only_are_compared_in_it():
+    # Minima of large sets agree in the bits that the signature keeps; the band keys still differ.
+    keys = np.arange(2 * minmax.BANDS).reshape(2, -1)
+    keys[1, 7] = keys[0, 7]
+    words = np.arange(100, dtype=np.uint64)
+    sign = np.zeros(2 * minmax.PERMUTATIONS, np.uint16).tobytes()
+    row = lambda i, left: pa.table({"band": pa.array([7], pa.int32()), "id": [i], "root": [i], "is_left": [left], "shingles": [words[i:].tobytes()], "sign": [sign], "bands": pa.array([keys[i].tolist()], pa.list_(pa.int64()))})
+    compare = minmax._block_links(80, 0.6)
+    assert compare(row(0, True), row(1, False)).to_pylist() == [{"a": 0, "b": 1}]
+    keys[1, 3] = keys[0, 3]  # a pair that met in an earlier bucket was compared there
+    assert compare(row(0, True), row(1, False)).to_pylist() == []
+
+
 def test_components_of_chains_stars_and_repeats(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 150)] + [(7, 3), (200, 200), (None, 4), (149, 300)]
     got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
