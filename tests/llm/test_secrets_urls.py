@@ -108,3 +108,33 @@ def test_captures_are_judged_as_of_their_fetch(spark):
     assert got[10]["host"] is None and got[10]["n_active"] == 0
     assert U.judged(c.limit(0), e).collect() == []
     assert not any(r["blocked"] for r in U.judged(c, e.limit(0)).collect())
+
+
+def test_refetched_repeated_and_keyless_captures_are_judged_row_by_row(spark):
+    day = lambda d, m=1: datetime(2024, m, d)
+    events = [("bad", "block", "domain", "spam.example", "add", day(10)), ("bad", "block", "domain", "spam.example", "remove", day(1, 3)), ("more", "block", "host", "a.spam.example", "add", day(1))]
+    captures = [
+        (1, "http://spam.example", day(9)),
+        (1, "http://spam.example", day(10)),
+        (1, "http://spam.example", day(2, 3)),
+        (1, "http://other.example", day(10)),
+        (2, "http://a.spam.example", day(11)),
+        (2, "http://a.spam.example", day(11)),
+        (2, "http://a.spam.example/again", day(11)),
+        (None, "http://spam.example", day(12)),
+        (None, "http://spam.example", day(12)),
+        (None, "http://spam.example", day(5)),
+        (None, None, day(12)),
+        (None, "http://spam.example", None),
+        (None, None, None),
+    ]
+    want = [0, 1, 0, 0, 2, 2, 2, 1, 1, 0, 0, 0, 0]
+    c = spark.createDataFrame([(*x, i) for i, x in enumerate(captures)], "page_id long, url string, fetched_at timestamp, n int")
+    e = spark.createDataFrame(events, "list_name string, verdict string, scope string, name string, event string, at timestamp")
+    judged = U.judged(c, e, salts=3)
+    assert judged.columns == ["page_id", "url", "fetched_at", "n", "host", "n_active", "block_lists", "allow_lists", "blocked"]
+    got = {r["n"]: r for r in judged.collect()}
+    assert judged.count() == len(captures) == len(got)
+    assert [got[i]["n_active"] for i in range(len(captures))] == want
+    assert [got[i]["blocked"] for i in range(len(captures))] == [n > 0 for n in want]
+    assert got[4]["block_lists"] == ["bad", "more"] and got[7]["block_lists"] == ["bad"]
