@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyho.llm import blob_ledger, decontam, minmax, ordinal, packing
-from tallyho.llm.components import saved
+from tallyho.llm.components import row_keyed, saved
 from tallyho.llm.queries import grades, table, tokenizer
 from tallyho.session import scratch_path
 
@@ -23,9 +23,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near-duplicates."""
-    dropped = saved(minmax.near_duplicates(docs, width=5, percent=80).where("NOT kept").select("doc_id"), "near-duplicates")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """The document with the least id of each group of near-duplicates, one row of it; rows that share an id or have none are documents of their own."""
+    rows = row_keyed(docs)
+    dropped = saved(minmax.near_duplicates(rows.select(F.col("__row_key").alias("doc_id"), "text"), width=5, percent=80).where("NOT kept").select(F.col("doc_id").alias("__row_key")), "near-duplicates")
+    return rows.join(dropped, "__row_key", "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if tuple(row) == state:
             return now.select(F.col("u").alias("id"), F.col("v").alias("root")).union(now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
         state = tuple(row)
+
+
+def row_keyed(docs: DataFrame, column: str = "__row_key") -> DataFrame:
+    """``docs`` with a key of its own for each row, in the order of doc_id (NULL last).
+
+    The key is doc_id where that is unique and not NULL; else the rows are
+    sorted and stored with a number, so a reread gives the same keys.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.where("n > 1 OR doc_id IS NULL").isEmpty():
+        return docs.withColumn(column, F.col("doc_id").cast("long"))
+    ordered = docs.withColumn(column, F.monotonically_increasing_id()).orderBy(F.asc_nulls_last("doc_id"), column)
+    return saved(ordered.withColumn(column, F.monotonically_increasing_id()), "row-keyed")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyho.llm import hashing as H
-from tallyho.llm.components import saved
+from tallyho.llm.components import row_keyed, saved
 
 BLOCK_SHINGLES = 1_000_000
 _TABLE = 1 << 20
@@ -140,6 +140,7 @@ def contained(docs: DataFrame, items: DataFrame, width: int = 5, percent: int =
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that contain no item; rows with a NULL id stay."""
-    found = saved(contained(docs, items, width, percent).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """The rows whose text contains no item, each judged by its own text, whether its id is unique, repeated or NULL."""
+    rows = row_keyed(docs)
+    found = saved(contained(rows.select(F.col("__row_key").alias("doc_id"), "text"), items, width, percent).select(F.col("doc_id").alias("__row_key")).distinct(), "contaminated")
+    return rows.join(found, "__row_key", "left_anti").select(docs.columns)

@@ -222,3 +222,32 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert again == 0 and seen[3][1].where("text LIKE '%[SECRET]%'").count() > 0
     packed = seen[4][1].groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in seen[3][1].collect()} and all(r["n"] == r["m"] for r in packed)
+
+
+def test_stages_judge_rows_that_share_an_id_or_have_none(spark):
+    import corpus_pipeline as P
+    from tallyho.llm import decontam
+
+    words = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    rows = [
+        (7, words(0, 60), 0),
+        (7, words(0, 60), 0),
+        (3, words(0, 59), 1),
+        (None, words(0, 60), 2),
+        (None, words(100, 160), 3),
+        (None, words(100, 160), 3),
+        (9, words(200, 260), 4),
+        (9, words(300, 360), 5),
+        (None, None, 6),
+        (None, None, 6),
+        (2**62, words(100, 161), 7),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(4)
+    kept = P.near_dedup(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(r["n"] for r in kept.collect()) == [1, 4, 5, 6, 6, 7]  # the least id, NULL last, and blank rows as they are
+    items = spark.createDataFrame([(1, words(110, 130)), (2, words(310, 330))], "item_id long, text string")
+    clean = decontam.decontaminated(docs, items)
+    assert clean.columns == docs.columns
+    assert sorted(r["n"] for r in clean.collect()) == [0, 0, 1, 2, 4, 6, 6]
+    assert decontam.decontaminated(docs.limit(0), items).collect() == []
