@@ -17,7 +17,9 @@ documents' windows of its number of words are probed as well.
 
 Documents are read once and not shuffled.  Items are the query side: they go
 to the tasks in blocks of about ``BLOCK_SHINGLES`` shingles, one pass over
-the documents for each block, so a benchmark of any size fits.
+the documents for each block.  A block's matches are stored and its items
+freed before the next is collected, so the driver and the tasks hold one
+block, however large the benchmark; one item must fit into memory.
 
 Defined cases: NULL or blank items match nothing, NULL or blank documents
 contain nothing; a text of fewer than ``width`` words is one shingle, and in
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -129,13 +132,14 @@ def contained(docs: DataFrame, items: DataFrame, width: int = 5, percent: int =
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     index = saved(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id IS NOT NULL").mapInArrow(_index(width, percent), "item_id long, n long, shingles binary, sketch binary, words long").where("n > 0"), "items")
     blocks = max(1, math.ceil((index.agg(F.sum("n")).first()[0] or 0) / block_shingles))
-    out = None
+    parts = []
     for b in range(blocks):
         rows = index.where(F.expr(f"pmod(xxhash64(item_id), {blocks}L) = {b}")).select("item_id", "shingles", "sketch", "words").collect()  # about block_shingles
         block = spark.sparkContext.broadcast(Block(sorted(map(tuple, rows)), width, percent))
-        part = texts.mapInArrow(_search(block, width), FOUND)
-        out = part if out is None else out.union(part)
-    best = out.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
+        parts.append(saved(texts.mapInArrow(_search(block, width), FOUND), f"matches-{b}"))
+        block.destroy()
+        del rows, block
+    best = reduce(DataFrame.union, parts).groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
     return best.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 

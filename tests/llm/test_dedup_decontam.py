@@ -184,3 +184,24 @@ def test_items_below_the_shingle_width_are_found_inside_documents(spark):
         assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted(want)
         assert all(r["n_item"] == r["n_shared"] == 1 for r in got)
     assert {r["doc_id"] for r in decontam.decontaminated(df, bench).collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def test_one_block_of_items_is_held_at_a_time(spark, monkeypatch):
+    live, most = set(), []
+    make = type(spark.sparkContext).broadcast
+
+    def broadcast(context, value):
+        shared = make(context, value)
+        live.add(id(shared))
+        most.append(len(live))
+        destroy = shared.destroy
+        shared.destroy = lambda *a: (live.discard(id(shared)), destroy(*a))
+        return shared
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    text = lambda a: " ".join(f"w{i}" for i in range(a, a + 20))
+    items = spark.createDataFrame([(i, text(100 * i)) for i in range(12)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, "x " + text(100 * i) + " y") for i in range(12)], "doc_id long, text string")
+    got = decontam.contained(docs, items, block_shingles=40)
+    assert len(most) == 5 and max(most) == 1 and not live
+    assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(i, i) for i in range(12)]
