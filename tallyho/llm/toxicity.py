@@ -3,8 +3,9 @@
 Kernel.  Two words are compared by their common subsequences of ``P`` letters,
 gaps allowed: each occurrence weighs ``DECAY`` to the power of the letters it
 spans, and the kernel is normalized, so ``id1iot`` or ``stu-p-id`` stay close
-to the plain insult.  Letters are folded; other characters inside a token are
-dropped, and runs of single-letter tokens are read as one word too.  Two
+to the plain insult.  Letters are folded; a single 0, 1, 3, 4, 5, 7, @ or $
+between two letters is read as the letter it looks like, other characters
+inside a token are dropped, and runs of single-letter tokens are read as one word too.  Two
 sentences are compared by the sum of the kernels of their words, which is
 linear in the words: a sentence's score is the sum of its words' scores.
 
@@ -52,8 +53,15 @@ _NOT_LETTER = re.compile(r"[\W\d_]+")
 _SENTENCE_END = re.compile(r"[.!?|;:]+$")
 
 
+_LOOKS = str.maketrans("013457@$", "oieastas")
+_LOOK_ALIKE = re.compile(r"(?<=[^\W\d_])[013457@$](?=[^\W\d_])")
+
+
 def fold(token: str) -> str:
-    return _NOT_LETTER.sub("", token).lower()
+    """The lower-cased letters; a single sign that looks like a letter, between two letters, is read as it."""
+    if not token.isalpha():
+        token = _NOT_LETTER.sub("", _LOOK_ALIKE.sub(lambda m: m[0].translate(_LOOKS), token))
+    return token.lower()
 
 
 def windows(word: str) -> list[str]:

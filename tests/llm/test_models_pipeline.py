@@ -44,6 +44,13 @@ def test_prefilter_is_the_common_subsequence_length():
         assert got.tolist() == [lcs(x, w) for x in words]
 
 
+def test_look_alikes_in_place_of_letters_score_as_the_word():
+    marks = toxicity.Landmarks(["moron", "loser", "stupid"])
+    hidden = ["m0r0n", "L0s3r", "s7up1d", "lo$er", "mor0n!"]
+    assert marks.kernel([toxicity.fold(w) for w in hidden]).max(axis=1) == pytest.approx(np.ones(len(hidden)))
+    assert [toxicity.fold(w) for w in ("5th", "2019", "c3", "i-d-i-o-t", "x100y", "Éa_b")] == ["th", "", "c", "idiot", "xy", "éab"]
+
+
 def test_held_out_toxicity_and_inserted_characters(spark):
     big = SF.replace("0.01", "0.1")
     docs, labels = table(spark, big, "documents"), table(spark, big, "labels")
