@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import blob_ledger, chat_parts, decontam, huffman, imatch, minmax, ordinal, packing, toxicity, url_lists
+from tallyho.llm import blob_ledger, chat_parts, collocations, decontam, huffman, imatch, minmax, ordinal, packing, toxicity, url_lists
 from tallyho.llm.components import saved
 from tallyho.session import scratch_path
 
@@ -110,7 +110,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "fetched_at", F.col("n_active").cast("long").alias("n_active"), F.array_join("block_lists", ",").alias("block_lists"), F.array_join("allow_lists", ",").alias("allow_lists"), "blocked")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_decontamination, op4_secret_scan, op5_quality, op6_chat_format, op7_token_files, op8_imatch, op9_minmax_dedup, op10_url_filter)}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_decontamination, op4_secret_scan, op5_quality, op6_chat_format, op7_token_files, op8_imatch, op9_minmax_dedup, op10_url_filter, op11_collocations)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -193,5 +197,25 @@ FROM documents LEFT JOIN g USING (doc_id)
 """
 )
 
+OP11 = r"""
+WITH p AS (SELECT row_number() OVER () AS p, lang, w FROM (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents))
+  WHERE len(w) > 0),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p CROSS JOIN (VALUES (1), (2), (3)) s(k)) GROUP BY ALL),
+c AS (SELECT * FROM g WHERE k > 1 AND a >= 10),
+split AS (SELECT *, array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS head, array_to_string(string_split(phrase, ' ')[cut + 1:k], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+cuts AS (SELECT s.lang, s.phrase, s.k, s.a, cut, u.a AS l, v.a AS r, (1000000::HUGEINT * s.a * s.a) // (u.a::HUGEINT * v.a) AS score
+  FROM split s JOIN g u ON u.lang = s.lang AND u.phrase = s.head JOIN g v ON v.lang = s.lang AND v.phrase = s.tail),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner3 AS (SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase FROM c WHERE k = 3),
+kept AS (SELECT * FROM low WHERE NOT EXISTS (SELECT 1 FROM inner3 x WHERE x.lang = low.lang AND x.phrase = low.phrase AND 100 * x.a >= 50 * low.a)),
+n AS (SELECT lang, sum(a) AS n FROM g WHERE k = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
 #: Models (1, 5), tokenizers (2, 7) and seeded fingerprints (8) have no SQL; tests hold them against brute force.
-ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op4_secret_scan": OP4, "op6_chat_format": OP6, "op9_minmax_dedup": OP9, "op10_url_filter": OP10}
+ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op4_secret_scan": OP4, "op6_chat_format": OP6, "op9_minmax_dedup": OP9, "op10_url_filter": OP10, "op11_collocations": OP11}
