@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import blob_ledger, chat_parts, collocations, decontam, huffman, imatch, minmax, ordinal, packing, toxicity, url_lists
+from tallyho.llm import blob_ledger, chat_parts, collocations, decontam, huffman, imatch, mask_search, minmax, ordinal, packing, toxicity, url_lists
 from tallyho.llm.components import saved
 from tallyho.session import scratch_path
 
@@ -114,7 +114,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_decontamination, op4_secret_scan, op5_quality, op6_chat_format, op7_token_files, op8_imatch, op9_minmax_dedup, op10_url_filter, op11_collocations)}
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_decontamination, op4_secret_scan, op5_quality, op6_chat_format, op7_token_files, op8_imatch, op9_minmax_dedup, op10_url_filter, op11_collocations, op13_lexical_search)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -217,5 +221,19 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
 """
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP13 = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+s AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, sum(len(t))::BIGINT AS n_words FROM d),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term),
+v AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_words))) AS v FROM tf JOIN w USING (term), s),
+r AS (SELECT item_id, doc_id, sum(v)::BIGINT AS score FROM q JOIN v USING (term) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 10
+"""
+
 #: Models (1, 5), tokenizers (2, 7) and seeded fingerprints (8) have no SQL; tests hold them against brute force.
-ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op4_secret_scan": OP4, "op6_chat_format": OP6, "op9_minmax_dedup": OP9, "op10_url_filter": OP10, "op11_collocations": OP11}
+ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op4_secret_scan": OP4, "op6_chat_format": OP6, "op9_minmax_dedup": OP9, "op10_url_filter": OP10, "op11_collocations": OP11, "op13_lexical_search": OP13}
