@@ -14,7 +14,7 @@ per language.  The documents are dealt into ``SHARDS`` shards.
    pass; the support is applied to these counts.
 
 Which phrases are worth counting is told to the tasks by a bitmap over phrase
-hashes: 16 bits a phrase, ``MOST_BITS`` at most whatever the corpus.  A bit
+hashes of bounded size (``bitmaps``).  A bit
 that is set for another phrase, or a hash that two phrases share, only has
 more phrases counted, as step 3 counts words, not hashes; a full bitmap costs
 shuffle, never results.
@@ -43,6 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyho.llm.bitmaps import bitmap
 from tallyho.llm.components import saved
 from tallyho.llm.hashing import mix, stream
 from tallyho.llm.wordscan import Words, byte_set, scanned
@@ -53,7 +54,6 @@ SUPPORT = 10
 LONGEST = 3
 TOP = 2000
 SALT = 64
-MOST_BITS = 1 << 27
 BUFFER = 1 << 21  # phrase hashes added up in a task before they go on
 BREAKS = byte_set(*b".,;:!?", range(0x0A, 0x0E))
 LETTERS = ~(BREAKS | byte_set(0x20, 0x09))
@@ -63,42 +63,7 @@ _SHARD = stream(42, 256)
 _ALL = _SHARD[-1]  # stands for all shards together
 
 
-class Bitmap:
-    """A set of 64-bit numbers that may hold a few more."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = words
-        self.mask = _U(64 * len(words) - 1)
-
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        at = mix(hashes) & self.mask
-        return (self.words[at >> _U(6)] >> (at & _U(63))) & _U(1) > 0
-
-
-def _set_bits(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = np.zeros(size // 64, dtype=np.uint64)
-        for batch in batches:
-            at = mix(batch.column(0).to_numpy().view(np.uint64)) & _U(size - 1)
-            np.bitwise_or.at(words, at >> _U(6), _U(1) << (at & _U(63)))
-        used = np.flatnonzero(words)
-        for i in range(0, len(used), 65_536):
-            own = used[i : i + 65_536]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(words[own].view(np.int64))], names=["word", "bits"])
-
-    return run
-
-
-def bitmap(hashes: DataFrame, n: int, most_bits: int = MOST_BITS) -> Bitmap:
-    """A bitmap of the one column of ``hashes``, of ``n`` rows; at most ``most_bits`` / 64 numbers come to the driver."""
-    size = min(most_bits, max(1 << 12, 1 << (16 * max(1, n) - 1).bit_length()))
-    words = np.zeros(size // 64, dtype=np.uint64)
-    got = hashes.mapInArrow(_set_bits(size), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    return Bitmap(words)
-
-
-def _grams(w: Words, group: np.ndarray, seeds: np.ndarray, salts: np.ndarray, longest: int, known: list[Bitmap | None]) -> Iterator[tuple]:
+def _grams(w: Words, group: np.ndarray, seeds: np.ndarray, salts: np.ndarray, longest: int, known: list) -> Iterator[tuple]:
     """For each number of words k: (first word of each distinct phrase of a group, its group, its hash, how often it occurs).
 
     ``group``: the group of each word; ``seeds`` and ``salts``: what its
@@ -205,7 +170,7 @@ def _count(longest: int, united):
 
 
 def _bitmap_of(spark: SparkSession, mined: DataFrame, n: int, by_shard: bool):
-    """A broadcast bitmap of phrase hashes, bounded by ``MOST_BITS``."""
+    """A broadcast bitmap of phrase hashes."""
     salts = F.array(*(F.lit(int(x)) for x in _SHARD[:SHARDS_MOST].view(np.int64)))
     salt = F.get(salts, F.col("shard")) if by_shard else F.lit(int(_ALL.view(np.int64)))
     return spark.sparkContext.broadcast(bitmap(mined.select(F.col("gram").bitwiseXOR(salt).alias("key")), n))

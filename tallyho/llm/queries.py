@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import blob_ledger, chat_parts, collocations, decontam, huffman, imatch, mask_search, minmax, ordinal, packing, toxicity, url_lists
+from tallyho.llm import blob_ledger, chat_parts, collocations, decontam, huffman, imatch, mask_search, minmax, ordinal, packing, pii_patterns, toxicity, url_lists
 from tallyho.llm.components import saved
 from tallyho.session import scratch_path
 
@@ -114,11 +114,18 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_patterns.detected(table(spark, sf_dir, "documents"))
+    count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long").alias(f"n_{pii_patterns.KINDS[i]}")
+    own, more = pii_patterns.span_text(F.col("base")), pii_patterns.span_text(F.col("added"), "_context")
+    return found.select("doc_id", *map(count, range(4)), F.sha2(own, 256).alias("base_sha256"), F.concat_ws(",", F.nullif(own, F.lit("")), F.nullif(more, F.lit(""))).alias("spans"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_decontamination, op4_secret_scan, op5_quality, op6_chat_format, op7_token_files, op8_imatch, op9_minmax_dedup, op10_url_filter, op11_collocations, op13_lexical_search)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_decontamination, op4_secret_scan, op5_quality, op6_chat_format, op7_token_files, op8_imatch, op9_minmax_dedup, op10_url_filter, op11_collocations, op12_pii, op13_lexical_search)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -235,5 +242,5 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM r WHERE score > 0 QUALIFY rank <= 10
 """
 
-#: Models (1, 5), tokenizers (2, 7) and seeded fingerprints (8) have no SQL; tests hold them against brute force.
+#: Models (1, 5), tokenizers (2, 7), seeded fingerprints (8) and learnt contexts (12) have no SQL; tests hold them against brute force.
 ORACLE: dict[str, str] = {"op3_decontamination": OP3, "op4_secret_scan": OP4, "op6_chat_format": OP6, "op9_minmax_dedup": OP9, "op10_url_filter": OP10, "op11_collocations": OP11, "op13_lexical_search": OP13}

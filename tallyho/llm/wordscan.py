@@ -40,6 +40,8 @@ class Words:
     starts: np.ndarray  # first byte, and the byte behind the last, within the chunk
     ends: np.ndarray
     data: np.ndarray  # the chunk's bytes
+    first: int  # its first row, and where each of its rows begins
+    bounds: np.ndarray
 
 
 def _chunk(data: np.ndarray, bounds: np.ndarray, first: int, letters: np.ndarray, cuts: np.ndarray) -> Words:
@@ -58,7 +60,7 @@ def _chunk(data: np.ndarray, bounds: np.ndarray, first: int, letters: np.ndarray
     kept = np.ascontiguousarray(_FOLD[data[letter]])
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
     coded = words.dictionary_encode()
-    return Words(row + first, pieces, coded.indices.to_numpy().astype(np.int64), coded.dictionary, starts, ends, data)
+    return Words(row + first, pieces, coded.indices.to_numpy().astype(np.int64), coded.dictionary, starts, ends, data, first, bounds)
 
 
 def scanned(column: pa.Array, letters: np.ndarray, cuts: np.ndarray | None, most: int = CHUNK) -> Iterator[Words]:

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from tallyho.llm import collocations as C
+from tallyho.llm.bitmaps import Bitmap
 from tallyho.llm.wordscan import scanned
 
 SCHEMA = "doc_id long, lang string, text string, k string, phrase string, n long"
@@ -74,7 +75,7 @@ def test_longer_phrases_ties_and_top(spark):
 
 def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
     rows = corpus(8)
-    monkeypatch.setattr(C, "bitmap", lambda hashes, n: C.Bitmap(np.full(1, 2**64 - 1, dtype=np.uint64)))
+    monkeypatch.setattr(C, "bitmap", lambda hashes, n: Bitmap(np.full(1, 2**64 - 1, dtype=np.uint64)))
     assert run(spark, rows, support=6) == brute(rows, 6)
 
 
