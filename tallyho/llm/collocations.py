@@ -54,7 +54,8 @@ SUPPORT = 10
 LONGEST = 3
 TOP = 2000
 SALT = 64
-BUFFER = 1 << 21  # phrase hashes added up in a task before they go on
+BUFFER = 1 << 20  # phrase hashes added up in a task before they go on
+CHUNK = 2 << 20
 BREAKS = byte_set(*b".,;:!?", range(0x0A, 0x0E))
 LETTERS = ~(BREAKS | byte_set(0x20, 0x09))
 _U = np.uint64
@@ -127,7 +128,7 @@ def _mine(level: int, known):
         for batch in batches:
             group, seeds, salts, own = _grouped(batch)
             shards = np.array([shard for _, shard in own])
-            for w in scanned(batch.column(2), LETTERS, BREAKS):
+            for w in scanned(batch.column(2), LETTERS, BREAKS, CHUNK):
                 for k, _, groups, hashes, n in _grams(w, group[w.rows], seeds, salts, level, maps):
                     if k == level:
                         for shard in np.unique(shards[groups]).tolist():
@@ -152,7 +153,7 @@ def _count(longest: int, united):
             group = np.array([place[x] for x in langs], dtype=np.int64)
             seeds = np.array([xxhash.xxh3_64_intdigest(x) for x in place], dtype=np.uint64)
             salts = np.full(len(place), _ALL)
-            for w in scanned(batch.column(2), LETTERS, BREAKS):
+            for w in scanned(batch.column(2), LETTERS, BREAKS, CHUNK):
                 total = np.bincount(group[w.rows], minlength=len(place))
                 yield pa.RecordBatch.from_arrays([names, pa.array(np.zeros(len(place)), pa.int32()), pa.array([""] * len(place), pa.string()), pa.array(total, pa.int64())], names=["lang", "k", "phrase", "n"])
                 for k, first, groups, hashes, n in _grams(w, group[w.rows], seeds, salts, longest, [known] * (longest - 1)):
