@@ -1,6 +1,6 @@
 """Bitmaps over 64-bit hashes, made by Spark and small enough to broadcast.
 
-A bitmap has 16 bits for each hash of the set, and ``MOST_BITS`` at most
+A bitmap has ``room`` bits for each hash of the set, and ``MOST_BITS`` at most
 whatever the set: beyond that it holds ever more hashes that are not in the
 set, so it may only be used where those cost work, never results.
 """
@@ -46,9 +46,9 @@ def _set_bits(size: int):
     return run
 
 
-def bitmap(hashes: DataFrame, n: int, most_bits: int = MOST_BITS) -> Bitmap:
+def bitmap(hashes: DataFrame, n: int, room: int = 16, most_bits: int = MOST_BITS) -> Bitmap:
     """A bitmap of the one column of ``hashes``, of ``n`` rows; at most ``most_bits`` / 64 numbers come to the driver."""
-    size = min(most_bits, max(1 << 12, 1 << (16 * max(1, n) - 1).bit_length()))
+    size = min(most_bits, max(1 << 12, 1 << (room * max(1, n) - 1).bit_length()))
     words = np.zeros(size // 64, dtype=np.uint64)
     got = hashes.mapInArrow(_set_bits(size), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     words[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)

@@ -20,8 +20,8 @@ patterns of at least ``STRONG`` confidence.  Identifiers whose belief reaches
 seeds do, for ``ROUNDS`` rounds, each one reading of the documents.
 
 The pattern set reaches the tasks as a bitmap of bounded size; the exact join
-is on the stored tables.  Contexts are pre-aggregated in the tasks, so a
-pattern in a third of all rows sends one row a task and chunk.
+is on the stored tables.  Plain words are added up in the tasks, so a pattern
+in a third of all rows sends one row a task.
 
 Spans are in code points, the end exclusive.  Added spans carry the kind with
 ``_context`` behind it; of added spans that overlap, the first stays, and none
@@ -54,6 +54,8 @@ SUPPORT = 3
 STRONG = 0.6
 STEPS = 3
 ROUNDS = 2
+ROOM = 1024  # bits for each pattern, so one context in a thousand is taken for a pattern and sent on
+BUFFER = 1 << 19  # patterns whose plain words a task adds up before they go on
 LETTERS = byte_set(range(0x30, 0x3A), range(0x41, 0x5B), range(0x61, 0x7B), range(0x80, 0x100))
 _U = np.uint64
 _PLACE, _FORM = stream(51, 3) | _U(1), stream(52, 3)
@@ -233,6 +235,7 @@ def _candidates(w: Words, words: np.ndarray) -> np.ndarray:
 def _filled(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
+        sums: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             texts = batch.column(1).fill_null("")
             for w in _whole_rows(texts):
@@ -259,13 +262,26 @@ def _filled(shared):
                 yield from _identifiers(batch, texts, lexed, out, slots, patterns)
                 base_words = _base_words(texts, lexed, words)
                 plain = ~np.isin(slots, np.concatenate((np.array(taken, dtype=np.int64), base_words)))
-                distinct, n = np.unique(patterns[plain], return_counts=True)
-                size = len(distinct)
-                yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.nulls(size, pa.string()), pa.array(n, pa.int64()), *(pa.nulls(size, f.type) for f in list(_ARROW_FILLS)[3:])], schema=_ARROW_FILLS)
+                sums.append(np.unique(patterns[plain], return_counts=True))
+                if sum(len(x) for x, _ in sums) > BUFFER:
+                    sums = [_added(sums)]
+                    if len(sums[0][0]) > BUFFER // 2:
+                        yield _plain(*sums.pop())
+        if sums:
+            yield _plain(*_added(sums))
 
     return run
 
 
+def _added(sums: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    patterns, inverse = np.unique(np.concatenate([x for x, _ in sums]), return_inverse=True)
+    return patterns, np.bincount(inverse, np.concatenate([n for _, n in sums]), len(patterns)).astype(np.int64)
+
+
+def _plain(patterns: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(patterns.view(np.int64)), pa.nulls(len(n), pa.string()), pa.array(n, pa.int64()), *(pa.nulls(len(n), f.type) for f in list(_ARROW_FILLS)[3:])], schema=_ARROW_FILLS)
+
+
 def _overlaps(base: list[tuple[int, int]], start: int, end: int) -> bool:
     """``base``: spans in order; those of different kinds may overlap each other, so a few before are looked at too."""
     i = bisect_right(base, (end - 1, 1 << 62))
@@ -350,7 +366,7 @@ def discovered(docs: DataFrame, base: DataFrame, rounds: int = ROUNDS) -> DataFr
     for _ in range(rounds):
         seeds = saved(seeds, "seeds")
         patterns = saved(_induced(seeds), "patterns")
-        shared = spark.sparkContext.broadcast(bitmap(patterns, patterns.count()))
+        shared = spark.sparkContext.broadcast(bitmap(patterns, patterns.count(), ROOM))
         fills = saved(docs.mapInArrow(_filled(shared), _FILLS).join(patterns, "pattern", "left_semi"), "fills")
         shared.destroy()
         strong, belief = scored(seeds, fills)
