@@ -34,12 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyho.llm.components import saved
-from tallyho.llm.tokens import encoded, forget
+from tallyho.llm.tokens import encoded_slices, forget
 from tallyho.session import scratch_path
 
 BLOCK = 65_536
 STEP = 128
 MAX_LENGTH = 16
+SLICE = 1 << 20  # bytes of text tokenized at a time
 ROWS_A_FILE = 25_000
 _BLOCKS = "file int, block int, docs array<struct<doc_id: bigint, start: bigint, length: int, part: int, parts: int>>, n_ids int, checkpoints binary, payload binary"
 _DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("part", pa.int32()), ("parts", pa.int32())]))
@@ -129,10 +130,13 @@ def decode_block(n: int, checkpoints: bytes, payload: bytes, table: tuple[np.nda
 
 
 def _tokenized(path: str, keep_space: bool):
+    """A slice of text at a time: a batch's ids are never held together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [row.astype("<u4").tobytes() for row in encoded(batch.column(1), path, keep_space)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([_thin(x) for x in ids], pa.binary())], names=["doc_id", "n", "ids"])
+            for row, rows in encoded_slices(batch.column(1), path, keep_space, SLICE):
+                sizes = pa.array([len(x) for x in rows], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(rows)), sizes, pa.array([_thin(x.astype("<u4").tobytes()) for x in rows], pa.binary())], names=["doc_id", "n", "ids"])
 
     return run
 

@@ -26,6 +26,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from tallyho.llm.columns import release
+
 CACHE = 600_000
 LONG = 64
 SLICE = 4 << 20  # bytes of text encoded at a time
@@ -184,18 +186,24 @@ def units(path: str, keep_space: bool) -> Units:
 def forget() -> None:
     """Frees the worker's units, for stages that encode no text."""
     _loaded.clear()
+    release()
 
 
-def encoded(column: pa.Array, path: str, keep_space: bool) -> Iterator[np.ndarray]:
-    """The ids of each text and END_ID, row by row, a slice of ``SLICE`` bytes at a time."""
+def encoded_slices(column: pa.Array, path: str, keep_space: bool, most: int = SLICE) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, the ids of each text and END_ID) for slices of about ``most`` bytes of text; nothing of a slice is kept."""
     known = units(path, keep_space)
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
     row = 0
     while row < len(column):
-        stop = max(row + 1, int(np.searchsorted(total, total[row] + SLICE, side="right")) - 1)
+        stop = max(row + 1, int(np.searchsorted(total, total[row] + most, side="right")) - 1)
         ids, offsets = known.encode(column.slice(row, stop - row))
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-            yield np.append(ids[a:b], np.uint32(END_ID))
+        yield row, [np.append(ids[a:b], np.uint32(END_ID)) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
         row = stop
-    pa.default_memory_pool().release_unused()
+    release()
+
+
+def encoded(column: pa.Array, path: str, keep_space: bool) -> Iterator[np.ndarray]:
+    """The ids of each text and END_ID, row by row, a slice of ``SLICE`` bytes at a time."""
+    for _, rows in encoded_slices(column, path, keep_space):
+        yield from rows
