@@ -48,14 +48,17 @@ _ARROW_BLOCKS = pa.schema([("file", pa.int32()), ("block", pa.int32()), ("docs",
 
 
 def code_lengths(counts: np.ndarray, most: int = MAX_LENGTH) -> np.ndarray:
-    """Lengths of an optimal prefix code of at most ``most`` bits (package-merge); 0 for ids that don't occur."""
+    """Lengths of an optimal prefix code of at most ``most`` bits (package-merge); 0 for ids that don't occur.
+
+    More than ``2 ** most`` ids get one bit more than numbering them takes.
+    """
     lengths = np.zeros(len(counts), dtype=np.int64)
     used = np.flatnonzero(counts)
     if len(used) < 2:
         lengths[used] = 1
         return lengths
     if len(used) > 1 << most:
-        raise ValueError(f"{len(used)} ids need codes of more than {most} bits")
+        most = (len(used) - 1).bit_length() + 1
     used = used[np.argsort(counts[used], kind="stable")]
     leaves = counts[used].astype(np.float64)
     # Each level: the leaves and the pairs of the level below, by weight; leaves first among equals.

@@ -172,3 +172,13 @@ def test_conversations_digest(spark):
         g = got[conv]
         assert (g["n_turns"], g["turns_sha256"], g["loss_chars"], g["loss_sha256"]) == (len(own), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert C.read_back(C.formatted(C.text_parts(df.limit(0)))).collect() == []
+
+
+def test_more_ids_than_codes_of_the_asked_length():
+    counts = np.random.default_rng(4).integers(1, 1000, 70_000)
+    lengths = huffman.code_lengths(counts, 16)
+    assert lengths.min() > 0 and lengths.max() <= 18 and (2.0 ** -lengths.astype(float)).sum() == 1
+    ids = np.concatenate((np.arange(70_000), np.random.default_rng(5).integers(0, 70_000, 5_000)))
+    codes = huffman.canonical_codes(lengths)
+    table = huffman.decode_table(lengths, codes)
+    assert (huffman.decode_block(len(ids), *huffman.encode_block(ids, lengths, codes), table) == ids).all()
