@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyho.llm.bitmaps import bitmap
+from tallyho.llm.columns import release
 from tallyho.llm.components import saved
 from tallyho.llm.hashing import mix, stream
 from tallyho.llm.wordscan import Words, byte_set, scanned
@@ -136,6 +137,7 @@ def _mine(level: int, known):
                             sums.add(shard, hashes[mine], n[mine])
                 if sums.held > BUFFER:
                     yield from sums.drained()
+            release()
         yield from sums.drained()
 
     return run
@@ -166,6 +168,7 @@ def _count(longest: int, united):
                             [names.take(pa.array(groups[own])), pa.array(np.full(len(own), k), pa.int32()), phrase.cast(pa.large_string()).cast(pa.string()), pa.array(n[own], pa.int64())],
                             names=["lang", "k", "phrase", "n"],
                         )
+            release()
 
     return run
 
