@@ -25,6 +25,12 @@ def token_slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.
 
     NULL and blank rows have no tokens.
     """
+    for row, bounds, codes, tokens in coded_slices(column, most):
+        yield row, bounds, codes, tokens.to_pylist()
+
+
+def coded_slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.Array]]:
+    """``token_slices`` with the distinct tokens left in Arrow."""
     column = column.fill_null("").cast(pa.large_string())
     sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
     total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
@@ -34,10 +40,11 @@ def token_slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.
         parts = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(column.slice(row, stop - row)))
         bounds = parts.offsets.to_numpy().astype(np.int64)
         coded = parts.flatten().dictionary_encode()
-        codes, tokens = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes, tokens = coded.indices.to_numpy(), coded.dictionary
         bounds = bounds - bounds[0]
-        if "" in tokens:  # a blank row splits into one empty token
-            keep = codes != tokens.index("")
+        blank = pc.index(tokens, pa.scalar("", tokens.type)).as_py()
+        if blank >= 0:  # a blank row splits into one empty token
+            keep = codes != blank
             bounds = np.concatenate(([0], np.cumsum(keep)))[bounds]
             codes = codes[keep]
         yield row, bounds, codes, tokens

@@ -34,13 +34,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.llm.columns import token_slices
+from tallyho.llm.columns import coded_slices
 
 P, DECAY = 3, 0.6
 SHARED = 0.7
@@ -72,10 +74,8 @@ def windows(word: str) -> list[str]:
 
 def _matrix(words: list[str]) -> np.ndarray:
     """Code points, 0 beyond a word's end; at most WIDTH columns."""
-    out = np.zeros((len(words), max(1, max(map(len, words), default=1))), dtype=np.int32)
-    for i, w in enumerate(words):
-        out[i, : len(w)] = np.frombuffer(w.encode("utf-32-le"), dtype=np.int32)
-    return out
+    width = max(1, max(map(len, words), default=1))
+    return np.array(words, dtype=f"<U{width}").view(np.int32).reshape(len(words), width)
 
 
 class Letters:
@@ -119,21 +119,19 @@ def kernel_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Gap-weighted subsequence kernel of length P of row i of ``a`` and row i of ``b`` (not normalized)."""
     n, la = a.shape
     lb = b.shape[1]
-    prev = np.ones((n, la + 1, lb + 1))
-    total = np.zeros(n)
-    same = (a[:, :, None] == b[:, None, :]) & (a[:, :, None] != 0)
-    for p in range(1, P + 1):
-        if p == P:
-            total = (same * prev[:, :la, :lb]).sum(axis=(1, 2)) * DECAY * DECAY
-            break
-        now = np.zeros((n, la + 1, lb + 1))
+    # The words lie along the last axis, so every step runs over memory in order.
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    same = ((a[:, None] == b[None]) & (a[:, None] != 0)) * (DECAY * DECAY)
+    prev = np.ones((la + 1, lb + 1, n))
+    for _ in range(1, P):
+        now = np.zeros((la + 1, lb + 1, n))
         for i in range(1, la + 1):
             run = np.zeros(n)
             for j in range(1, lb + 1):
-                run = DECAY * run + same[:, i - 1, j - 1] * (DECAY * DECAY) * prev[:, i - 1, j - 1]
-                now[:, i, j] = DECAY * now[:, i - 1, j] + run
+                run = DECAY * run + same[i - 1, j - 1] * prev[i - 1, j - 1]
+                now[i, j] = DECAY * now[i - 1, j] + run
         prev = now
-    return total
+    return (same * prev[:la, :lb]).sum(axis=(0, 1))
 
 
 def _self(words: np.ndarray) -> np.ndarray:
@@ -213,7 +211,7 @@ def _sentences(bounds: np.ndarray, codes: np.ndarray, ends: np.ndarray) -> np.nd
     return np.flatnonzero(first[: len(codes)])
 
 
-def _spelled(bounds: np.ndarray, codes: np.ndarray, folded: list[str], single: np.ndarray) -> list[tuple[int, str]]:
+def _spelled(bounds: np.ndarray, codes: np.ndarray, folded: pa.Array, single: np.ndarray) -> list[tuple[int, str]]:
     """(token, word) of runs of three or more single-letter tokens, which may spell a word."""
     one = single[codes]
     run = one[1:-1] & one[2:] & one[:-2] if len(one) > 2 else np.zeros(0, dtype=bool)
@@ -225,13 +223,29 @@ def _spelled(bounds: np.ndarray, codes: np.ndarray, folded: list[str], single: n
         at = i
         while at < stop and one[at]:
             at += 1
-        out.append((i, "".join(folded[c] for c in codes[i:at].tolist())))
+        out.append((i, "".join(folded.take(pa.array(codes[i:at])).to_pylist())))
+    return out
+
+
+def folded_tokens(tokens: pa.Array) -> pa.Array:
+    """``fold`` of many tokens: in Arrow but for those with a sign that may look like a letter."""
+    odd = pc.and_(pc.match_substring_regex(tokens, r"[013457@$]"), pc.match_substring_regex(tokens, r"\pL"))
+    out = pc.utf8_lower(pc.replace_substring_regex(tokens, r"[^\pL\p{Nl}\p{No}]+", ""))
+    some = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+    if len(some):
+        out = pc.replace_with_mask(out, odd, pa.array([fold(t) for t in tokens.take(pa.array(some)).to_pylist()], out.type))
     return out
 
 
-def _tokens(tokens: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    folded = [fold(t) for t in tokens]
-    return folded, np.array([bool(_SENTENCE_END.search(t)) for t in tokens], dtype=bool), np.array([len(f) == 1 for f in folded], dtype=bool)
+def _tokens(tokens: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Of each token: the folded word, whether it ends a sentence, whether it is a single letter."""
+    folded = folded_tokens(tokens)
+    return folded, pc.match_substring_regex(tokens, r"[.!?|;:]$").to_numpy(zero_copy_only=False), pc.equal(pc.utf8_length(folded), 1).to_numpy(zero_copy_only=False)
+
+
+def _distinct(folded: pa.Array) -> tuple[list[str], np.ndarray]:
+    coded = folded.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy()
 
 
 def _sentence_kernels(shared):
@@ -241,9 +255,10 @@ def _sentence_kernels(shared):
         landmarks: Landmarks = shared.value
         for batch in batches:
             ids, out_id, out = batch.column(0).to_pylist(), [], []
-            for row, bounds, codes, tokens in token_slices(batch.column(1), 1 << 20):
+            for row, bounds, codes, tokens in coded_slices(batch.column(1), 1 << 20):
                 folded, ends, single = _tokens(tokens)
-                value = landmarks.kernel(folded)[codes]
+                words, place = _distinct(folded)
+                value = landmarks.kernel(words)[place[codes]]
                 spelled = _spelled(bounds, codes, folded, single)
                 if spelled:
                     value[[at for at, _ in spelled]] += landmarks.kernel([word for _, word in spelled])
@@ -264,8 +279,8 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         words, labels = [], []
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = {fold(t) for t in (text or "").split()}
-            own = {w for w in own if P <= len(w) <= WIDTH}
+            own = set(folded_tokens(pa.array(sorted(set((text or "").split())), pa.string())).to_pylist())
+            own = sorted(w for w in own if P <= len(w) <= WIDTH)
             words += own
             labels += [label] * len(own)
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(labels, pa.int32())], names=["word", "toxic"])
@@ -366,10 +381,13 @@ _known_of: list = [None]
 
 def _word_scores(model: Model, key: int, words: list[str]) -> np.ndarray:
     """The scores of folded words; tokens that differ in case or punctuation only share one."""
-    if _known_of[0] != key or len(_known) > CACHE:
+    if _known_of[0] != key:
         _known.clear()
         _known_of[0] = key
-    new = list({w for w in words if w not in _known})
+    if len(_known) > CACHE:  # the older half goes
+        for w in list(islice(_known, len(_known) - CACHE // 2)):
+            del _known[w]
+    new = [w for w in words if w not in _known]
     _known.update(zip(new, model.words(new).tolist(), strict=True))
     out = np.fromiter(map(_known.__getitem__, words), dtype=np.float64, count=len(words))
     for w in new:
@@ -384,9 +402,10 @@ def _score(shared):
         key = hash((tuple(model.landmarks.words), model.dual.tobytes()))
         for batch in batches:
             best = np.zeros(batch.num_rows)
-            for row, bounds, codes, tokens in token_slices(batch.column(1), 4 << 20):
+            for row, bounds, codes, tokens in coded_slices(batch.column(1), 4 << 20):
                 folded, ends, single = _tokens(tokens)
-                value = _word_scores(model, key, folded)[codes]
+                words, place = _distinct(folded)
+                value = _word_scores(model, key, words)[place][codes]
                 spelled = _spelled(bounds, codes, folded, single)
                 if spelled:
                     value[[at for at, _ in spelled]] += model.words([word for _, word in spelled])
