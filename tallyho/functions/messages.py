@@ -13,8 +13,9 @@ TREND_CHANGE = "Change vs %s: %+.1f%%  (limit: ±%s%%)"
 TREND_ONE_WEEK = "prior week"
 TREND_N_WEEKS = "%d-week avg"
 PARTS_ALL_MATCH = "All %s subtotals match"
-COMPLETENESS_MISSING = "Missing %s values: ['%s']"
+COMPLETENESS_MISSING = "Missing %s values: [%s]"
 COMPLETENESS_ALL_PRESENT = "All %d expected %s values present"
+PARTS_ITEM = "%s: expected %,.0f, got %,.0f (%.1f%%)"
 SANITY_NO_ROWS = "No rows for %s — sanity check skipped"
 SANITY_ALL_OK = "All %d rows satisfy rule '%s'"
 SANITY_VIOLATIONS = "%d of %d rows violate rule '%s' (%s)"

@@ -458,6 +458,12 @@ def completeness(spark: SparkSession, base: Base) -> DataFrame | None:
             "THEN transform(req_pos, p -> named_struct('pos', p, 'v', coalesce(value, 'None'))) END))), x -> x.v), ', ') "
             "AS missing_values"
         ),
+        # The same entries as a list is printed: each value in quotation marks, None without.
+        F.expr(
+            "array_join(transform(array_sort(flatten(collect_list(CASE WHEN NOT is_present AND size(req_pos) > 0 "
+            "THEN transform(req_pos, p -> named_struct('pos', p, 'v', coalesce(concat(\"'\", value, \"'\"), 'None'))) END))), x -> x.v), ', ') "
+            "AS missing_listed"
+        ),
     )
     j = run_dims.join(counts, keys, "left")
     j = j.selectExpr(
@@ -468,7 +474,7 @@ def completeness(spark: SparkSession, base: Base) -> DataFrame | None:
         "CAST(coalesce(n_present, 0) AS BIGINT) AS c_present",
     )
     missing_part = (
-        f"CASE WHEN c_miss > 0 THEN format_string({L(M.COMPLETENESS_MISSING)}, dimension, missing_values) "
+        f"CASE WHEN c_miss > 0 THEN format_string({L(M.COMPLETENESS_MISSING)}, dimension, missing_listed) "
         f"ELSE format_string({L(M.COMPLETENESS_ALL_PRESENT)}, c_req, dimension) END"
     )
     new_part = f"CASE WHEN c_new > 0 THEN format_string({L(M.COMPLETENESS_NEW)}, dimension, {int(spec.lookback)}, c_new) ELSE '' END"

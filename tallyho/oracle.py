@@ -207,7 +207,7 @@ def suite_ctes(cfg) -> str:
          CASE WHEN w IS NULL THEN 'PASS' WHEN abs(w) <= lim THEN 'PASS' WHEN abs(w) <= lim * 1.5 THEN 'DRIFT' ELSE 'FAIL' END AS status,
          CASE WHEN n_weeks = 0 THEN NULL WHEN baseline = 0 THEN 0.0 ELSE baseline_r END AS expected_num,
          {R2('cur')} AS actual_num, {R2('w')} AS gap, CASE WHEN w IS NOT NULL THEN lim END AS tolerance,
-         baseline_r AS baseline, {R2('cur')} AS current, {R2('w')} AS change_pct, n_weeks
+         baseline_r AS baseline, {R2('cur')} AS current, {R2('w')} AS change_pct, n_weeks, w
   FROM (SELECT *, CASE WHEN n_weeks > 0 AND baseline <> 0 THEN (cur - baseline) / abs(baseline) * 100.0 END AS w
         FROM (SELECT r.run_week, p.check_seq, p.metric, p.lim, COALESCE(c.total, 0.0) AS cur,
                      COALESCE(h.n_weeks, 0) AS n_weeks, h.baseline, h.baseline_r
@@ -381,6 +381,71 @@ FROM results x JOIN summary s ON s.run_week = x.run_week
 LEFT JOIN fresh f ON f.run_week = x.run_week AND x.check_name = 'freshness'"""
 
 
+def _whole(x: str, sign: bool = False) -> str:
+    """A number rounded to a whole one, with thousands separators."""
+    plus = f"CASE WHEN {x} >= 0 THEN '+' ELSE '' END || " if sign else ""
+    return f"({plus}format('{{:,d}}', CAST(ROUND(CAST({x} AS DECIMAL(38,10)), 0) AS BIGINT)))"
+
+
+def _tenth(x: str, sign: bool = False) -> str:
+    plus = f"CASE WHEN {x} >= 0 THEN '+' ELSE '' END || " if sign else ""
+    return f"({plus}CAST(CAST(ROUND(CAST({x} AS DECIMAL(38,10)), 1) AS DECIMAL(38,1)) AS VARCHAR))"
+
+
+def _texts_ctes(cfg) -> str:
+    """``texts``: every result with the texts that reports show of it; ``items``: what the results itemise."""
+    q = _seqs(cfg)
+    n = max(int(cfg["lookback"]), 1)
+    lists = "string_agg(COALESCE(chr(39) || value || chr(39), 'None'), ', ' ORDER BY pos)"
+    comp = " UNION ALL ".join(
+        f"""SELECT c.run_week, c.check_seq,
+      CASE WHEN n_missing > 0 THEN 'Missing {d} values: [' || (SELECT {lists} FROM c{s}_missing m WHERE m.run_week = c.run_week) || ']'
+           ELSE 'All ' || CAST(expected_num AS BIGINT) || ' expected {d} values present' END
+      || CASE WHEN n_new > 0 THEN '  |  New {d} values not seen in prior {n} week(s): ' || n_new || ' (see new_values)' ELSE '' END AS detail
+    FROM c{s} c"""
+        for s, d, _, _ in q["comp"]
+    )
+    rules = " UNION ALL ".join(f"SELECT {s} AS check_seq, {_lit(x)} AS expression" for s, _, x in q["rules"])
+    missing = " UNION ALL ".join(f"SELECT run_week, {s} AS check_seq, '{d}_completeness' AS metric, 'missing_value' AS item_kind, pos AS place, value FROM c{s}_missing" for s, d, _, _ in q["comp"])
+    new = " UNION ALL ".join(f"SELECT run_week, {s}, '{d}_completeness', 'new_value', 0, value FROM c{s}_new" for s, d, _, _ in q["comp"])
+    none = "CAST(NULL AS DOUBLE)"
+    return f""",
+details AS (
+  SELECT run_week, check_seq, 'Latest week in dashboard: ' || COALESCE(actual, 'None') AS detail FROM fresh
+  UNION ALL SELECT r.run_week, r.check_seq, CASE WHEN gap IS NULL THEN 'Both source and dashboard are zero — no data for this week'
+      ELSE printf('Gap: %.2f%%  (tolerance: ±%s%%)', gap_pct, CAST(tolerance AS VARCHAR)) END FROM recon r
+  UNION ALL SELECT t.run_week, t.check_seq, CASE
+      WHEN n_weeks = 0 THEN 'No data in lookback window (' || (SELECT string_agg(hwk, ', ' ORDER BY pos) FROM lb WHERE lb.run_week = t.run_week) || ') — trend check skipped'
+      WHEN w IS NULL THEN 'Lookback baseline is zero across ' || n_weeks || ' week(s) — trend check skipped'
+      ELSE 'Change vs ' || CASE WHEN n_weeks = 1 THEN 'prior week' ELSE n_weeks || '-week avg' END || ': ' || {_tenth("w", True)} || '%  (limit: ±{cfg["max_change"]}%)' END FROM trend t
+  UNION ALL SELECT p.run_week, p.check_seq, CASE WHEN n_failing = 0 THEN 'All ' || piv || ' subtotals match'
+      ELSE n_failing || ' of ' || (SELECT COUNT(*) FROM pc WHERE pc.run_week = p.run_week AND pc.check_seq = p.check_seq AND src_total <> 0)
+        || ' ' || piv || ' subtotals outside ±' || CAST(tol AS VARCHAR) || '% (see parts_sum_detail)' END
+    FROM (SELECT parts.*, pspec.piv, pspec.tol FROM parts JOIN pspec ON pspec.check_seq = parts.check_seq) p
+  UNION ALL {comp}
+  UNION ALL SELECT s.run_week, s.check_seq, CASE WHEN n_rows = 0 THEN 'No rows for ' || run_week || ' — sanity check skipped'
+      WHEN violations = 0 THEN 'All ' || n_rows || ' rows satisfy rule ' || chr(39) || metric || chr(39)
+      ELSE violations || ' of ' || n_rows || ' rows violate rule ' || chr(39) || metric || chr(39) || ' (' || x.expression || ')' END
+    FROM sanity s JOIN ({rules}) x ON x.check_seq = s.check_seq),
+texts AS (
+  SELECT x.*, {SEV('x.status')} AS severity, d.detail,
+    CASE WHEN x.check_name = 'freshness' THEN f.expected WHEN x.check_name = 'reconciliation' AND x.gap IS NULL THEN '0'
+      WHEN x.check_name = 'trend_sanity' AND x.expected_num IS NULL THEN 'None' WHEN x.check_name IN ('reconciliation', 'trend_sanity') THEN {_float_text('x.expected_num')}
+      ELSE CAST(CAST(x.expected_num AS BIGINT) AS VARCHAR) END AS expected,
+    CASE WHEN x.check_name = 'freshness' THEN COALESCE(f.actual, 'None') WHEN x.check_name = 'reconciliation' AND x.gap IS NULL THEN '0'
+      WHEN x.check_name IN ('reconciliation', 'trend_sanity') THEN {_float_text('x.actual_num')} ELSE CAST(CAST(x.actual_num AS BIGINT) AS VARCHAR) END AS actual
+  FROM results x JOIN details d ON d.run_week = x.run_week AND d.check_seq = x.check_seq
+  LEFT JOIN fresh f ON f.run_week = x.run_week AND x.check_name = 'freshness'),
+unnumbered AS (
+  SELECT run_week, check_seq, 'parts_sum' AS check_name, metric || '_by_' || piv AS metric, 'failing_group' AS item_kind, 0 AS place, pivot_value AS value,
+    {R2('src_total')} AS expected_num, {R2('dash_total')} AS actual_num, {R2('gap_pct')} AS gap_pct,
+    COALESCE(pivot_value, 'None') || ': expected ' || {_whole('src_total')} || ', got ' || {_whole('dash_total')} || ' (' || {_tenth('gap_pct')} || '%)' AS text
+  FROM pc WHERE failing
+  UNION ALL SELECT run_week, check_seq, 'completeness', metric, item_kind, place, value, {none}, {none}, {none}, COALESCE(value, 'None') FROM ({missing} UNION ALL {new}) v),
+items AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY run_week, check_seq, item_kind ORDER BY place, value NULLS LAST) AS position FROM unnumbered)
+"""
+
+
 def _f4_log(cfg) -> str:
     """Both logged runs of F4 as one CTE chain (``log``)."""
     out = []
@@ -505,10 +570,28 @@ def oracle() -> dict[str, str]:
         "ELSE 'events_dashboard — ' || fail || ' FAIL on ' || run_week END AS headline FROM summary"
     )
     sql["report_lines"] = f1 + f"SELECT run_week, check_seq, check_name, metric, status, {SEV()} AS severity FROM results WHERE status <> 'PASS'"
-    sql["triage_context"] = f1 + (
-        "SELECT run_week, COUNT(*) AS n_failing, "
-        "string_agg('check: ' || check_name || '  |  metric: ' || metric || '  |  status: ' || status, chr(10) ORDER BY check_seq) AS context "
-        "FROM results WHERE status <> 'PASS' GROUP BY run_week"
+    shown = f1.rstrip() + _texts_ctes(F1_CFG)
+    sql["result_details"] = shown + "SELECT run_week, check_seq, detail FROM texts"
+    gap = f"CASE WHEN check_name = 'trend_sanity' THEN {_tenth('gap', True)} || '%' ELSE {_whole('gap', True)} END"
+    sql["report_line_text"] = shown + (
+        "SELECT run_week, check_seq, '[' || check_name || '] ' || metric || ': ' || status || ' (severity ' || severity || ') | Expected: ' || expected || '   Got: ' || actual "
+        f"|| CASE WHEN gap IS NOT NULL AND tolerance IS NOT NULL THEN '   Gap: ' || {gap} || '   Tolerance: ±' || {_float_text('tolerance')} || '%' ELSE '' END "
+        "|| ' | ' || detail AS line FROM texts WHERE status <> 'PASS'"
+    )
+    sql["triage_context"] = shown + (
+        "SELECT run_week, COUNT(*) AS n_failing, string_agg('check: ' || check_name || '  |  metric: ' || metric || '  |  status: ' || status || chr(10) "
+        "|| '  expected: ' || expected || '  |  got: ' || actual || chr(10) || '  detail: ' || detail, chr(10) ORDER BY check_seq) AS context "
+        "FROM texts WHERE status <> 'PASS' GROUP BY run_week"
+    )
+    sql["run_items"] = shown + "SELECT run_week, check_seq, check_name, metric, item_kind, position, value AS item, expected_num, actual_num, gap_pct, text FROM items"
+    sql["run_item_texts"] = shown + (
+        "SELECT run_week, check_seq, check_name, metric, item_kind, (position - 1) // 2 AS chunk, COUNT(*) AS n_items, string_agg(text, '; ' ORDER BY position) AS text "
+        "FROM items GROUP BY ALL"
+    )
+    sql["drift_frequency_daily"] = (
+        "SELECT 'orders_daily' AS dashboard, split_part(day, '-', 1) || '-Q' || ((CAST(split_part(day, '-', 2) AS INTEGER) + 2) // 3) AS quarter, 'trend_sanity' AS check_name, "
+        "COUNT(*) AS n_runs, COUNT(*) AS n_checks, COUNT(*) FILTER (WHERE status = 'DRIFT') AS n_drift, COUNT(*) FILTER (WHERE status = 'FAIL') AS n_fail "
+        f"FROM ({_day_trend_sql()}) GROUP BY ALL"
     )
     sql["failed_runs"] = f1 + "SELECT 'events_dashboard' AS dashboard, run_week, fail AS n_fail FROM summary WHERE fail > 0"
     return sql

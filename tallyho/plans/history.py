@@ -39,9 +39,12 @@ def _status_rank(status):
     return F.when(status == FAIL, 2).when(status == DRIFT, 1).otherwise(0)
 
 
-def log_rows(results: DataFrame, run_timestamp: str, triage: DataFrame | None = None) -> DataFrame:
+def log_rows(results: DataFrame, run_timestamp: str, triage: DataFrame | None = None, run_key: str | None = None) -> DataFrame:
     """Flatten check results into log rows (explicit schema, never inferred).
 
+    The run id ends in the run's timestamp, or in ``run_key`` where a run must
+    keep its id when it is repeated at another time.
+
     The overall status is a window over the checks of one run (bounded by the
     registry size), so no join back to a summary is needed.  ``triage``
     optionally supplies (dashboard, run_week, triage_analysis).
@@ -58,7 +61,7 @@ def log_rows(results: DataFrame, run_timestamp: str, triage: DataFrame | None =
         analysis = F.lit("")
     ts = F.lit(run_timestamp)
     return df.select(
-        F.concat_ws("_", F.col("dashboard"), F.col("run_week"), ts).alias("run_id"),
+        F.concat_ws("_", F.col("dashboard"), F.col("run_week"), ts if run_key is None else F.lit(run_key)).alias("run_id"),
         "dashboard",
         "run_week",
         ts.alias("run_timestamp"),
@@ -81,13 +84,40 @@ def _ordered(df: DataFrame) -> DataFrame:
 
 
 def append_log(df: DataFrame, path: str) -> None:
-    """Append to a parquet log partitioned by dashboard (created on first write); further columns are kept."""
-    _ordered(df).write.mode("append").partitionBy("dashboard").parquet(path)
+    """Append runs to a parquet log with a folder for each dashboard and run; further columns are kept.
+
+    A run that is written again (a replayed micro-batch, a retried job)
+    replaces the rows of its own ``run_id`` and of no other, so a write that
+    failed half-way is mended by repeating it.
+    """
+    _ordered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dashboard", "run_id").parquet(path)
 
 
 def append_log_table(df: DataFrame, table: str) -> None:
-    """Append to a catalog table partitioned by dashboard."""
-    _ordered(df).write.mode("append").partitionBy("dashboard").saveAsTable(table)
+    """Append to a catalog table with a partition for each dashboard and run, replacing a run that is written again.
+
+    Columns that the table lacks are added to it first (NULL in older rows);
+    those that ``df`` lacks are NULL in its rows.
+    """
+    spark, rows = df.sparkSession, _ordered(df)
+    keys = ["dashboard", "run_id"]
+    if not spark.catalog.tableExists(table):
+        rows.write.partitionBy(*keys).saveAsTable(table)
+        return
+    there = spark.table(table).schema
+    more = [f for f in rows.schema.fields if f.name not in there.names]
+    if more:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in more)})")
+        there = spark.table(table).schema
+    named = rows.select(*(F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in there.fields))
+    # A table insert takes the mode from the session only; without it, all partitions would be replaced.
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        named.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -117,18 +147,20 @@ def latest_run_summary(log: DataFrame) -> DataFrame:
     return _last_runs(log).select("last.run_id", "dashboard", "run_week", "last.run_timestamp", "last.overall_status")
 
 
-def quarter_of_week(label) -> F.Column:
-    """``YYYY-Qn`` of a ``YYYY-WW`` label (13 weeks per quarter, week 53 in Q4)."""
+def quarter_of(label) -> F.Column:
+    """``YYYY-Qn`` of a period label: a ``YYYY-MM-DD`` day lies in its calendar quarter, a ``YYYY-WW`` week in one of 13 weeks (week 53 in Q4)."""
     week = F.substring_index(label, "-", -1).try_cast("int")
-    q = F.least(F.ceil(week / F.lit(13.0)), F.lit(4)).cast("int")
-    return F.concat(F.substring_index(label, "-", 1), F.lit("-Q"), q.cast("string"))
+    by_week = F.concat(F.substring_index(label, "-", 1), F.lit("-Q"), F.least(F.ceil(week / F.lit(13.0)), F.lit(4)).cast("int").cast("string"))
+    day = F.when(F.length(label) == 10, label.try_cast("date"))
+    by_day = F.concat(F.year(day).cast("string"), F.lit("-Q"), F.quarter(day).cast("string"))
+    return F.coalesce(by_day, by_week)
 
 
 def drift_frequency(log: DataFrame) -> DataFrame:
     """How often each check drifted or failed per dashboard and quarter (latest run per period)."""
     latest = latest_run(log)
     return (
-        latest.withColumn("quarter", quarter_of_week(F.col("run_week")))
+        latest.withColumn("quarter", quarter_of(F.col("run_week")))
         .groupBy("dashboard", "quarter", "check_name")
         .agg(
             F.countDistinct("run_id").alias("n_runs"),

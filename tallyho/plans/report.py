@@ -10,25 +10,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.functions.scoring import FAIL, PASS
+from tallyho.functions.scoring import FAIL, PASS, float_text_sql
 
 
-def report_headers(summary: DataFrame) -> DataFrame:
-    """One row per run: counts, overall status and the headline text."""
+def report_headers(summary: DataFrame, run_timestamp: str | None = None, triage: DataFrame | None = None) -> DataFrame:
+    """One row per run: counts, overall status, the headline text, and the run's time and analysis where given.
+
+    ``triage`` has (dashboard, run_week, triage_analysis); a run without one has NULL.
+    """
     headline = F.when(
         F.col("overall_status") == PASS,
         F.format_string("%s — %d/%d checks PASS", F.col("dashboard"), F.col("total"), F.col("total")),
     ).otherwise(F.format_string("%s — %d FAIL on %s", F.col("dashboard"), F.col("fail"), F.col("run_week")))
     counts = F.format_string("%d FAIL  ·  %d DRIFT  ·  %d PASS", F.col("fail"), F.col("drift"), F.col("pass"))
-    return summary.select(
-        "dashboard", "run_week", "total", "pass", "drift", "fail", "overall_status", headline.alias("headline"), counts.alias("counts")
-    )
+    rows = summary.select("dashboard", "run_week", "total", "pass", "drift", "fail", "overall_status", headline.alias("headline"), counts.alias("counts"))
+    if triage is not None:
+        rows = rows.join(triage.select("dashboard", "run_week", "triage_analysis"), ["dashboard", "run_week"], "left")
+    if run_timestamp is not None:
+        rows = rows.withColumn("run_timestamp", F.lit(run_timestamp))
+    return rows
 
 
 def _line(results: DataFrame) -> F.Column:
     gap_text = F.when(
         F.col("gap").isNotNull() & F.col("tolerance").isNotNull(),
-        F.format_string("   Gap: %+,.0f   Tolerance: ±%s%%", F.col("gap"), F.col("tolerance").cast("string")),
+        F.concat(
+            # A trend's gap is a percentage, others are amounts.
+            F.when(F.col("gap_unit") == "pct", F.format_string("   Gap: %+.1f%%", F.col("gap"))).otherwise(F.format_string("   Gap: %+,.0f", F.col("gap"))),
+            F.format_string("   Tolerance: ±%s%%", F.expr(float_text_sql("tolerance"))),
+        ),
     ).otherwise(F.lit(""))
     return F.concat(
         F.lit("["),
@@ -51,12 +61,12 @@ def _line(results: DataFrame) -> F.Column:
 def report_lines(results: DataFrame) -> DataFrame:
     """One row per FAIL or DRIFT check, with its rendered line."""
     return results.where(F.col("status") != PASS).select(
-        "dashboard", "run_week", "check_seq", "check_name", "metric", "status", "severity", _line(results).alias("line")
+        "dashboard", "run_week", "check_seq", "check_name", "metric", "status", "severity", "gap_unit", _line(results).alias("line")
     )
 
 
 def triage_context(results: DataFrame) -> DataFrame:
-    """One row per non-PASS run: its failing checks as one ordered text.
+    """One row per non-PASS run: its failing checks as one ordered text, each with what was expected, what came, and the detail.
 
     The list per run is bounded by the number of configured checks.
     """
@@ -66,7 +76,8 @@ def triage_context(results: DataFrame) -> DataFrame:
         F.struct(
             F.col("check_seq"),
             F.format_string(
-                "check: %s  |  metric: %s  |  status: %s", F.col("check_name"), F.col("metric"), F.col("status")
+                "check: %s  |  metric: %s  |  status: %s\n  expected: %s  |  got: %s\n  detail: %s",
+                *(F.coalesce(F.col(c), F.lit("None")) for c in ("check_name", "metric", "status", "expected", "actual", "detail")),
             ).alias("text"),
         ).alias("item"),
     )

@@ -18,6 +18,7 @@ from tallyho.config import CheckSpec, normalize
 from tallyho.functions.scoring import DRIFT, FAIL, PASS, overall_status
 from tallyho.operators import checks as C
 from tallyho.operators.base import Base, build_base
+from tallyho.plans.items import run_items
 
 
 class Suite:
@@ -51,6 +52,10 @@ class Suite:
     def sanity_range(self):
         return C.sanity_range(self.spark, self.base)
 
+    def items(self) -> DataFrame:
+        """Failing groups, missing and new values of every run, one row each, numbered in order."""
+        return run_items(self.spark, self.base)
+
     @property
     def runs(self) -> DataFrame:
         return self.base.runs

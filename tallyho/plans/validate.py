@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyho.config import load_registry
 from tallyho.plans import history as H
 from tallyho.plans import report as R
+from tallyho.plans.items import append_items, item_rows
 from tallyho.plans.periods import run_week_for
 from tallyho.plans.suite import Suite
 from tallyho.sources.tables import resolve
@@ -30,6 +31,7 @@ class RunOutput:
     report_headers: DataFrame
     report_lines: DataFrame
     triage_context: DataFrame
+    items: DataFrame
 
 
 def validate(
@@ -42,6 +44,8 @@ def validate(
     log_table: str | None = None,
     run_timestamp: str | None = None,
     gate: bool = True,
+    items_path: str | None = None,
+    triage: DataFrame | None = None,
 ) -> RunOutput:
     reg = load_registry(registry) if isinstance(registry, str) else registry
     if not run_week:
@@ -56,12 +60,15 @@ def validate(
     summary = suite.run_summary(results)
     ts = run_timestamp or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
     if log_path or log_table:
-        rows = H.log_rows(results, ts)
+        rows = H.log_rows(results, ts, triage)
         if log_path:
             H.append_log(rows, log_path)
         if log_table:
             H.append_log_table(rows, log_table)
-    out = RunOutput(run_week, results, summary, R.report_headers(summary), R.report_lines(results), R.triage_context(results))
+    items = suite.items()
+    if items_path:
+        append_items(item_rows(items, ts), items_path)
+    out = RunOutput(run_week, results, summary, R.report_headers(summary, ts, triage), R.report_lines(results), R.triage_context(results), items)
     if gate:
         R.fail_gate(summary)
     return out

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyho.functions.periods import week_label
 from tallyho.functions.scoring import severity
 from tallyho.plans import history as H
+from tallyho.plans import items as I
 from tallyho.plans import periods as P
 from tallyho.plans import report as R
 from tallyho.plans.suite import Suite, run_suites
@@ -159,9 +160,9 @@ def suite_multi_dashboard(spark: SparkSession, sf: str) -> DataFrame:
     return summary
 
 
-def trend_daily(spark: SparkSession, sf: str) -> DataFrame:
+def _daily_registry(spark: SparkSession, sf: str) -> dict:
     facts = X.orders_daily(spark, sf)
-    reg = {
+    return {
         "dashboard": "orders_daily",
         "dashboard_table": facts,
         "source_table": facts,
@@ -171,7 +172,10 @@ def trend_daily(spark: SparkSession, sf: str) -> DataFrame:
         "metrics": [{"name": "total_price", "checks": ["trend_sanity"]}],
         "checks": {"freshness": {"enabled": False}, "trend_sanity": {"max_wow_change_pct": 50.0}},
     }
-    t = Suite(spark, reg).trend_sanity()
+
+
+def trend_daily(spark: SparkSession, sf: str) -> DataFrame:
+    t = Suite(spark, _daily_registry(spark, sf)).trend_sanity()
     return t.select(F.col("run_week").alias("day"), "baseline", "current", "change_pct", "n_weeks", "status")
 
 
@@ -250,12 +254,37 @@ def validate_log(spark: SparkSession, sf: str) -> DataFrame:
 # ── report frames ───────────────────────────────────────────────────────────
 
 
+def drift_frequency_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Day labels fall into their calendar quarters."""
+    results = Suite(spark, _daily_registry(spark, sf)).check_results()
+    return H.drift_frequency(H.log_rows(results, LOG_TS_1))
+
+
 def report_headers(spark: SparkSession, sf: str) -> DataFrame:
     return R.report_headers(_f1(spark, sf).run_summary()).drop("counts")
 
 
 def report_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return R.report_lines(_f1(spark, sf).check_results()).drop("line", "dashboard")
+    return R.report_lines(_f1(spark, sf).check_results()).drop("line", "dashboard", "gap_unit")
+
+
+def report_line_text(spark: SparkSession, sf: str) -> DataFrame:
+    return R.report_lines(_f1(spark, sf).check_results()).select("run_week", "check_seq", "line")
+
+
+def result_details(spark: SparkSession, sf: str) -> DataFrame:
+    return _f1(spark, sf).check_results().select("run_week", "check_seq", "detail")
+
+
+def run_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Both checks' items, written to the item log under their runs and read back."""
+    path = scratch_path(spark, "item-log")
+    I.append_items(I.item_rows(_f1(spark, sf).items(), LOG_TS_1), path)
+    return I.read_items(spark, path).drop("run_id", "run_timestamp", "dashboard")
+
+
+def run_item_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return I.item_texts(_f1(spark, sf).items(), chunk=2).drop("dashboard")
 
 
 def triage_context(spark: SparkSession, sf: str) -> DataFrame:
@@ -300,6 +329,11 @@ QUERIES = {
     "latest_run": latest_run,
     "latest_run_summary": latest_run_summary,
     "drift_frequency": drift_frequency,
+    "drift_frequency_daily": drift_frequency_daily,
+    "run_items": run_items,
+    "run_item_texts": run_item_texts,
+    "result_details": result_details,
+    "report_line_text": report_line_text,
     "report_headers": report_headers,
     "report_lines": report_lines,
     "triage_context": triage_context,
