@@ -20,7 +20,7 @@ Gating rules (each check kind defaults to enabled):
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial
 from itertools import product
 from typing import Any
@@ -91,6 +91,32 @@ class CheckSpec:
     completeness: list[CompletenessCheck] = field(default_factory=list)
     sanity: list[SanityRule] = field(default_factory=list)
     expected_changes: list[ExpectedChange] = field(default_factory=list)
+    periods_of_source: bool = False  # the source's periods are runs too, though no check compares with it
+
+    def only(self, *kinds: str) -> CheckSpec:
+        """The checks of some kinds alone, with their numbers, for the same runs: a base holds no more than they need."""
+        lists = {"reconciliation": "reconciliation", "trend_sanity": "trend", "parts_sum": "parts", "completeness": "completeness", "sanity_range": "sanity"}
+        unknown = set(kinds) - {*lists, "freshness"}
+        if unknown:
+            raise ValueError(f"unknown checks: {sorted(unknown)}")
+        left = {attribute: [] for kind, attribute in lists.items() if kind not in kinds}
+        fresh = self.freshness_seq if "freshness" in kinds else None
+        return replace(self, freshness_seq=fresh, periods_of_source=bool(self.periods_of_source or self.reconciliation or self.parts), **left)
+
+    def change_intervals(self, dimension: str) -> list[tuple[str | None, str, str, str | None]]:
+        """(value, change, from, until) of the scheduled changes of a dimension: each holds until the next one of its value.
+
+        Of changes of one value in the same period, the last in the registry holds.
+        """
+        by_value: dict[str | None, dict[str, str]] = {}
+        for e in self.expected_changes:
+            if e.dimension == dimension:
+                by_value.setdefault(e.value, {})[e.effective_week] = e.change
+        out = []
+        for value, changes in by_value.items():
+            begins = sorted(changes)
+            out += [(value, changes[begin], begin, until) for begin, until in zip(begins, [*begins[1:], None], strict=True)]
+        return out
 
     @property
     def metrics(self) -> list[str]:

@@ -19,7 +19,7 @@ facts, and a lost executor cannot force a rescan.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,8 +123,13 @@ def side_aggregate(
     period_filter: Column | None,
     period_frame: DataFrame | None,
     with_rules: bool,
+    by_file: bool = False,
 ) -> DataFrame:
-    """(side, wk, dim, key, n_rows, m0.., r0..) for one table."""
+    """(side, wk, dim, key, n_rows, m0.., r0..) for one table.
+
+    ``by_file``: one such set for each file of the table (column ``file``),
+    its sums left in their exact type, so that they can be added up later.
+    """
     t = keep(df, spec.row_filter)
     if period_filter is not None:
         t = t.where(period_filter)
@@ -139,22 +144,25 @@ def side_aggregate(
     at = [spec.metrics.index(m) for m in metrics]  # a metric has one column on both sides
     cols += [f"{s} AS m{i}" for i, s in zip(at, sum_inputs_sql(t, metrics))]
     cols += [f"CAST(({r.expression}) AS BOOLEAN) AS r{j}" for j, r in enumerate(rules)]
+    if by_file:
+        cols.append("_metadata.file_path AS file")
     p = t.selectExpr(*cols)
+    level = ["file", "wk"] if by_file else ["wk"]
 
     aggs = ["count(1) AS n_rows"]
-    aggs += [f"CAST(coalesce(sum(m{i}), 0) AS DOUBLE) AS m{i}" for i in at]
+    aggs += [f"sum(m{i}) AS m{i}" if by_file else f"CAST(coalesce(sum(m{i}), 0) AS DOUBLE) AS m{i}" for i in at]
     aggs += [f"count_if(r{j}) AS r{j}" for j in range(len(rules))]
     keys = [f"k{i}" for i in range(len(dims))]
     if keys:
         aggs += [f"grouping(k{i}) AS g{i}" for i in range(len(dims))]
-        sets = [["wk"]] + [["wk", k] for k in keys]
-        g = p.groupingSets(sets, "wk", *keys).agg(*[F.expr(a) for a in aggs])
+        sets = [level] + [[*level, k] for k in keys]
+        g = p.groupingSets(sets, *level, *keys).agg(*[F.expr(a) for a in aggs])
         dim = "CASE " + " ".join(f"WHEN g{i} = 0 THEN {str_literal(d)}" for i, d in enumerate(dims)) + f" ELSE '{WEEK_LEVEL}' END"
         key = "CASE " + " ".join(f"WHEN g{i} = 0 THEN k{i}" for i in range(len(dims))) + " END"
     else:
-        g = p.groupBy("wk").agg(*[F.expr(a) for a in aggs])
+        g = p.groupBy(*level).agg(*[F.expr(a) for a in aggs])
         dim, key = f"'{WEEK_LEVEL}'", "CAST(NULL AS STRING)"
-    out = [f"{str_literal(side)} AS side", "wk", f"{dim} AS dim", f"{key} AS key", "n_rows"]
+    out = [*(["file"] if by_file else []), f"{str_literal(side)} AS side", "wk", f"{dim} AS dim", f"{key} AS key", "n_rows"]
     out += [f"m{i}" for i in at]
     out += [f"r{j}" for j in range(len(rules))]
     return g.selectExpr(*out)
@@ -180,6 +188,28 @@ class Base:
     latest: DataFrame  # dashboard, latest
     path: str | None
 
+    def under(self, spec: CheckSpec) -> Base:
+        """The same aggregate for other tolerances, limits, values or changes; what was aggregated must be the same."""
+        if aggregated(spec) != aggregated(self.spec):
+            raise ValueError("the base was aggregated for other columns, rules or filters")
+        return replace(self, spec=spec)
+
+
+def aggregated(spec: CheckSpec) -> dict:
+    """Those settings of a registry that decide what a base aggregate holds, but for the tables themselves."""
+    return {
+        "dashboard": spec.dashboard,
+        "date_column": spec.date_column,
+        "grain": spec.grain,
+        "lookback": spec.lookback,
+        "row_filter": spec.row_filter,
+        "metrics": spec.metrics,
+        "source_metrics": spec.source_metrics,
+        "dimensions": spec.dimensions,
+        "source_dimensions": spec.source_dimensions,
+        "rules": [r.expression for r in spec.sanity],
+    }
+
 
 def _runs_frame(spark: SparkSession, runs) -> DataFrame:
     if isinstance(runs, DataFrame):
@@ -206,7 +236,7 @@ def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame
     """
     grain = grain_of(spec.grain)
     dash_df = resolve(spark, spec.dashboard_table)
-    src_df = resolve(spark, spec.source_table) if spec.reconciliation or spec.parts else None
+    src_df = resolve(spark, spec.source_table) if spec.reconciliation or spec.parts or spec.periods_of_source else None
     dc = spec.date_column
 
     parts: list[DataFrame] = []
@@ -267,18 +297,6 @@ def build_base(spark: SparkSession, spec: CheckSpec, runs=None, materialize: boo
         combined.write.mode("error").parquet(path)
         combined = spark.read.parquet(path)
 
-    facts = combined.where(f"side IN ('{DASH}', '{SRC}')")
-    groups = facts.selectExpr("dashboard", "side", "wk", "dim", "key", "n_rows", *[f"r{j}" for j in range(len(spec.sanity))])
-    metrics = spec.metrics
-    if metrics:
-        # wide m0..mk → (metric, total) rows
-        pairs = ", ".join(f"{str_literal(m)}, m{i}" for i, m in enumerate(metrics))
-        totals = facts.selectExpr("dashboard", "side", "wk", "dim", "key", f"stack({len(metrics)}, {pairs}) AS (metric, total)")
-    else:
-        totals = combined.where("false").selectExpr(
-            "dashboard", "side", "wk", "dim", "key", "CAST(NULL AS STRING) AS metric", "CAST(NULL AS DOUBLE) AS total"
-        )
-
     meta = combined
     if runs is None:
         # Every period present is a run; the run set and the latest period are
@@ -294,6 +312,23 @@ def build_base(spark: SparkSession, spec: CheckSpec, runs=None, materialize: boo
             meta_path = f"{path}-runs"
             meta.write.mode("error").parquet(meta_path)
             meta = spark.read.parquet(meta_path)
+    return as_base(spec, combined, meta, path)
+
+
+def as_base(spec: CheckSpec, combined: DataFrame, meta: DataFrame, path: str | None) -> Base:
+    """The views that checks read of a stored aggregate and its run and latest rows."""
+    facts = combined.where(f"side IN ('{DASH}', '{SRC}')")
+    groups = facts.selectExpr("dashboard", "side", "wk", "dim", "key", "n_rows", *[f"r{j}" for j in range(len(spec.sanity))])
+    metrics = spec.metrics
+    if metrics:
+        # wide m0..mk → (metric, total) rows
+        pairs = ", ".join(f"{str_literal(m)}, m{i}" for i, m in enumerate(metrics))
+        totals = facts.selectExpr("dashboard", "side", "wk", "dim", "key", f"stack({len(metrics)}, {pairs}) AS (metric, total)")
+    else:
+        totals = combined.where("false").selectExpr(
+            "dashboard", "side", "wk", "dim", "key", "CAST(NULL AS STRING) AS metric", "CAST(NULL AS DOUBLE) AS total"
+        )
+
     latest = meta.where(F.col("side") == LATEST).select("dashboard", F.col("wk").alias("latest"))
     run_frame = meta.where(F.col("side") == RUN).select("dashboard", F.col("wk").alias("run_week"))
     return Base(spec=spec, runs=run_frame, groups=groups, totals=totals, latest=latest, path=path)

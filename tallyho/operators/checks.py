@@ -365,7 +365,7 @@ def trend_sanity(spark: SparkSession, base: Base) -> DataFrame | None:
 # ── C5 completeness ─────────────────────────────────────────────────────────
 
 _DIM_SCHEMA = T.StructType([_i("check_seq"), _s("dimension")])
-_ITEM_SCHEMA = T.StructType([_i("check_seq"), _s("dimension"), _s("value"), _s("kind"), _i("pos"), _s("effective_week")])
+_ITEM_SCHEMA = T.StructType([_i("check_seq"), _s("dimension"), _s("value"), _s("kind"), _i("pos"), _s("effective_week"), _s("until_week")])
 _VALUE_KEYS = ["dashboard", "run_week", "check_seq", "dimension", "value"]
 
 
@@ -383,11 +383,9 @@ def _completeness_frames(spark: SparkSession, base: Base) -> tuple[DataFrame, Da
     dim_rows = [(c.seq, c.dimension) for c in spec.completeness]
     spec_rows = []
     for c in spec.completeness:
-        spec_rows += [(c.seq, c.dimension, v, "required", i, None) for i, v in enumerate(c.required)]
-        spec_rows += [(c.seq, c.dimension, v, "optional", i, None) for i, v in enumerate(c.optional)]
-        spec_rows += [
-            (c.seq, c.dimension, e.value, e.change, None, e.effective_week) for e in spec.expected_changes if e.dimension == c.dimension
-        ]
+        spec_rows += [(c.seq, c.dimension, v, "required", i, None, None) for i, v in enumerate(c.required)]
+        spec_rows += [(c.seq, c.dimension, v, "optional", i, None, None) for i, v in enumerate(c.optional)]
+        spec_rows += [(c.seq, c.dimension, value, change, None, begin, until) for value, change, begin, until in spec.change_intervals(c.dimension)]
 
     run_dims = expand(base.runs, dim_rows, _DIM_SCHEMA)
     dims = F.broadcast(spark.createDataFrame(dim_rows, _DIM_SCHEMA))  # registry-sized
@@ -410,7 +408,8 @@ def _completeness_frames(spark: SparkSession, base: Base) -> tuple[DataFrame, Da
     if spec_rows:
         configured = (
             expand(base.runs, spec_rows, _ITEM_SCHEMA)
-            .where("effective_week IS NULL OR run_week >= effective_week")
+            # As of the run's week: a change holds until the next one of its value.
+            .where("(effective_week IS NULL OR run_week >= effective_week) AND (until_week IS NULL OR run_week < until_week)")
             .select(*_VALUE_KEYS, "kind", "pos")
         )
         items = items.unionByName(configured)

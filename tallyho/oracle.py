@@ -256,15 +256,16 @@ def suite_ctes(cfg) -> str:
                 f"({_lit(v)}, 'optional', {i})" for i, v in enumerate(opt)
             ]
             vals = ", ".join(rows) if rows else "(NULL, 'none', 0)"
+            def until(c):
+                later = [x["effective_week"] for x in cfg["changes"] if (x["dimension"], x["value"]) == (c["dimension"], c["value"]) and x["effective_week"] > c["effective_week"]]
+                return f" AND run_week < '{min(later)}'" if later else ""
+
+            own = [c for c in cfg["changes"] if c["dimension"] == dim]
             gone = " OR ".join(
-                f"(q.value IS NOT DISTINCT FROM {_lit(c['value'])} AND r.run_week >= '{c['effective_week']}')"
-                for c in cfg["changes"]
-                if c["dimension"] == dim and c["change"] == "disappears"
+                f"(q.value IS NOT DISTINCT FROM {_lit(c['value'])} AND run_week >= '{c['effective_week']}'{until(c)})" for c in own if c["change"] == "disappears"
             ) or "FALSE"
             appears = " UNION ALL ".join(
-                f"SELECT run_week, {_lit(c['value'])} AS value FROM runs WHERE run_week >= '{c['effective_week']}'"
-                for c in cfg["changes"]
-                if c["dimension"] == dim and c["change"] == "appears"
+                f"SELECT run_week, {_lit(c['value'])} AS value FROM runs WHERE run_week >= '{c['effective_week']}'{until(c)}" for c in own if c["change"] == "appears"
             )
             t = f"c{seq}"
             ctes.append(f"{t}_vals AS (SELECT * FROM (VALUES {vals}) v(value, kind, pos) WHERE kind <> 'none')")
@@ -489,6 +490,11 @@ def oracle() -> dict[str, str]:
             ],
         )
     )
+    reversed_changes = [
+        {"dimension": "platform", "value": v, "change": c, "effective_week": w}
+        for v, c, w in (("signup", "disappears", "2024-01"), ("signup", "appears", "2024-02"), ("beta", "appears", "2024-01"), ("beta", "disappears", "2024-02"), ("click", "disappears", "2024-03"))
+    ]
+    f1_reversed = suite_ctes(_with(F1_CFG, changes=reversed_changes))
     f2_filtered = suite_ctes(_with(F2_CFG, row_filter="pillar = 'F'"))
     sql: dict[str, str] = {}
     sql["reconciliation"] = f1 + f"SELECT {RES}, gap_pct FROM recon"
@@ -533,10 +539,12 @@ def oracle() -> dict[str, str]:
     sql["missing_values"] = f1 + "SELECT run_week, dimension, value FROM comp_missing"
     sql["new_values"] = f1 + "SELECT run_week, dimension, value FROM comp_new"
     sql["completeness_expected_changes"] = f1_changes + f"SELECT {RES}, n_missing, n_new, missing_values FROM comp"
+    sql["completeness_change_reversed"] = f1_reversed + f"SELECT {RES}, n_missing, n_new, missing_values FROM comp"
     sql["sanity_range"] = f1 + f"SELECT {RES}, n_rows, violations FROM sanity"
     sql["suite_results"] = f1 + f"SELECT {RES} FROM results"
     sql["run_summary"] = f1 + f"SELECT 'events_dashboard' AS dashboard, run_week, total, pass, drift, fail, {OVERALL} AS overall_status FROM summary"
     sql["suite_single_week"] = f1 + f"SELECT {RES} FROM results WHERE run_week = '2024-03'"
+    sql["rerun_late_weeks"] = f1 + f"SELECT {RES} FROM results WHERE run_week IN (SELECT wk FROM src WHERE event_id % 50 = 7 AND wk IN ('2024-03', '2024-04'))"
     sql["validate_log"] = f"SELECT * FROM ({_log_rows_sql(F1_CFG, '2024-02-05T06:00:00', 'events_dashboard')}) WHERE run_week = '2024-03'"
     sql["suite_backfill"] = f2 + f"SELECT {RES} FROM results"
     sql["suite_row_filter"] = f2_filtered + f"SELECT {RES} FROM results"

@@ -22,10 +22,16 @@ from tallyho.plans.items import run_items
 
 
 class Suite:
-    def __init__(self, spark: SparkSession, registry: dict | CheckSpec, runs=None, materialize: bool = True):
+    def __init__(self, spark: SparkSession, registry: dict | CheckSpec, runs=None, materialize: bool = True, base: Base | None = None, only: tuple[str, ...] | None = None):
+        """``base``: an aggregate built before, for other settings of the same tables and columns.
+
+        ``only``: the kinds of check that are wanted; the base is built for them alone.
+        """
         self.spark = spark
         self.spec = registry if isinstance(registry, CheckSpec) else normalize(registry)
-        self.base: Base = build_base(spark, self.spec, runs, materialize=materialize)
+        if only is not None:
+            self.spec = self.spec.only(*only)
+        self.base: Base = build_base(spark, self.spec, runs, materialize=materialize) if base is None else base.under(self.spec)
 
     # per-check frames (None when the check kind is not configured)
     def freshness(self):

@@ -16,6 +16,7 @@ from tallyho.plans import history as H
 from tallyho.plans import items as I
 from tallyho.plans import periods as P
 from tallyho.plans import report as R
+from tallyho.plans.stored import StoredBase
 from tallyho.plans.suite import Suite, run_suites
 from tallyho.session import scratch_path
 from tallyho.sources import fixtures as X
@@ -35,21 +36,29 @@ EXPECTED_CHANGES = [
     {"dimension": "platform", "value": "beta", "change": "appears", "effective_week": "2024-02"},
 ]
 
+REVERSED_CHANGES = [
+    {"dimension": "platform", "value": "signup", "change": "disappears", "effective_week": "2024-01"},
+    {"dimension": "platform", "value": "signup", "change": "appears", "effective_week": "2024-02"},
+    {"dimension": "platform", "value": "beta", "change": "appears", "effective_week": "2024-01"},
+    {"dimension": "platform", "value": "beta", "change": "disappears", "effective_week": "2024-02"},
+    {"dimension": "platform", "value": "click", "change": "disappears", "effective_week": "2024-03"},
+]
+
 
 def _res(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*[severity(F.col("status")).alias("severity") if c == "severity" else F.col(c) for c in RES], *extra)
 
 
-def _f1(spark, sf, **kw) -> Suite:
-    return Suite(spark, X.events_registry(spark, sf, **kw))
+def _f1(spark, sf, only=None, **kw) -> Suite:
+    return Suite(spark, X.events_registry(spark, sf, **kw), only=only)
 
 
-def _f2(spark, sf, **kw) -> Suite:
-    return Suite(spark, X.lineitem_registry(spark, sf, **kw))
+def _f2(spark, sf, only=None, **kw) -> Suite:
+    return Suite(spark, X.lineitem_registry(spark, sf, **kw), only=only)
 
 
 def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
-    return _res(_f1(spark, sf).reconciliation(), "gap_pct")
+    return _res(_f1(spark, sf, ("reconciliation",)).reconciliation(), "gap_pct")
 
 
 def verify_totals(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,7 +68,7 @@ def verify_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf: str) -> DataFrame:
-    f = _f1(spark, sf).freshness()
+    f = _f1(spark, sf, ("freshness",)).freshness()
     return f.select("run_week", "check_name", "metric", "status", severity(F.col("status")).alias("severity"), "expected", "actual")
 
 
@@ -70,29 +79,29 @@ def resolve_run_week(spark: SparkSession, sf: str) -> DataFrame:
 def parts_sum(spark: SparkSession, sf: str) -> DataFrame:
     checks = dict(X.events_registry(spark, sf)["checks"])
     checks["parts_sum"] = {"enabled": True, "pivot_column": "platform"}
-    return _res(_f1(spark, sf, checks=checks).parts_sum(), "n_failing")
+    return _res(_f1(spark, sf, ("parts_sum",), checks=checks).parts_sum(), "n_failing")
 
 
 def parts_sum_multi_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return _res(_f1(spark, sf).parts_sum(), "n_failing")
+    return _res(_f1(spark, sf, ("parts_sum",)).parts_sum(), "n_failing")
 
 
 def parts_sum_detail(spark: SparkSession, sf: str) -> DataFrame:
-    return _f1(spark, sf).parts_sum_detail().drop("dashboard")
+    return _f1(spark, sf, ("parts_sum",)).parts_sum_detail().drop("dashboard")
 
 
 def trend_sanity(spark: SparkSession, sf: str) -> DataFrame:
-    return _res(_f1(spark, sf).trend_sanity(), "baseline", "current", "change_pct", "n_weeks")
+    return _res(_f1(spark, sf, ("trend_sanity",)).trend_sanity(), "baseline", "current", "change_pct", "n_weeks")
 
 
 def trend_sanity_limit20(spark: SparkSession, sf: str) -> DataFrame:
     checks = dict(X.events_registry(spark, sf)["checks"])
     checks["trend_sanity"] = {"enabled": True, "max_wow_change_pct": 20.0}
-    return _res(_f1(spark, sf, checks=checks).trend_sanity(), "baseline", "current", "change_pct", "n_weeks")
+    return _res(_f1(spark, sf, ("trend_sanity",), checks=checks).trend_sanity(), "baseline", "current", "change_pct", "n_weeks")
 
 
 def weekly_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return P.weekly_totals(_f1(spark, sf).base).drop("dashboard")
+    return P.weekly_totals(_f1(spark, sf, ("trend_sanity",)).base).drop("dashboard")
 
 
 def prev_week(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,37 +115,43 @@ def lookback_weeks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trend_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    s = _f2(spark, sf)
+    s = _f2(spark, sf, ("trend_sanity",))
     return P.trend_window(s.base, s.spec.lookback, 20.0).drop("dashboard")
 
 
 def trend_backfill_join(spark: SparkSession, sf: str) -> DataFrame:
     """Same answers as ``trend_backfill`` through the lookback-label join (J5)."""
-    t = _f2(spark, sf).trend_sanity()
+    t = _f2(spark, sf, ("trend_sanity",)).trend_sanity()
     return t.select("run_week", "metric", "baseline", "current", "change_pct", "n_weeks", "status")
 
 
 def completeness(spark: SparkSession, sf: str) -> DataFrame:
-    return _res(_f1(spark, sf).completeness(), "n_missing", "n_new", "missing_values")
+    return _res(_f1(spark, sf, ("completeness",)).completeness(), "n_missing", "n_new", "missing_values")
 
 
 def missing_values(spark: SparkSession, sf: str) -> DataFrame:
-    missing, _ = _f1(spark, sf).completeness_values()
+    missing, _ = _f1(spark, sf, ("completeness",)).completeness_values()
     return missing.select("run_week", "dimension", "value")
 
 
 def new_values(spark: SparkSession, sf: str) -> DataFrame:
-    _, new = _f1(spark, sf).completeness_values()
+    _, new = _f1(spark, sf, ("completeness",)).completeness_values()
     return new.select("run_week", "dimension", "value")
 
 
 def completeness_expected_changes(spark: SparkSession, sf: str) -> DataFrame:
-    s = _f1(spark, sf, expected_changes=EXPECTED_CHANGES)
+    s = _f1(spark, sf, ("completeness",), expected_changes=EXPECTED_CHANGES)
+    return _res(s.completeness(), "n_missing", "n_new", "missing_values")
+
+
+def completeness_change_reversed(spark: SparkSession, sf: str) -> DataFrame:
+    """A scheduled disappearance that a later change takes back: the value is required again."""
+    s = _f1(spark, sf, ("completeness",), expected_changes=REVERSED_CHANGES)
     return _res(s.completeness(), "n_missing", "n_new", "missing_values")
 
 
 def sanity_range(spark: SparkSession, sf: str) -> DataFrame:
-    return _res(_f1(spark, sf).sanity_range(), "n_rows", "violations")
+    return _res(_f1(spark, sf, ("sanity_range",)).sanity_range(), "n_rows", "violations")
 
 
 def suite_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,19 +198,15 @@ def trend_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _logged(spark: SparkSession, sf: str) -> DataFrame:
-    from concurrent.futures import ThreadPoolExecutor
-
     def registry(tol: float) -> dict:
         reg = X.events_registry(spark, sf)
         reg["metrics"] = [dict(m, tolerance_pct=tol) for m in reg["metrics"]]
         return reg
 
-    runs = ((LOG_TS_1, 1.0), (LOG_TS_2, 5.0))
-    # The two runs' base aggregates are independent jobs: build them together.
-    with ThreadPoolExecutor(max_workers=len(runs)) as pool:
-        suites = list(pool.map(lambda r: Suite(spark, registry(r[1])), runs))
     path = scratch_path(spark, "runlog")
-    for (ts, _), suite in zip(runs, suites):  # appends stay sequential
+    first = Suite(spark, registry(1.0))
+    second = Suite(spark, registry(5.0), base=first.base)  # other tolerances, the same aggregate
+    for ts, suite in ((LOG_TS_1, first), (LOG_TS_2, second)):
         H.append_log(H.log_rows(suite.check_results(), ts), path)
     return H.read_log(spark, path)
 
@@ -235,6 +246,22 @@ def rerun_on_arrival(spark: SparkSession, sf: str) -> DataFrame:
     return H.read_log(spark, log_path).drop("detail")
 
 
+def rerun_late_weeks(spark: SparkSession, sf: str) -> DataFrame:
+    """Late files: the events land in two loads, and after the first was validated only the second's weeks are due."""
+    landing = scratch_path(spark, "landing")
+    events = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
+    late = F.expr("event_id % 50 = 7") & week_label(F.col("ts")).isin("2024-03", "2024-04")
+    reg = X.events_registry(spark, sf, dashboard_table=landing, source_table=landing)
+    folder = scratch_path(spark, "stored-base")
+    for load in (~late, late):
+        events.where(load).write.mode("append").parquet(landing)
+        stored = StoredBase(spark, reg, folder, {"dash": X.dashboard_facts, "src": X.source_facts})
+        stored.refresh()
+        suite = stored.suite()
+        stored.finished()
+    return suite.check_results().select(*RES)
+
+
 def suite_single_week(spark: SparkSession, sf: str) -> DataFrame:
     """The scheduled form: one literal week, its filters pushed to both scans."""
     return Suite(spark, X.events_registry(spark, sf), runs=["2024-03"]).check_results().select(*RES)
@@ -279,12 +306,12 @@ def result_details(spark: SparkSession, sf: str) -> DataFrame:
 def run_items(spark: SparkSession, sf: str) -> DataFrame:
     """Both checks' items, written to the item log under their runs and read back."""
     path = scratch_path(spark, "item-log")
-    I.append_items(I.item_rows(_f1(spark, sf).items(), LOG_TS_1), path)
+    I.append_items(I.item_rows(_f1(spark, sf, ("parts_sum", "completeness")).items(), LOG_TS_1), path)
     return I.read_items(spark, path).drop("run_id", "run_timestamp", "dashboard")
 
 
 def run_item_texts(spark: SparkSession, sf: str) -> DataFrame:
-    return I.item_texts(_f1(spark, sf).items(), chunk=2).drop("dashboard")
+    return I.item_texts(_f1(spark, sf, ("parts_sum", "completeness")).items(), chunk=2).drop("dashboard")
 
 
 def triage_context(spark: SparkSession, sf: str) -> DataFrame:
@@ -314,10 +341,12 @@ QUERIES = {
     "missing_values": missing_values,
     "new_values": new_values,
     "completeness_expected_changes": completeness_expected_changes,
+    "completeness_change_reversed": completeness_change_reversed,
     "sanity_range": sanity_range,
     "suite_results": suite_results,
     "run_summary": run_summary,
     "suite_single_week": suite_single_week,
+    "rerun_late_weeks": rerun_late_weeks,
     "validate_log": validate_log,
     "suite_backfill": suite_backfill,
     "suite_row_filter": suite_row_filter,

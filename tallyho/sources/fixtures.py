@@ -20,7 +20,11 @@ _WEEK = "concat(CAST(extract(YEAROFWEEK FROM {c}) AS STRING), '-', lpad(CAST(ext
 
 def events_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 source table: weekly event facts with two pivots, a row class and two metrics."""
-    return testdata(spark, sf_dir, "events").selectExpr(
+    return source_facts(testdata(spark, sf_dir, "events"))
+
+
+def source_facts(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
         "event_id",
         f"{_WEEK.format(c='ts')} AS wk",
         "CASE WHEN event_id % 40 = 5 THEN CAST(NULL AS STRING) ELSE event_type END AS platform",
@@ -33,8 +37,12 @@ def events_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 dashboard table: the source with a mislabel, a scaled week, negative rows and a dropped slice."""
+    return dashboard_facts(testdata(spark, sf_dir, "events"))
+
+
+def dashboard_facts(events: DataFrame) -> DataFrame:
     return (
-        events_source(spark, sf_dir)
+        source_facts(events)
         .where("NOT (wk = '2024-02' AND platform = 'signup')")
         .selectExpr(
             "event_id",
