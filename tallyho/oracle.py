@@ -535,6 +535,20 @@ def oracle() -> dict[str, str]:
     )
     sql["trend_backfill"] = f2 + "SELECT run_week, metric, baseline, current, change_pct, n_weeks, status FROM trend WHERE run_week IN (SELECT wk FROM dt)"
     sql["trend_backfill_join"] = f2 + "SELECT run_week, metric, baseline, current, change_pct, n_weeks, status FROM trend"
+    idx = _week_idx
+    sql["trend_backfill_segments"] = f2.rstrip() + f""",
+cells AS (SELECT '' AS dimension, CAST(NULL AS VARCHAR) AS segment, wk, metric, total FROM dt UNION ALL SELECT dim, key, wk, metric, total FROM dg WHERE dim = 'segment'),
+spans AS (SELECT dimension, segment, metric, MIN({idx('wk')}) AS first FROM cells GROUP BY ALL),
+grid AS (SELECT s.*, r.wk AS run_week FROM spans s CROSS JOIN (SELECT DISTINCT wk FROM dt) r WHERE {idx('r.wk')} >= s.first),
+hist AS (SELECT g.dimension, g.segment, g.metric, g.run_week, COUNT(c.total) AS n_weeks, SUM(CAST(ROUND(c.total * 100) AS HUGEINT)) AS cents
+  FROM grid g JOIN lb ON lb.run_week = g.run_week JOIN cells c ON c.dimension = g.dimension AND c.segment IS NOT DISTINCT FROM g.segment AND c.metric = g.metric AND c.wk = lb.hwk GROUP BY ALL),
+graded AS (SELECT g.dimension, g.segment, g.metric, g.run_week, COALESCE(c.total, 0.0) AS cur, COALESCE(h.n_weeks, 0) AS n_weeks,
+    CASE WHEN h.n_weeks > 0 THEN {_BASE} END AS base, CASE WHEN h.n_weeks > 0 THEN {_BASE_R} END AS baseline
+  FROM grid g LEFT JOIN cells c ON c.dimension = g.dimension AND c.segment IS NOT DISTINCT FROM g.segment AND c.metric = g.metric AND c.wk = g.run_week
+  LEFT JOIN hist h ON h.dimension = g.dimension AND h.segment IS NOT DISTINCT FROM g.segment AND h.metric = g.metric AND h.run_week = g.run_week),
+judged AS (SELECT *, CASE WHEN base <> 0 THEN (cur - base) / abs(base) * 100.0 END AS w FROM graded)
+SELECT dimension, segment, run_week, metric, baseline, {R2('cur')} AS current, {R2('w')} AS change_pct, n_weeks,
+  CASE WHEN w IS NULL OR abs(w) <= 20.0 THEN 'PASS' WHEN abs(w) <= 30.0 THEN 'DRIFT' ELSE 'FAIL' END AS status FROM judged"""
     sql["completeness"] = f1 + f"SELECT {RES}, n_missing, n_new, missing_values FROM comp"
     sql["missing_values"] = f1 + "SELECT run_week, dimension, value FROM comp_missing"
     sql["new_values"] = f1 + "SELECT run_week, dimension, value FROM comp_new"

@@ -104,3 +104,60 @@ def trend_window(base: Base, n: int, limit: float) -> DataFrame:
         F.col("n_weeks").cast("bigint").alias("n_weeks"),
         F.when(graded, tier_ladder(F.abs(wow), F.lit(float(limit)), TREND_DRIFT_FACTOR)).otherwise(F.lit(PASS)).alias("status"),
     )
+
+
+def trend_segments(base: Base, n: int, limit: float, dimension: str) -> DataFrame:
+    """Trailing-n-period baselines of the whole table (``dimension`` '') and of every value of one dimension.
+
+    Each (value, metric) has a row for every period of the table from its own
+    first period on; a period without its rows counts 0, so a value that
+    vanishes shows as -100 %.  The baseline is the mean over those of the n
+    preceding labels that have rows.  It is the difference of two exact prefix
+    sums over a dense index of periods, so any n costs the same, and each
+    window partition holds one value's and metric's periods only.
+
+    Week 53 is graded like other periods and never history.  A window with a
+    total that no DECIMAL(38,10) holds (NaN, infinite, beyond 28 digits) has
+    the baseline NaN and grades FAIL.
+    """
+    g = grain_of(base.spec.grain)
+    keys = ["dashboard", "dim", "key", "metric"]
+    totals = base.totals.where(f"side = '{DASH}' AND wk IS NOT NULL").where(F.col("dim").isin(WEEK_LEVEL, dimension))
+    label = F.col("wk")
+    seen = totals.select(*keys, g.index(label).alias("idx"), "wk", "total", g.is_history_label(label).alias("past"))
+    ends = seen.groupBy("dashboard").agg(F.max("idx").alias("last"))
+    own = seen.groupBy(*keys).agg(F.min("idx").alias("first")).join(ends, "dashboard")
+    empty = own.select(*keys, F.explode(F.sequence("first", "last")).alias("idx"))
+    exact = F.when(F.col("past"), F.col("total").try_cast("decimal(38,10)"))
+    # Weeks 53 and 01 share an index, so a cell has two totals at most.
+    cells = seen.unionByName(empty, allowMissingColumns=True).groupBy(*keys, "idx").agg(
+        F.collect_list(F.when(label.isNotNull(), F.struct("wk", "total"))).alias("totals"),
+        F.coalesce(F.sum(exact).cast("decimal(38,10)"), F.lit(0).cast("decimal(38,10)")).alias("s"),
+        F.count_if("past").alias("c"),
+        F.count(exact).alias("d"),
+    )
+    line = Window.partitionBy(*keys).orderBy("idx")
+    for name in ("s", "c", "d"):
+        cells = cells.withColumn(f"{name}_to", F.sum(name).over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    upto = lambda name, back: F.coalesce(F.lag(f"{name}_to", back).over(line), F.lit(0))
+    between = {name: upto(name, 1) - upto(name, n + 1) for name in ("s", "c", "d")}
+    cells = cells.select(*keys, "idx", "totals", *(v.alias(f"{k}_n") for k, v in between.items()))
+    periods = seen.select("dashboard", "idx", "wk").distinct()
+    df = cells.join(periods, ["dashboard", "idx"])
+    current = F.coalesce(F.get(F.filter("totals", lambda x: x["wk"] == F.col("wk")), F.lit(0))["total"], F.lit(0.0))
+    mean = F.when(F.col("c_n") > 0, F.when(F.col("c_n") == F.col("d_n"), F.col("s_n") / F.col("c_n").cast("decimal(10,0)")))
+    df = df.withColumn("cur", current).withColumn("exact", mean).withColumn("base", F.when((F.col("c_n") > 0) & (F.col("c_n") != F.col("d_n")), F.lit(float("nan"))).otherwise(F.col("exact").cast("double")))
+    graded = (F.col("c_n") > 0) & (F.col("base") != 0)
+    wow = F.when(graded, (F.col("cur") - F.col("base")) / F.abs("base") * F.lit(100.0))
+    return df.select(
+        "dashboard",
+        F.col("dim").alias("dimension"),
+        F.col("key").alias("segment"),
+        F.col("wk").alias("run_week"),
+        "metric",
+        F.coalesce(F.round("exact", 2).cast("double"), F.col("base")).alias("baseline"),
+        round2(F.col("cur")).alias("current"),
+        round2(wow).alias("change_pct"),
+        F.col("c_n").cast("bigint").alias("n_weeks"),
+        F.when(graded, tier_ladder(F.abs(wow), F.lit(float(limit)), TREND_DRIFT_FACTOR)).otherwise(F.lit(PASS)).alias("status"),
+    )

@@ -119,6 +119,12 @@ def trend_backfill(spark: SparkSession, sf: str) -> DataFrame:
     return P.trend_window(s.base, s.spec.lookback, 20.0).drop("dashboard")
 
 
+def trend_backfill_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """The trend of every week, of the whole table and of each segment."""
+    s = _f2(spark, sf, ("trend_sanity", "parts_sum"))
+    return P.trend_segments(s.base, s.spec.lookback, 20.0, "segment").drop("dashboard")
+
+
 def trend_backfill_join(spark: SparkSession, sf: str) -> DataFrame:
     """Same answers as ``trend_backfill`` through the lookback-label join (J5)."""
     t = _f2(spark, sf, ("trend_sanity",)).trend_sanity()
@@ -337,6 +343,7 @@ QUERIES = {
     "lookback_weeks": lookback_weeks,
     "trend_backfill": trend_backfill,
     "trend_backfill_join": trend_backfill_join,
+    "trend_backfill_segments": trend_backfill_segments,
     "completeness": completeness,
     "missing_values": missing_values,
     "new_values": new_values,
