@@ -21,8 +21,9 @@ values.  Five values make a band: a pair at similarity 0.8 shares none of the
 No pair of a bucket is left out (one that met in an earlier band, by the whole
 64-bit bucket key, was compared there), so the components are those of all links
 that share a band.  Defined cases: NULL or blank text has an empty set and
-is linked with nothing; rows repeated with one id count once; extra columns
-are ignored; an empty table gives an empty table.
+is linked with nothing; rows that share an id are one document of several
+texts, whatever their order; extra columns are ignored; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyho.llm import hashing as H
-from tallyho.llm.components import components, saved
+from tallyho.llm.components import components, row_keyed, saved
 
 PERMUTATIONS = 80
 BAND = 5
@@ -159,13 +160,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """doc_id, n_shingles, component_id, kept for every distinct doc_id of ``docs`` (doc_id, text).
 
     Two documents are linked when 100 * intersection >= percent * union of
-    their ``width``-word shingle sets.  NULL ids are left out.
+    their ``width``-word shingle sets.  NULL ids are left out.  Rows that share
+    an id are one document of several texts: each text counts for its links,
+    and n_shingles is that of the largest.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
+    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return _groups(docs, width, percent)
+    rows = row_keyed(docs)
+    groups = saved(_groups(rows.select(F.col("__row_key").alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("__row_key"), "n_shingles", "component_id"), "row-groups")
+    owned = saved(rows.select("doc_id", "__row_key").join(groups, "__row_key"), "owned-groups")
+    # The groups that meet in a document are one.
+    firsts = owned.groupBy("doc_id").agg(F.min("component_id").alias("a"))
+    joined = components(owned.join(firsts, "doc_id").select("a", F.col("component_id").alias("b")).distinct())
+    placed = owned.join(joined, owned.component_id == joined.id, "left").select("doc_id", "n_shingles", F.coalesce("root", "component_id").alias("group"))
+    least = placed.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    whole = placed.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("group").alias("group"))
+    return whole.join(least, "group").select("doc_id", "n_shingles", "component_id", F.expr("doc_id = component_id").alias("kept"))
+
+
+def _groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``near_duplicates`` of documents with an id each."""
     drawn = saved(sketches(docs, width), "sketches")
     whole = drawn.where("digest IS NOT NULL")
     classes = whole.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = whole.join(classes, "digest").where("doc_id = rep").dropDuplicates(["doc_id"])
+    reps = whole.join(classes, "digest").where("doc_id = rep")
 
     entries = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
     # Another member is the hub in each band: the least of a hash that depends on the band.
@@ -173,10 +192,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     crowded = saved(entries.join(buckets, ["band", "bucket"]).select("band", "bucket", F.col("doc_id").alias("id"), F.col("least.doc_id").alias("hub")), "buckets")
 
     members = crowded.select("id").distinct()
-    # A repeated id has one text here: the row whose set stands in reps.
     texts = docs.join(members, docs.doc_id == members.id, "left_semi").select("doc_id", "text")
     signs = reps.select("doc_id", "sign", "bands")
-    sets = saved(texts.join(signs, "doc_id").select("doc_id", "text", "sign", "bands").mapInArrow(_sets(width), "id long, shingles binary, sign binary, bands array<long>").dropDuplicates(["id"]), "sets")
+    sets = saved(texts.join(signs, "doc_id").select("doc_id", "text", "sign", "bands").mapInArrow(_sets(width), "id long, shingles binary, sign binary, bands array<long>"), "sets")
 
     pairs = crowded.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     x, y = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
@@ -200,4 +218,4 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     linked = components(stars.union(more))
     groups = classes.join(linked, classes.rep == linked.id, "left").select("digest", F.coalesce("root", "rep").alias("component_id"))
     found = drawn.join(groups, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return found.dropDuplicates(["doc_id"]).withColumn("kept", F.expr("doc_id = component_id"))
+    return found.withColumn("kept", F.expr("doc_id = component_id"))

@@ -205,3 +205,16 @@ def test_one_block_of_items_is_held_at_a_time(spark, monkeypatch):
     got = decontam.contained(docs, items, block_shingles=40)
     assert len(most) == 5 and max(most) == 1 and not live
     assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(i, i) for i in range(12)]
+
+
+def test_rows_that_share_an_id_are_one_document_in_any_order(spark):
+    r = random.Random(11)
+    draw = lambda: [f"v{r.randrange(10**6)}" for _ in range(60)]
+    a, b, c = draw(), draw(), draw()
+    near = lambda t: " ".join([*t[:59], "x"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (4, " ".join(c)), (4, None), (4, " ".join(c)), (5, near(c)), (6, "alone"), (None, near(a))]
+    want = [(1, 57, 1), (2, 57, 1), (3, 57, 1), (4, 57, 4), (5, 57, 4), (6, 1, 6)]
+    for order in (rows, rows[::-1], sorted(rows, key=str)):
+        df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        got = sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in minmax.near_duplicates(df, 4, 80).collect())
+        assert got == want
