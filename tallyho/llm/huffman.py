@@ -40,7 +40,7 @@ from tallyho.session import scratch_path
 BLOCK = 65_536
 STEP = 128
 MAX_LENGTH = 16
-SLICE = 4 << 20  # bytes of text tokenized at a time
+SLICE = 2 << 20  # bytes of text tokenized at a time
 ROWS_A_FILE = 25_000
 _BLOCKS = "file int, block int, docs array<struct<doc_id: bigint, start: bigint, length: int, part: int, parts: int>>, n_ids int, checkpoints binary, payload binary"
 _DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("part", pa.int32()), ("parts", pa.int32())]))
