@@ -15,7 +15,7 @@ the number of driver→JVM calls per plan small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -372,11 +372,13 @@ _VALUE_KEYS = ["dashboard", "run_week", "check_seq", "dimension", "value"]
 def _completeness_frames(spark: SparkSession, base: Base) -> tuple[DataFrame, DataFrame]:
     """(run × check rows, one row per run × check × value with its flags).
 
-    Present values, lookback-history values and configured values (required,
-    optional, scheduled appearances and disappearances, once effective) are
-    tagged and unioned, then grouped by value: NULL is its own group, so
-    matching is null-safe without anti-joins, and every group holds at most
-    one present row, the lookback weeks and the registry's entries.
+    Whether a present value was seen in the lookback is read off one sorted
+    pass over the periods of each (dimension, value): a range frame on the
+    period index, without a row for every lookback period.  Present and
+    configured values (required, optional, scheduled appearances and
+    disappearances, while effective) are tagged and unioned, then grouped by
+    value: NULL is its own group, so matching is null-safe without anti-joins,
+    and every group holds at most one present row and the registry's entries.
     """
     spec = base.spec
     grain = grain_of(spec.grain)
@@ -390,21 +392,15 @@ def _completeness_frames(spark: SparkSession, base: Base) -> tuple[DataFrame, Da
     run_dims = expand(base.runs, dim_rows, _DIM_SCHEMA)
     dims = F.broadcast(spark.createDataFrame(dim_rows, _DIM_SCHEMA))  # registry-sized
     groups = base.groups.where(f"side = '{DASH}' AND dim != '{WEEK_LEVEL}'")
-    tag = lambda kind: [f"'{kind}' AS kind", "CAST(NULL AS INT) AS pos"]
+    seen = Window.partitionBy("dashboard", "dimension", "value").orderBy(grain.index(F.col("run_week"))).rangeBetween(-spec.lookback, -1)
     present = (
-        groups.selectExpr("dashboard", "wk AS run_week", "dim AS dimension", "key AS value")
-        .join(base.runs, ["dashboard", "run_week"], "left_semi")
+        groups.where("wk IS NOT NULL")
+        .selectExpr("dashboard", "wk AS run_week", "dim AS dimension", "key AS value")
         .join(dims, ["dimension"])
-        .selectExpr(*_VALUE_KEYS, *tag("present"))
-    )
-    history = (
-        run_dims.select(
-            "dashboard", "run_week", "check_seq", "dimension", F.explode(grain.lookback(F.col("run_week"), spec.lookback)).alias("wk")
-        )
-        .join(groups.selectExpr("dashboard", "wk", "dim AS dimension", "key AS value"), ["dashboard", "wk", "dimension"])
-        .selectExpr(*_VALUE_KEYS, *tag("history"))
+        .withColumn("past", F.count_if(grain.is_history_label(F.col("run_week"))).over(seen))
+        .join(base.runs, ["dashboard", "run_week"], "left_semi")
     )
-    items = present.unionByName(history)
+    items = present.selectExpr(*_VALUE_KEYS, "CASE WHEN past > 0 THEN 'seen' ELSE 'present' END AS kind", "CAST(NULL AS INT) AS pos")
     if spec_rows:
         configured = (
             expand(base.runs, spec_rows, _ITEM_SCHEMA)
@@ -414,9 +410,9 @@ def _completeness_frames(spark: SparkSession, base: Base) -> tuple[DataFrame, Da
         )
         items = items.unionByName(configured)
     values = items.groupBy(*_VALUE_KEYS).agg(
-        F.expr("max(kind = 'present') AS is_present"),
+        F.expr("max(kind IN ('present', 'seen')) AS is_present"),
         # required values stay known even after a scheduled disappearance
-        F.expr("max(kind IN ('history', 'required', 'optional', 'appears')) AS is_known"),
+        F.expr("max(kind IN ('seen', 'required', 'optional', 'appears')) AS is_known"),
         F.expr("max(kind = 'disappears') AS is_gone"),
         F.expr("collect_list(CASE WHEN kind = 'required' THEN pos END) AS req_pos"),
     )
