@@ -87,6 +87,12 @@ def period_between(df: DataFrame, column: str, first: str, last: str) -> Column:
     return c.between(first, last)
 
 
+def period_from(df: DataFrame, column: str, first: str) -> Column:
+    """A typed lower bound on the bare column."""
+    dtype, c = _period_type(df, column), F.col(quote(column))
+    return c >= (F.lit(first) if isinstance(dtype, T.StringType) else F.lit(first).cast(dtype))
+
+
 def quote(name: str) -> str:
     """A column name as a SQL identifier."""
     return "`" + name.replace("`", "``") + "`"
@@ -177,6 +183,21 @@ def latest_period(df: DataFrame, spec: CheckSpec) -> DataFrame:
     )
 
 
+def latest_from(df: DataFrame, spec: CheckSpec, first: str | None) -> DataFrame:
+    """The latest period, looked for from the first period of the runs on.
+
+    One scalar comes to the driver.  Rows from there on, which the run reads
+    anyway, nearly always have it; only a table without any such row is
+    scanned whole.
+    """
+    if first is not None:
+        probe = keep(df, spec.row_filter).where(period_from(df, spec.date_column, first))
+        latest = probe.agg(F.max(F.expr(period_text(df, spec.date_column)))).first()[0]
+        if latest is not None:
+            return df.sparkSession.createDataFrame([(LATEST, latest, WEEK_LEVEL)], "side string, wk string, dim string")
+    return latest_period(df, spec)
+
+
 @dataclass
 class Base:
     """Materialized base aggregate of one dashboard plus its run set."""
@@ -240,6 +261,7 @@ def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame
     dc = spec.date_column
 
     parts: list[DataFrame] = []
+    begin: str | None = None  # the first period that the runs read
     if runs is None:
         dash_agg = side_aggregate(dash_df, side=DASH, spec=spec, period_filter=None, period_frame=None, with_rules=True)
         parts = [dash_agg]
@@ -250,6 +272,7 @@ def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame
         run_weeks, first, last = _stored(_runs_frame(spark, runs).select(F.col("run_week").alias("_wk")), "run-weeks")
         runs = run_weeks.select(F.col("_wk").alias("run_week"))
         needed, earliest, _ = _stored(run_weeks.union(run_weeks.select(F.explode(grain.lookback(F.col("_wk"), spec.lookback)))).distinct(), "needed-weeks")
+        begin = earliest
         within = lambda df, a: period_between(df, dc, a, last) if last is not None else F.lit(False)
         dash_agg = side_aggregate(dash_df, side=DASH, spec=spec, period_filter=within(dash_df, earliest), period_frame=needed, with_rules=True)
         parts = [dash_agg]
@@ -258,6 +281,7 @@ def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame
     else:
         run_list = list(dict.fromkeys(str(r) for r in runs))
         needed = list(dict.fromkeys(run_list + [w for r in run_list for w in lookback_labels_py(r, spec.lookback, spec.grain)]))
+        begin = min(needed, default=None)
         dash_agg = side_aggregate(
             dash_df,
             side=DASH,
@@ -271,14 +295,15 @@ def aggregate_plan(spark: SparkSession, spec: CheckSpec, runs=None) -> DataFrame
             parts.append(side_aggregate(src_df, side=SRC, spec=spec, period_filter=period_in(src_df, dc, run_list), period_frame=None, with_rules=False))
     # An explicit run set travels with the aggregate (stored with its dashboard
     # as data); so does the latest period, which needs its own two-column scan
-    # because the aggregate only covers the requested periods.  For "every
+    # because the aggregate only covers the requested periods; it is bounded by
+    # their first one.  For "every
     # period" both are derived from the small materialized table instead:
     # deriving them here would re-scan the facts (column pruning makes the
     # branches differ, so no exchange is reused).
     if runs is not None:
         parts.append(_runs_frame(spark, runs).select(F.lit(RUN).alias("side"), F.col("run_week").alias("wk")))
         if spec.freshness_seq is not None:
-            parts.append(latest_period(dash_df, spec))
+            parts.append(latest_from(dash_df, spec, begin))
 
     combined = parts[0]
     for p in parts[1:]:

@@ -28,7 +28,7 @@ def test_base_scans_each_table_once_with_pushed_filters(spark):
     reg = X.events_registry(spark, SF, dashboard_table=dash_path, source_table=src_path)
     spec = normalize(reg)
     plan = _plan(aggregate_plan(spark, spec, runs=["2024-03"]))
-    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 3  # dashboard (checks), source, dashboard (latest week: 2 columns)
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 2  # dashboard, source; the latest week was looked for before, from the runs on
     # the dashboard scan gets the run week plus its lookback weeks, the source scan the run week only
     assert "In(wk, [2023-51,2023-52,2024-01,2024-02,2024-03])" in plan
     assert "EqualTo(wk,2024-03)" in plan
@@ -80,3 +80,15 @@ def test_check_plans_have_no_cross_joins(spark):
         for df in (res, s.run_summary(), s.parts_sum_detail(), H.log_rows(res, "t")):
             plan = _plan(df)
             assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_latest_period_probe_is_bounded_in_the_scan(spark):
+    from tallyho.operators.base import period_from, period_text
+    from tallyho.sources.tables import keep
+
+    path = scratch_path(spark, "probe")
+    spark.createDataFrame([("2024-01", "Actual", 1), ("2024-09", "Actual", 2)], "wk string, data_type string, v int").write.parquet(path)
+    df = spark.read.parquet(path)
+    probe = keep(df, None).where(period_from(df, "wk", "2024-05")).selectExpr(f"max({period_text(df, 'wk')})")
+    plan = probe._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(wk,2024-" in plan and "ReadSchema: struct<wk:string,data_type:string>" in plan

@@ -143,3 +143,18 @@ def test_the_last_effective_change_holds(spark):
     assert ("south", "disappears", "2024-05", "2024-20") in spec.change_intervals("shop")
     got = {r["run_week"]: (r["n_missing"], r["n_new"]) for r in Suite(spark, reg, only=("completeness",)).completeness().collect()}
     assert got == {"2024-04": (1, 0), "2024-10": (0, 0), "2024-30": (1, 0), "2024-40": (1, 0)}
+
+
+def test_the_latest_period_is_looked_for_from_the_runs_on(spark, monkeypatch):
+    from tallyho.operators import base as B
+
+    facts = spark.createDataFrame(rows(("2024-01", "north", "1.00"), ("2024-20", "north", "1.00"), ("2024-30", "north", "1.00")), FACTS)
+    whole = []
+    scan = B.latest_period
+    monkeypatch.setattr(B, "latest_period", lambda *a: whole.append(1) or scan(*a))
+    latest = lambda runs: {(r["run_week"], r["latest_week"], r["status"]) for r in Suite(spark, registry(facts, facts), runs=runs, only=("freshness",)).freshness().collect()}
+    assert latest(["2024-20"]) == {("2024-20", "2024-30", "FAIL")} and latest(["2024-30"]) == {("2024-30", "2024-30", "PASS")} and not whole
+    assert latest(spark.createDataFrame([("2024-21",)], "run_week string")) == {("2024-21", "2024-30", "FAIL")} and not whole
+    assert latest(["2024-50"]) == {("2024-50", "2024-30", "FAIL")} and whole == [1]  # nothing from there on
+    pushed = facts.where(B.period_from(facts, "wk", "2024-18"))
+    assert pushed.count() == 2
