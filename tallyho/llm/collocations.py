@@ -8,10 +8,13 @@ per language.  The documents are dealt into ``SHARDS`` shards.
    stays below ``support`` in all of them together.  Level by level, a phrase
    is counted only if its first and last words but one are locally frequent
    in its shard.  A shard is spread over many tasks: they pre-aggregate in
-   arrays of 64-bit phrase hashes, and Spark adds up by (shard, hash).
+   arrays of 64-bit phrase hashes, and Spark adds up by (shard, hash).  A
+   task's hashes hardly repeat by then, so they are dealt out before Spark
+   adds up, not added up once more in front of the shuffle.
 2. The locally frequent phrases of all shards are united.
 3. Exact global count of every united phrase, by its own words, in one more
-   pass; the support is applied to these counts.
+   pass, added up in Arrow within a task and by Spark across tasks; the
+   support is applied to these counts.
 
 Which phrases are worth counting is told to the tasks by a bitmap over phrase
 hashes of bounded size (``bitmaps``).  A bit
@@ -56,6 +59,8 @@ LONGEST = 3
 TOP = 2000
 SALT = 64
 BUFFER = 1 << 20  # phrase hashes added up in a task before they go on
+PHRASES = 1 << 19  # rows of counted phrases held in a task before they are added up, and their bytes
+PHRASE_BYTES = 32 << 20
 CHUNK = 2 << 20
 BREAKS = byte_set(*b".,;:!?", range(0x0A, 0x0E))
 LETTERS = ~(BREAKS | byte_set(0x20, 0x09))
@@ -65,14 +70,34 @@ _SHARD = stream(42, 256)
 _ALL = _SHARD[-1]  # stands for all shards together
 
 
+def _distinct(keys: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys in order, a place of each, number of each key among them, how often each occurs); keys are under ``below``."""
+    if below <= 4 * len(keys):
+        n = np.bincount(keys, minlength=below)
+        distinct = np.flatnonzero(n)
+        number = np.empty(below, dtype=np.int64)
+        number[keys] = np.arange(len(keys))
+        at = number[distinct]
+        number[distinct] = np.arange(len(distinct))
+        return distinct, at, number[keys], n[distinct]
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    begin = np.flatnonzero(new)
+    inverse = np.empty(len(keys), dtype=np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ranked[begin], order[begin], inverse, np.diff(begin, append=len(keys))
+
+
 def _grams(w: Words, group: np.ndarray, seeds: np.ndarray, salts: np.ndarray, longest: int, known: list) -> Iterator[tuple]:
-    """For each number of words k: (first word of each distinct phrase of a group, its group, its hash, how often it occurs).
+    """For each number of words k: (first word of an occurrence of each distinct phrase of a group, its group, its hash, how often it occurs).
 
     ``group``: the group of each word; ``seeds`` and ``salts``: what its
     language adds to the hash, and its shard to the bitmap's key.  A phrase
     is met only if both its parts of k - 1 words are in ``known[k - 2]``.
     """
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, w.distinct.to_pylist()), dtype=np.uint64, count=len(w.distinct))
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, w.distinct.to_numpy(zero_copy_only=False)), dtype=np.uint64, count=len(w.distinct))
     size = max(1, len(hashed))
     at = np.arange(len(w.codes))
     ids = group  # of the phrase's first k - 1 words
@@ -84,7 +109,7 @@ def _grams(w: Words, group: np.ndarray, seeds: np.ndarray, salts: np.ndarray, lo
             good[at] = fit[ids[at]]
             at = at[:-1] if len(at) and at[-1] + k > len(w.codes) else at
             at = at[good[at] & good[at + 1] & (w.pieces[at] == w.pieces[at + k - 1])]
-        distinct, first, inverse, n = np.unique(ids[at] * size + w.codes[at + k - 1], return_index=True, return_inverse=True, return_counts=True)
+        distinct, first, inverse, n = _distinct(ids[at] * size + w.codes[at + k - 1], len(hashes) * size)
         before, last = distinct // size, distinct % size
         hashes = mix(hashes[before] * _PLACE[k] + hashed[last])
         groups = groups[before]
@@ -123,6 +148,32 @@ class _Sums:
         self.parts, self.held = {}, 0
 
 
+class _Phrases:
+    """Counts by lang, k and phrase, added up in a task as long as few enough are distinct."""
+
+    def __init__(self) -> None:
+        self.parts: list[pa.Table] = []
+        self.rows = self.bytes = 0
+
+    def add(self, lang: pa.Array, k: int, phrase: pa.Array, n: np.ndarray) -> None:
+        part = pa.table({"lang": lang, "k": pa.array(np.full(len(n), k), pa.int32()), "phrase": phrase, "n": pa.array(n, pa.int64())})
+        self.parts.append(part)
+        self.rows += part.num_rows
+        self.bytes += part.nbytes
+
+    def drained(self, rows: int = 0, size: int = 0) -> Iterator[pa.RecordBatch]:
+        """Nothing up to so many rows and bytes; else the sums, unless those are less than half as many and are held."""
+        if self.rows <= rows and self.bytes <= size:
+            return
+        sums = pa.concat_tables(self.parts).group_by(["lang", "k", "phrase"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["lang", "k", "phrase", "n"])
+        self.parts, self.rows, self.bytes = [sums], sums.num_rows, sums.nbytes
+        if 2 * self.rows <= rows and 2 * self.bytes <= size:
+            return
+        for batch in sums.to_batches(max_chunksize=65_536):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2).cast(pa.large_string()).cast(pa.string()), batch.column(3)], names=batch.schema.names)
+        self.parts, self.rows, self.bytes = [], 0, 0
+
+
 def _mine(level: int, known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, maps = _Sums(), [b.value for b in known]
@@ -147,7 +198,7 @@ def _count(longest: int, united):
     """Counts by the words themselves: lang, k, phrase, n; k 0 has the number of all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = united.value
+        known, sums = united.value, _Phrases()
         for batch in batches:
             langs = batch.column(0).to_pylist()
             place = {x: i for i, x in enumerate(dict.fromkeys(langs))}
@@ -156,19 +207,15 @@ def _count(longest: int, united):
             seeds = np.array([xxhash.xxh3_64_intdigest(x) for x in place], dtype=np.uint64)
             salts = np.full(len(place), _ALL)
             for w in scanned(batch.column(2), LETTERS, BREAKS, CHUNK):
-                total = np.bincount(group[w.rows], minlength=len(place))
-                yield pa.RecordBatch.from_arrays([names, pa.array(np.zeros(len(place)), pa.int32()), pa.array([""] * len(place), pa.string()), pa.array(total, pa.int64())], names=["lang", "k", "phrase", "n"])
+                sums.add(names, 0, pa.array([b""] * len(place), pa.large_binary()), np.bincount(group[w.rows], minlength=len(place)))
                 for k, first, groups, hashes, n in _grams(w, group[w.rows], seeds, salts, longest, [known] * (longest - 1)):
-                    some = np.flatnonzero(known.holds(hashes ^ _ALL))
-                    for i in range(0, len(some), 65_536):
-                        own = some[i : i + 65_536]
-                        words = [w.distinct.take(pa.array(w.codes[first[own] + j])) for j in range(k)]
-                        phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if k > 1 else words[0]
-                        yield pa.RecordBatch.from_arrays(
-                            [names.take(pa.array(groups[own])), pa.array(np.full(len(own), k), pa.int32()), phrase.cast(pa.large_string()).cast(pa.string()), pa.array(n[own], pa.int64())],
-                            names=["lang", "k", "phrase", "n"],
-                        )
+                    own = np.flatnonzero(known.holds(hashes ^ _ALL))
+                    words = [w.distinct.take(pa.array(w.codes[first[own] + j])) for j in range(k)]
+                    phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if k > 1 else words[0]
+                    sums.add(names.take(pa.array(groups[own])), k, phrase, n[own])
+                yield from sums.drained(PHRASES, PHRASE_BYTES)
             release()
+        yield from sums.drained()
 
     return run
 
@@ -197,7 +244,7 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, sh
     levels, known = [], []
     for level in range(1, longest + 1):
         counts = dealt.mapInArrow(_mine(level, known), "shard int, gram long, n long")
-        mined = saved(counts.groupBy("shard", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= local).select("shard", "gram"), f"locally-frequent-{level}")
+        mined = saved(counts.repartition("shard", "gram").groupBy("shard", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= local).select("shard", "gram"), f"locally-frequent-{level}")
         levels.append((mined, mined.count()))
         if level < longest:
             known.append(_bitmap_of(spark, *levels[-1], True))

@@ -55,7 +55,8 @@ def _chunk(data: np.ndarray, bounds: np.ndarray, first: int, letters: np.ndarray
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
     row = np.searchsorted(bounds, starts, side="right") - 1
     # Both terms only rise, so their sum changes where either does.
-    pieces = np.cumsum(cuts[data], dtype=np.int64)[starts] + row if n else row
+    ahead = np.bincount(np.searchsorted(starts, np.flatnonzero(cuts[data])), minlength=len(starts))
+    pieces = np.cumsum(ahead[: len(starts)]) + row
     offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(ends - starts, dtype=np.int64)))
     kept = np.ascontiguousarray(_FOLD[data[letter]])
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])

@@ -85,3 +85,45 @@ def test_long_texts_are_read_in_pieces():
     whole = [(int(w.rows[i]), w.distinct[int(c)].as_py()) for w in scanned(column, C.LETTERS, C.BREAKS) for i, c in enumerate(w.codes)]
     parts = [(int(w.rows[i]), w.distinct[int(c)].as_py()) for w in scanned(column, C.LETTERS, C.BREAKS, 100) for i, c in enumerate(w.codes)]
     assert parts == whole and len(whole) == 2003
+
+
+@pytest.mark.parametrize("rows,size,once", [(C.PHRASES, C.PHRASE_BYTES, True), (40, C.PHRASE_BYTES, False), (C.PHRASES, 900, False)])
+def test_a_task_adds_up_the_phrases_of_its_chunks(monkeypatch, rows, size, once):
+    class Everything:
+        value = Bitmap(np.full(1, 2**64 - 1, dtype=np.uint64))
+
+    monkeypatch.setattr(C, "CHUNK", 200)
+    monkeypatch.setattr(C, "PHRASES", rows)
+    monkeypatch.setattr(C, "PHRASE_BYTES", size)
+    texts = [("en", "a b c. É b a " * 60), ("fr", "a b"), ("en", ""), ("en", "a b. q%d")] * 20
+    texts = [(lang, t % i if "%" in t else t) for i, (lang, t) in enumerate(texts)]
+    batches = [pa.record_batch([[x for x, _ in texts[i : i + 16]], [0] * len(texts[i : i + 16]), [t for _, t in texts[i : i + 16]]], names=["lang", "shard", "text"]) for i in range(0, 80, 16)]
+    out = [x for b in C._count(3, Everything)(iter(batches)) for x in b.to_pylist()]
+    got, want = Counter(), Counter()
+    for x in out:
+        got[x["lang"], x["k"], x["phrase"]] += x["n"]
+    for lang, text in texts:
+        for piece in text.translate(_FOLD).split("."):
+            w = piece.split()
+            want[lang, 0, ""] += len(w)
+            for k in (1, 2, 3):
+                want.update((lang, k, " ".join(w[i : i + k])) for i in range(len(w) - k + 1))
+    assert +got == +want
+    assert (len(out) == len(got)) == once  # a row for a phrase, unless too many are held
+
+
+@pytest.mark.parametrize("below", [50, 100_000])
+def test_distinct_keys(below):
+    keys = np.random.default_rng(3).integers(0, 50, 2000)
+    distinct, at, inverse, n = C._distinct(keys, below)
+    want, number, times = np.unique(keys, return_inverse=True, return_counts=True)
+    assert (distinct == want).all() and (inverse == number).all() and (n == times).all() and (keys[at] == want).all()
+    assert [len(x) for x in C._distinct(keys[:0], below)] == [0, 0, 0, 0]
+
+
+def test_pieces_end_at_cuts_and_rows():
+    column = pa.array(["a,b c", None, "", ",,d.e. f", ",", "g h,"])
+    for cuts in (C.BREAKS, None, ~C.LETTERS, C.LETTERS):
+        w = next(scanned(column, C.LETTERS, cuts))
+        breaks = np.zeros(256, dtype=bool) if cuts is None else cuts
+        assert (w.pieces == np.cumsum(breaks[w.data])[w.starts] + w.rows).all()
