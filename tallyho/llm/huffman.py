@@ -41,6 +41,7 @@ BLOCK = 65_536
 STEP = 128
 MAX_LENGTH = 16
 SLICE = 2 << 20  # bytes of text tokenized at a time
+COUNTED = 1 << 19  # bytes of ids counted at a time
 ROWS_A_FILE = 25_000
 _BLOCKS = "file int, block int, docs array<struct<doc_id: bigint, start: bigint, length: int, part: int, parts: int>>, n_ids int, checkpoints binary, payload binary"
 _DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("part", pa.int32()), ("parts", pa.int32())]))
@@ -154,12 +155,25 @@ def _wide(kept: bytes) -> np.ndarray:
     return np.frombuffer(kept, f"<u{kept[0]}", offset=1).astype(np.int64)
 
 
+def _together(rows: list[bytes], most: int) -> Iterator[list[bytes]]:
+    """Rows in a row, of about ``most`` bytes together."""
+    some, size = [], 0
+    for x in rows:
+        some.append(x)
+        size += len(x)
+        if size > most:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     forget()  # all ids are stored by now
     total = np.zeros(0, dtype=np.int64)
     for batch in batches:
-        for kept in batch.column(0).to_pylist():
-            own = np.bincount(_wide(kept))
+        for some in _together(batch.column(0).to_pylist(), COUNTED):
+            own = np.bincount(np.concatenate([_wide(kept) for kept in some]))
             if len(own) > len(total):
                 total = np.pad(total, (0, len(own) - len(total)))
             total[: len(own)] += own

@@ -182,3 +182,31 @@ def test_more_ids_than_codes_of_the_asked_length():
     codes = huffman.canonical_codes(lengths)
     table = huffman.decode_table(lengths, codes)
     assert (huffman.decode_block(len(ids), *huffman.encode_block(ids, lengths, codes), table) == ids).all()
+
+
+def test_ids_are_counted_many_documents_at_a_time(monkeypatch):
+    texts = [f"word{i % 50} the end of {i}" for i in range(900)] + ["", "one two " * 900]
+    want = plain("word_bpe_49k.json", False)
+    rows = [np.array(want(t), dtype="<u4") for t in texts] + [np.array([70_000, 3], dtype="<u4")]
+    kept = pa.array([huffman._thin(x.tobytes()) for x in rows], pa.binary())
+    calls, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or bincount(*a, **k))
+    for most, few in ((huffman.COUNTED, True), (300, False)):
+        calls.clear()
+        monkeypatch.setattr(huffman, "COUNTED", most)
+        out = [x for b in huffman._count(iter([pa.record_batch([kept[:500]], names=["ids"]), pa.record_batch([kept[500:]], names=["ids"])])) for x in b.to_pylist()]
+        ids, n = np.unique(np.concatenate(rows), return_counts=True)
+        assert [(x["id"], x["n"]) for x in out] == list(zip(ids.tolist(), n.tolist()))
+        assert (len(calls) <= 4) == few
+
+
+@pytest.mark.parametrize("name,keep", FILES)
+def test_units_seen_before_and_a_full_cache_give_the_same_ids(name, keep, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 60)
+    known = tokens.Units(tokenizer(name), keep)
+    want = plain(name, keep)
+    texts = [f"Élan{i % 9} été {'Z' * (i % 80)} don't x{i % 40}\nÇA! ſ ß" for i in range(160)]
+    for at in range(0, 160, 8):
+        ids, offsets = known.encode(pa.array(texts[at : at + 8] + ODD, pa.string()))
+        assert [[*ids[a:b].tolist(), 1] for a, b in zip(offsets[:-1], offsets[1:])] == [want(t) for t in texts[at : at + 8] + ODD]
+    assert not any(len(u) > tokens.LONG for u in known.known)
