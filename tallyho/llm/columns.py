@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,23 @@ def release() -> None:
         _TRIM(0)
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, drop: Callable[[], None]) -> None:
+    """Names the cache that a worker uses now; ``drop`` empties it.
+
+    Spark gives a worker one stage after another.  The caches that earlier
+    stages left in it are emptied here, so it holds one at a time.
+    """
+    others = [k for k in _held if k != name]
+    for k in others:
+        _held.pop(k)()
+    _held[name] = drop
+    if others:
+        release()
+
+
 def token_slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[str]]]:
     """(first row, row offsets, code of each token, distinct tokens) for slices of about ``most`` bytes.
 

@@ -19,6 +19,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tallyho.llm.columns import hold
+
 CHUNK = 1 << 19
 _U = np.uint64
 _GOLD = 0x9E3779B97F4A7C15
@@ -51,6 +53,7 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    hold("powers", _powers.clear)
     if not _powers or len(_powers["up"]) < n + 1:
         size = max(n + 1, CHUNK + 1)
         for name, base in (("up", _BASE), ("down", _BASE_INV)):

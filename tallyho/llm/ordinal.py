@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.llm.columns import row_sums, token_slices
+from tallyho.llm.columns import hold, row_sums, token_slices
 
 BITS = 18
 SAMPLE = 6000
@@ -75,6 +75,7 @@ def _pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[str
 
 
 def _token_features(tokens: list[str]) -> np.ndarray:
+    hold("features", _known.clear)
     if len(_known) + len(tokens) > CACHE:
         _known.clear()
     for t in tokens:

@@ -258,3 +258,25 @@ def test_stages_judge_rows_that_share_an_id_or_have_none(spark):
     assert clean.columns == docs.columns
     assert sorted(r["n"] for r in clean.collect()) == [0, 0, 1, 2, 4, 6, 6]
     assert decontam.decontaminated(docs.limit(0), items).collect() == []
+
+
+def test_stages_give_python_small_batches(spark):
+    import corpus_pipeline as P
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    try:
+        docs = spark.createDataFrame([(i, f"text {i}") for i in range(3)], "doc_id long, text string")
+        for setting, most in (("10000", 1000), ("0", 1000), ("200", 200)):
+            spark.conf.set(key, setting)
+            assert P.pack(spark, docs, SF).count() == 3
+            assert max(r["n"] for r in spark.range(0, 2500, 1, 1).mapInArrow(sizes, "n long").collect()) == most
+    finally:
+        spark.conf.set(key, before)

@@ -210,3 +210,28 @@ def test_units_seen_before_and_a_full_cache_give_the_same_ids(name, keep, monkey
         ids, offsets = known.encode(pa.array(texts[at : at + 8] + ODD, pa.string()))
         assert [[*ids[a:b].tolist(), 1] for a, b in zip(offsets[:-1], offsets[1:])] == [want(t) for t in texts[at : at + 8] + ODD]
     assert not any(len(u) > tokens.LONG for u in known.known)
+
+
+def test_texts_are_encoded_a_megabyte_at_a_time(monkeypatch):
+    taken, encode = [], tokens.Units.encode
+    monkeypatch.setattr(tokens.Units, "encode", lambda self, column: taken.append(column.nbytes) or encode(self, column))
+    texts = pa.array([f"{i} " + "some words " * 2000 for i in range(150)])  # 3.3 MB
+    got = list(tokens.encoded(texts, tokenizer("byte_bpe_50k.json"), True))
+    assert len(got) == 150 and len(taken) > 2 and max(taken) < 1.1 * (1 << 20)
+
+
+def test_a_worker_holds_the_cache_of_one_stage():
+    from tallyho.llm import hashing, ordinal
+
+    texts = pa.array(["One two, three.", None, "four"])
+    encoded = lambda: [r.tolist() for r in tokens.encoded(texts, tokenizer("byte_bpe_50k.json"), True)]
+    sets = lambda: [s.tolist() for s in hashing.shingle_sets(texts, 2)]
+    features = lambda: ordinal._token_features(["One", "four"]).tolist()
+    before = features(), encoded(), sets()
+    features()
+    assert ordinal._known and not tokens._loaded and not hashing._powers
+    encoded()
+    assert tokens._loaded and not ordinal._known and not hashing._powers
+    sets()
+    assert hashing._powers and not tokens._loaded and not ordinal._known
+    assert before == (features(), encoded(), sets())
